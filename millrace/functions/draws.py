@@ -1,0 +1,51 @@
+"""Repeatable pseudo-random columns: pure integer arithmetic on an id, so the
+output does not depend on partitioning and stays inside generated code."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# The prime modulus and multipliers of the mixer.
+PRIME = 2147483647
+STEP_A = 48271
+STEP_B = 69621
+
+
+def draw(row_id: Column, salt: int, seed: int = 0) -> Column:
+    """A number in ``[0, PRIME)`` from an integer id and a column salt."""
+    start = (F.pmod(row_id.cast("bigint"), F.lit(PRIME)) * STEP_A + seed + 1) % PRIME
+    mixed = (start * start + salt * STEP_B) % PRIME
+    return (mixed * mixed + start) % PRIME
+
+
+def below(row_id: Column, salt: int, n: int, seed: int = 0) -> Column:
+    """An integer in ``[0, n)``."""
+    return draw(row_id, salt, seed) % n
+
+
+def chance(row_id: Column, salt: int, percent: int, seed: int = 0) -> Column:
+    """True for about ``percent`` of ids."""
+    return below(row_id, salt, 100, seed) < percent
+
+
+def pick(row_id: Column, salt: int, values: Sequence, seed: int = 0) -> Column:
+    """One of ``values``, uniformly."""
+    options = F.array(*[F.lit(v) for v in values])
+    return F.element_at(options, (below(row_id, salt, len(values), seed) + 1).cast("int"))
+
+
+def weighted(row_id: Column, salt: int, weights: Sequence[tuple[str, int]], seed: int = 0) -> Column:
+    """One of the names, with chances given as whole percents summing to 100."""
+    if sum(w for _, w in weights) != 100:
+        raise ValueError("weights must sum to 100")
+    roll = below(row_id, salt, 100, seed)
+    edge, chain = 0, None
+    for name, weight in weights[:-1]:
+        edge += weight
+        hit = roll < edge
+        chain = F.when(hit, name) if chain is None else chain.when(hit, name)
+    last = F.lit(weights[-1][0])
+    return last if chain is None else chain.otherwise(last)
