@@ -139,7 +139,8 @@ class _VariantFields:
         return self.value(name).isNotNull()
 
     def is_null(self, name: str) -> Column:
-        return F.coalesce(F.is_variant_null(self.value(name)), F.lit(True))
+        value = self.value(name)
+        return value.isNull() | F.is_variant_null(value)
 
     def compare(self, name: str, op: str, literal) -> Column:
         if literal is None and op == "eq":

@@ -22,11 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.durations import interval, window_micros
+from millrace.functions.durations import interval, micros, window_micros
 from millrace.functions.keys import canonical_key
 from millrace.operators import hotkeys
 from millrace.operators.dedup import AT, KEY, SLICE, _batch_columns, _micros, _starts
@@ -511,6 +511,17 @@ def orphans_on_arrival(ledger: DataFrame) -> DataFrame:
     )
 
 
+def sweep(
+    ledger: DataFrame, window, now: Column, retention="5m"
+) -> tuple[DataFrame, DataFrame]:
+    """(still waiting, swept): unmatched events split by whether their window
+    plus ``retention`` has run out at ``now``."""
+    life = window_micros(window) + micros(retention)
+    waiting = ledger.filter(~F.col("is_joined"))
+    over = F.col("event_time") + F.expr(interval(life)) < now
+    return waiting.filter(~over), waiting.filter(over)
+
+
 def late_flag(df: DataFrame, ts: str, arrival: str, window) -> DataFrame:
     """Add ``is_late``: the event arrived more than a window after its time."""
     size = window_micros(window)

@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.fields import put
 from millrace.functions.keys import variant_key
 from millrace.operators import dedup, match
 from millrace.operators.filters import filter_rows
@@ -205,6 +204,3 @@ def columns_of(flow_output: DataFrame, columns: Mapping[str, str]) -> DataFrame:
             out.append(F.try_variant_get(value, "$", kind).alias(name))
     return flow_output.select(*out)
 
-
-def with_field(df: DataFrame, name: str, value) -> DataFrame:
-    return df.withColumn("data", put(F.col("data"), name, value.cast("variant")))

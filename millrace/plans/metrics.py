@@ -10,35 +10,33 @@ from pyspark.sql import functions as F
 from millrace.plans.flows import Flow
 
 
-def _tally(df: DataFrame, name: str, test=None) -> DataFrame:
-    value = F.count("*") if test is None else F.count_if(test)
-    return df.agg(value.alias("n")).select(F.lit(name).alias("metric"), "n")
+def _tally(df: DataFrame, **tests) -> DataFrame:
+    """Named counts of one frame in one pass, as (metric, n) rows."""
+    counted = df.agg(*[F.count_if(test).alias(name) for name, test in tests.items()])
+    rows = [F.struct(F.lit(n).alias("metric"), F.col(n).alias("n")) for n in tests]
+    return counted.select(F.inline(F.array(*rows)))
 
 
 def flow_metrics(flow: Flow, seconds: float | None = None) -> DataFrame:
     """One row of counters for a batch run. ``events_sunk`` counts rows that
     reach the sink; blocked duplicates and errors do not."""
-    parts = [_tally(flow.errors, "error_count")]
+    every = F.lit(True)
+    parts = [_tally(flow.errors, error_count=every)]
     if flow.judged is not None:
-        parts.append(_tally(flow.judged, "events_deduped", F.col("is_duplicate")))
-        parts.append(_tally(flow.judged, "events_sunk", ~F.col("is_duplicate")))
-        judged = "events_deduped", "events_sunk"
+        again = F.col("is_duplicate")
+        parts.append(_tally(flow.judged, events_deduped=again, events_sunk=~again))
     else:
-        parts.append(_tally(flow.output, "events_sunk"))
-        judged = ("events_sunk",)
+        parts.append(_tally(flow.output, events_sunk=every))
     if flow.ledger is not None:
-        parts.append(_tally(flow.ledger, "events_in"))
-        parts.append(
-            _tally(flow.ledger, "events_joined", (F.col("side") == "left") & F.col("is_joined"))
-        )
+        pair = (F.col("side") == "left") & F.col("is_joined")
+        parts.append(_tally(flow.ledger, events_in=every, events_joined=pair))
     counters = reduce(lambda a, b: a.unionAll(b), parts)
 
     def total(*names):
-        return F.coalesce(
-            F.sum(F.when(F.col("metric").isin(*names), F.col("n"))), F.lit(0)
-        ).cast("bigint")
+        picked = F.when(F.col("metric").isin(*names), F.col("n"))
+        return F.coalesce(F.sum(picked), F.lit(0)).cast("bigint")
 
-    seen = ("events_in",) if flow.ledger is not None else judged
+    seen = ("events_in",) if flow.ledger is not None else ("events_deduped", "events_sunk")
     out = counters.agg(
         total(*seen).alias("events_processed"),
         total("events_deduped").alias("events_deduped"),

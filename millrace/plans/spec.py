@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from millrace.functions.durations import MAX_WINDOW_MICROS, micros
+from millrace.functions.durations import micros
 from millrace.operators import filters, transforms
 
 # Source, join and sink kinds.
@@ -44,7 +44,6 @@ class FlowSpec:
     table: str | None = None
     sink_topic: str | None = None
     description: str = ""
-    problems: tuple[str, ...] = field(default=(), compare=False)
 
     def __post_init__(self):
         problems = list(_problems(self))
@@ -125,11 +124,6 @@ def parse(text: str | Mapping) -> FlowSpec:
     )
 
 
-def clamped_window(window) -> int:
-    """The window a flow really uses, in microseconds."""
-    return min(micros(window), MAX_WINDOW_MICROS)
-
-
 # The two demonstration flows.
 SESSION_DEDUP = {
     "name": "user-session-dedup",

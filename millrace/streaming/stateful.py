@@ -75,7 +75,7 @@ class _Ordered(StatefulProcessor):
         ]
         if self.hold:
             self.pending.appendList(arrived)
-            self.handle.registerTimer(_timer(max(r[0] for r in arrived)))
+            self.handle.registerTimer(_timer(min(r[0] for r in arrived)))
             return
         arrived.sort(key=lambda r: (r[0], r[1], r[2]))
         out = self.take(key, arrived)
@@ -93,6 +93,7 @@ class _Ordered(StatefulProcessor):
             rest = [r for r in held if r[0] >= watermark]
             if rest:
                 self.pending.put(rest)
+                self.handle.registerTimer(_timer(min(r[0] for r in rest)))
             else:
                 self.pending.clear()
             if ready:
