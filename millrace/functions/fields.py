@@ -41,9 +41,8 @@ def variant_kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def _variant_scalar(value: Column, op: str, literal) -> Column:
+def _variant_scalar(value: Column, kind: Column, op: str, literal) -> Column:
     """Comparison of a VARIANT with a literal of the same type only."""
-    kind = variant_kind(value)
     if literal is None:
         return (kind == "VOID") if op in ("eq", "gte", "lte") else F.lit(False)
     if isinstance(literal, bool):
@@ -51,17 +50,14 @@ def _variant_scalar(value: Column, op: str, literal) -> Column:
             op, F.try_variant_get(value, "$", "boolean"), F.lit(literal)
         )
     if isinstance(literal, (int, float)):
-        number = (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
+        inexact = (kind == "DOUBLE") | kind.startswith("DECIMAL")
         if isinstance(literal, int):
             whole = F.try_variant_get(value, "$", "bigint")
             exact = (kind == "BIGINT") & _compare(op, whole, F.lit(literal))
-            other = (
-                number
-                & (kind != "BIGINT")
-                & _compare(op, F.try_variant_get(value, "$", "double"), F.lit(float(literal)))
-            )
-            return exact | other
-        return number & _compare(op, F.try_variant_get(value, "$", "double"), F.lit(literal))
+            number = F.try_variant_get(value, "$", "double")
+            return exact | (inexact & _compare(op, number, F.lit(float(literal))))
+        number = F.try_variant_get(value, "$", "double")
+        return ((kind == "BIGINT") | inexact) & _compare(op, number, F.lit(literal))
     if isinstance(literal, str):
         return (kind == "STRING") & _compare(
             op, F.try_variant_get(value, "$", "string"), F.lit(literal)
@@ -71,10 +67,26 @@ def _variant_scalar(value: Column, op: str, literal) -> Column:
     raise ValueError(f"cannot order values against {literal!r}")
 
 
-def any_element(value: Column, test: Callable[[Column], Column]) -> Column:
+def any_element(
+    value: Column, kind: Column, test: Callable[[Column, Column], Column]
+) -> Column:
     """``test`` on a VARIANT, or on any element when it holds an array."""
     items = F.try_variant_get(value, "$", "array<variant>")
-    return test(value) | F.coalesce(F.exists(items, test), F.lit(False))
+    inside = F.exists(items, lambda v: test(v, variant_kind(v)))
+    return F.when(kind.startswith("ARRAY"), test(value, kind) | inside).otherwise(
+        test(value, kind)
+    )
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated exactly once per row.
+
+    Catalyst moves filters below a projection by repeating the projected
+    expression; it does not move them below a generator, so costly expressions
+    (parsing, path lookups) go through a one-row generator.
+    """
+    made = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select("*", F.inline(F.array(made)))
 
 
 class TypedFields:
@@ -83,6 +95,9 @@ class TypedFields:
     def __init__(self, schema: T.StructType):
         self.types = {f.name: f.dataType for f in schema.fields}
 
+    def prepare(self, df: DataFrame, names) -> DataFrame:
+        return df
+
     def present(self, name: str) -> Column:
         return F.col(name).isNotNull() if name in self.types else F.lit(False)
 
@@ -130,11 +145,37 @@ class TypedFields:
 
 
 class _VariantFields:
-    """Shared behaviour of fields whose values are VARIANT."""
+    """Shared behaviour of fields whose values are VARIANT.
 
-    def value(self, name: str) -> Column:
+    ``prepare`` looks the named fields up once per row; without it each use of
+    a field repeats the lookup.
+    """
+
+    def __init__(self, column: str):
+        self.column = column
+        self.ready: dict[str, str] = {}
+
+    def lookup(self, name: str) -> Column:
         raise NotImplementedError
 
+    def prepare(self, df: DataFrame, names) -> DataFrame:
+        new = {}
+        for name in dict.fromkeys(names):
+            label = f"__f{len(self.ready)}"
+            self.ready[name] = label
+            new[label] = self.lookup(name)
+        if not new:
+            return df
+        df = once(df, **new)
+        return once(df, **{f"{v}k": variant_kind(F.col(v)) for v in new})
+
+    def value(self, name: str) -> Column:
+        return F.col(self.ready[name]) if name in self.ready else self.lookup(name)
+
+    def kind(self, name: str) -> Column:
+        label = self.ready.get(name)
+        return F.col(f"{label}k") if label else variant_kind(self.lookup(name))
+
     def present(self, name: str) -> Column:
         return self.value(name).isNotNull()
 
@@ -145,29 +186,30 @@ class _VariantFields:
     def compare(self, name: str, op: str, literal) -> Column:
         if literal is None and op == "eq":
             return self.is_null(name)
-        return any_element(self.value(name), lambda v: _variant_scalar(v, op, literal))
+        return any_element(
+            self.value(name), self.kind(name),
+            lambda v, kind: _variant_scalar(v, kind, op, literal),
+        )
 
     def matches(self, name: str, pattern: str) -> Column:
-        def test(v):
-            return (variant_kind(v) == "STRING") & F.try_variant_get(v, "$", "string").rlike(pattern)
+        def test(v, kind):
+            return (kind == "STRING") & F.try_variant_get(v, "$", "string").rlike(pattern)
 
-        return any_element(self.value(name), test)
+        return any_element(self.value(name), self.kind(name), test)
 
     def contains(self, name: str, literal) -> Column:
-        value = self.value(name)
+        value, kind = self.value(name), self.kind(name)
         items = F.try_variant_get(value, "$", "array<variant>")
-        found = F.coalesce(
-            F.exists(items, lambda v: _variant_scalar(v, "eq", literal)), F.lit(False)
-        )
-        if not isinstance(literal, str):
-            return found
-        inside = F.try_variant_get(value, "$", "string").contains(literal)
-        return found | ((variant_kind(value) == "STRING") & inside)
+        found = F.exists(items, lambda v: _variant_scalar(v, variant_kind(v), "eq", literal))
+        test = F.when(kind.startswith("ARRAY"), found)
+        if isinstance(literal, str):
+            text = F.try_variant_get(value, "$", "string")
+            test = test.when(kind == "STRING", text.contains(literal))
+        return test.otherwise(F.lit(False))
 
     def sort_keys(self, name: str, ascending: bool) -> list[Column]:
         """Null and absent first, then numbers, then text, then the rest."""
-        value = self.value(name)
-        kind = variant_kind(value)
+        value, kind = self.value(name), self.kind(name)
         number = F.try_variant_get(value, "$", "double")
         rank = (
             F.when(kind.isNull() | (kind == "VOID"), 0)
@@ -183,9 +225,9 @@ class MapFields(_VariantFields):
     """Entries of a ``map<string,variant>`` column."""
 
     def __init__(self, column: str = "data"):
-        self.column = column
+        super().__init__(column)
 
-    def value(self, name: str) -> Column:
+    def lookup(self, name: str) -> Column:
         return F.col(self.column)[name]
 
 
@@ -193,9 +235,9 @@ class DocFields(_VariantFields):
     """Dotted paths inside a VARIANT column."""
 
     def __init__(self, column: str = "doc"):
-        self.column = column
+        super().__init__(column)
 
-    def value(self, name: str) -> Column:
+    def lookup(self, name: str) -> Column:
         steps = "".join(f"['{part}']" for part in name.split("."))
         return F.try_variant_get(F.col(self.column), "$" + steps, "variant")
 
@@ -220,6 +262,14 @@ def put(data: Column, name: str, value: Column) -> Column:
     return F.map_concat(rest, F.create_map(F.lit(name), value))
 
 
+def put_all(data: Column, values: dict[str, Column]) -> Column:
+    """The map with several entries set, rebuilt once."""
+    names = list(values)
+    rest = F.map_filter(data, lambda k, _: ~k.isin(names))
+    pairs = [c for n in names for c in (F.lit(n), values[n])]
+    return F.map_concat(rest, F.create_map(*pairs))
+
+
 def remove(data: Column, name: str) -> Column:
     return F.map_filter(data, lambda k, _: k != name)
 

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 _EXACT_DOUBLE = 9.0e15
+# JSON numbers that may be whole although not written as integers.
+_FLOAT_JSON = r"^-?[0-9]+(\.0+$|\.?[0-9]*[eE])"
 
 
 def _number_text(wide: Column, otherwise: Column) -> Column:
@@ -23,15 +25,12 @@ def _number_text(wide: Column, otherwise: Column) -> Column:
 
 def variant_key(value: Column) -> Column:
     """Key text of a VARIANT; SQL NULL (field absent) stays NULL."""
-    kind = F.schema_of_variant(value)
-    integer = F.try_variant_get(value, "$", "bigint")
+    text = F.to_json(value)
     number = F.try_variant_get(value, "$", "double")
     return (
-        F.when(value.isNull(), F.lit(None).cast("string"))
-        .when(kind == "STRING", F.try_variant_get(value, "$", "string"))
-        .when(kind == "BIGINT", integer.cast("string"))
-        .when((kind == "DOUBLE") | kind.startswith("DECIMAL"), _number_text(number, F.to_json(value)))
-        .otherwise(F.to_json(value))
+        F.when(text.startswith('"'), F.try_variant_get(value, "$", "string"))
+        .when(text.rlike(_FLOAT_JSON), _number_text(number, text))
+        .otherwise(text)
     )
 
 

@@ -49,23 +49,25 @@ def _sure(test: Column) -> Column:
 
 
 def _operator(fields, name: str, op: str, value, options: str) -> Column:
+    """One operator. Unknown (SQL NULL) means no match; negations settle that
+    first, positive tests leave it so that Spark can push them to the scan."""
     if op == "$eq":
-        return _sure(fields.compare(name, "eq", value))
+        return fields.compare(name, "eq", value)
     if op == "$ne":
         return ~_sure(fields.compare(name, "eq", value))
     if op in _ORDER:
-        return _sure(fields.compare(name, _ORDER[op], value))
+        return fields.compare(name, _ORDER[op], value)
     if op == "$in":
-        return _any([_sure(fields.compare(name, "eq", v)) for v in value]) if value else F.lit(False)
+        return _any([fields.compare(name, "eq", v) for v in value]) if value else F.lit(False)
     if op == "$nin":
-        return ~_operator(fields, name, "$in", value, options)
+        return ~_sure(_operator(fields, name, "$in", value, options))
     if op == "$exists":
         present = fields.present(name)
         return present if value else ~present
     if op == "$regex":
-        return _sure(fields.matches(name, f"(?{options}){value}" if options else value))
+        return fields.matches(name, f"(?{options}){value}" if options else value)
     if op == "$not":
-        return ~_field(fields, name, value)
+        return ~_sure(_field(fields, name, value))
     raise ValueError(f"unsupported filter operator: {op}")
 
 
@@ -79,32 +81,51 @@ def _field(fields, name: str, test) -> Column:
                 if op != "$options"
             ]
         )
-    return _sure(fields.compare(name, "eq", test))
+    return fields.compare(name, "eq", test)
 
 
-def match(df: DataFrame, query: str | Mapping | None) -> Column:
-    """A JSON filter as a never-null boolean column."""
-    fields = fields_of(df)
+def _names(spec: Mapping) -> list[str]:
+    """Fields a filter reads."""
+    out = []
+    for name, test in spec.items():
+        if name in ("$and", "$or"):
+            out += [n for part in test for n in _names(part)]
+        elif not name.startswith("$"):
+            out.append(name)
+    return out
 
-    def build(spec: Mapping) -> Column:
-        parts = []
-        for name, test in spec.items():
-            if name == "$and":
-                parts.append(_all([build(s) for s in test]))
-            elif name == "$or":
-                parts.append(_any([build(s) for s in test]))
-            elif name.startswith("$"):
-                raise ValueError(f"unsupported filter operator: {name}")
-            else:
-                parts.append(_field(fields_for(name), name, test))
-        return _all(parts)
 
-    def fields_for(name: str):
-        if name == "_id" and isinstance(fields, DocFields):
-            return fields_of(df.select("_id"))
-        return fields
+def _build(fields, ids, spec: Mapping) -> Column:
+    parts = []
+    for name, test in spec.items():
+        if name == "$and":
+            parts.append(_all([_build(fields, ids, s) for s in test]))
+        elif name == "$or":
+            parts.append(_any([_build(fields, ids, s) for s in test]))
+        elif name.startswith("$"):
+            raise ValueError(f"unsupported filter operator: {name}")
+        else:
+            parts.append(_field(ids if name == "_id" else fields, name, test))
+    return _all(parts)
 
-    return build(_spec(query))
+
+def _prepared(df: DataFrame, query: str | Mapping | None) -> tuple[DataFrame, Column]:
+    """``df`` with the filter's fields looked up, and the filter as a column."""
+    spec = _spec(query)
+    fields = fields_of(df)
+    ids = fields
+    if isinstance(fields, DocFields) and "_id" in df.columns:
+        ids = fields_of(df.select("_id"))
+    rows = fields.prepare(df, [n for n in _names(spec) if ids is fields or n != "_id"])
+    return rows, _build(fields, ids, spec)
+
+
+def matching(df: DataFrame, query: str | Mapping | None) -> DataFrame:
+    """Rows that satisfy a JSON filter."""
+    if not _spec(query):
+        return df
+    rows, test = _prepared(df, query)
+    return rows.filter(test).select(*df.columns)
 
 
 def sort_columns(df: DataFrame, sort: str | Mapping | None) -> list[Column]:
@@ -129,12 +150,20 @@ def find(
 ) -> DataFrame:
     """Filter, then sort, skip and limit (0 means no limit).
 
-    Paging needs a total order, so ``id_column`` is appended to the sort.
+    Paging needs a total order, so ``id_column`` is appended to the sort. A skip
+    without a limit takes the skipped rows (a bounded top-k) out by id; a plain
+    offset would send every row through one task.
     """
-    out = df.filter(match(df, query)) if _spec(query) else df
+    out = matching(df, query)
     order = sort_columns(df, sort)
+    if skip > 0 and id_column is None:
+        id_column = _id_of(df, None)
     if id_column and (order or skip > 0 or limit > 0):
         order.append(F.col(id_column).asc())
+    if skip > 0 and limit <= 0:
+        skipped = out.orderBy(*order).limit(skip).select(id_column)
+        out = out.join(skipped, id_column, "left_anti").select(*df.columns)
+        return out.orderBy(*order)
     if order:
         out = out.orderBy(*order)
     if skip > 0:
@@ -153,7 +182,7 @@ def render_json(df: DataFrame) -> DataFrame:
 
 def count(df: DataFrame, query: str | Mapping | None = None) -> DataFrame:
     """One row with the number of matches."""
-    return df.filter(match(df, query)).agg(F.count("*").alias("count"))
+    return matching(df, query).agg(F.count("*").alias("count"))
 
 
 # --------------------------------------------------------------------- writes
@@ -210,20 +239,16 @@ def _updates(update: str | Mapping) -> dict:
     return spec["$set"]
 
 
-def _first_match(df: DataFrame, test: Column, key: str) -> DataFrame:
-    """The matching row that comes first by id: at most one row."""
-    return df.filter(test).agg(F.min(key).alias("__first")).filter("__first IS NOT NULL")
-
-
 def _chosen(df: DataFrame, query, many: bool, id_column: str | None) -> DataFrame:
-    """``df`` with a boolean ``__hit`` on the rows an operation applies to."""
-    test = match(df, query)
+    """``df`` with a boolean ``__hit`` on the rows an operation applies to: all
+    matches, or the one that comes first by id."""
     if many:
-        return df.withColumn("__hit", test)
+        rows, test = _prepared(df, query)
+        return rows.withColumn("__hit", _sure(test)).select(*df.columns, "__hit")
     key = _id_of(df, id_column)
-    one = F.broadcast(_first_match(df, test, key))
+    first = matching(df, query).agg(F.min(key).alias("__first")).filter("__first IS NOT NULL")
     return (
-        df.join(one, F.col(key) == F.col("__first"), "left")
+        df.join(F.broadcast(first), F.col(key) == F.col("__first"), "left")
         .withColumn("__hit", F.col("__first").isNotNull())
         .drop("__first")
     )

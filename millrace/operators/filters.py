@@ -20,22 +20,31 @@ def check_rule(rule: Mapping) -> None:
         raise ValueError("a filter rule needs a field")
 
 
-def condition(df: DataFrame, rule: Mapping) -> Column:
-    """One rule as a column. A null field satisfies no rule, ``ne`` included."""
-    check_rule(rule)
-    fields = fields_of(df)
+def _condition(fields, rule: Mapping) -> Column:
     name, op, value = rule["field"], rule["operator"], rule["value"]
     if isinstance(fields, TypedFields) and name not in fields.types:
         raise ValueError(f"unknown field: {name!r}")
     if op == "contains":
         return fields.contains(name, value)
-    if op == "ne":
-        return fields.present(name) & ~fields.is_null(name) & ~fields.compare(name, "eq", value)
-    return fields.compare(name, op, value)
+    if op != "ne":
+        return fields.compare(name, op, value)
+    differs = ~fields.compare(name, "eq", value)
+    if isinstance(fields, TypedFields):
+        return differs
+    return fields.present(name) & ~fields.is_null(name) & differs
 
 
 def filter_rows(df: DataFrame, rules: Sequence[Mapping], enabled: bool = True) -> DataFrame:
-    """Rows that satisfy every rule."""
+    """Rows that satisfy every rule. A null field satisfies none, ``ne`` included.
+
+    On typed tables the conditions are plain comparisons, which Spark pushes to
+    the file scan.
+    """
     if not enabled or not rules:
         return df
-    return df.filter(reduce(lambda a, b: a & b, [condition(df, r) for r in rules]))
+    for rule in rules:
+        check_rule(rule)
+    fields = fields_of(df)
+    rows = fields.prepare(df, [r["field"] for r in rules])
+    tests = [_condition(fields, r) for r in rules]
+    return rows.filter(reduce(lambda a, b: a & b, tests)).select(*df.columns)

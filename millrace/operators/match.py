@@ -30,6 +30,7 @@ from millrace.functions.durations import interval, micros, window_micros
 from millrace.functions.keys import canonical_key
 from millrace.operators import hotkeys
 from millrace.operators.dedup import AT, KEY, SLICE, _batch_columns, _micros, _starts
+from millrace.session import shared_dir
 
 LEFT, RIGHT = 0, 1
 SIDE, EVENT, GONE = "__side", "__event", "__gone"
@@ -403,6 +404,14 @@ def _rank_ledger(events: DataFrame, window: int, hot_rows: int | None) -> DataFr
     )
 
 
+def staged(events: DataFrame) -> DataFrame:
+    """The four slim columns written to the shared folder once, because the
+    split below reads them four times and their source may be costly."""
+    path = shared_dir(events.sparkSession, "match-events")
+    events.write.parquet(path)
+    return events.sparkSession.read.schema(events.schema).parquet(path)
+
+
 def match_ledger(
     left: DataFrame,
     right: DataFrame,
@@ -426,6 +435,7 @@ def match_ledger(
     if unique_ids:
         ledger = _rank_ledger(events, size, hot_rows)
     else:
+        events = staged(events)
         repeats = (
             events.groupBy(KEY, SIDE, EVENT).count().filter("count > 1").select(KEY).distinct()
         )

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.fields import MapFields, as_variant, fields_of, put, remove, variant_kind
+from millrace.functions.fields import MapFields, as_variant, fields_of, put, put_all, remove, variant_kind
 
 # Rule names, cast targets and the texts accepted as numbers.
 RULES = ("rename", "default", "cast", "compute")
@@ -137,10 +137,8 @@ def _stamp(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
     data = _map_column(df)
     if data is None:
         return df.withColumns(dict(values))
-    entries = F.col(data)
-    for name, value in values.items():
-        entries = put(entries, name, value.cast("variant"))
-    return df.withColumn(data, entries)
+    new = {name: value.cast("variant") for name, value in values.items()}
+    return df.withColumn(data, put_all(F.col(data), new))
 
 
 def stamp_flow(df: DataFrame, name: str) -> DataFrame:

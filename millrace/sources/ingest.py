@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.fields import as_variant, put
+from millrace.functions.fields import as_variant, once, put_all
 from millrace.functions.keys import variant_key
 
 # The columns every topic-shaped frame has (those of Spark's Kafka source).
@@ -88,14 +88,19 @@ def json_decode(df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
     """
     text = F.col("value").cast("string")
     if schema is None:
-        parsed = F.try_parse_json(text)
-        entries = F.try_variant_get(parsed, "$", "map<string,variant>")
-        reason = F.when(parsed.isNull(), "malformed_json").when(entries.isNull(), "not_an_object")
-        return df.withColumn("data", entries).withColumn("error_reason", reason)
+        rows = once(df, __parsed=F.try_parse_json(text))
+        entries = F.try_variant_get(F.col("__parsed"), "$", "map<string,variant>")
+        rows = once(rows, __entries=entries)
+        reason = F.when(F.col("__parsed").isNull(), "malformed_json").when(
+            F.col("__entries").isNull(), "not_an_object"
+        )
+        return rows.select(
+            *df.columns, F.col("__entries").alias("data"), reason.alias("error_reason")
+        )
     corrupt = "__corrupt"
     wide = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
-    out = df.withColumn("__row", F.from_json(text, wide, options))
+    rows = once(df, __row=F.from_json(text, wide, options))
     is_object = text.rlike(r"^[ \t\r\n]*\{")
     broken = text.isNull() | F.col(f"__row.{corrupt}").isNotNull()
     reason = (
@@ -104,17 +109,16 @@ def json_decode(df: DataFrame, schema: T.StructType | None = None) -> DataFrame:
         .when(broken, "malformed_json")
         .when(~is_object, "not_an_object")
     )
-    return (
-        out.withColumn("error_reason", reason)
-        .withColumn("data", F.when(reason.isNull(), F.col("__row").dropFields(corrupt)))
-        .drop("__row")
-    )
+    rows = once(rows, error_reason=reason)
+    body = F.when(F.col("error_reason").isNull(), F.col("__row").dropFields(corrupt))
+    return rows.select(*df.columns, body.alias("data"), "error_reason")
 
 
 def require_key(df: DataFrame, field: str, out: str = "key_value") -> DataFrame:
     """Add the key text of ``data[field]``; an absent field is an error."""
-    key = variant_key(F.col("data")[field])
-    missing = F.when(F.col("error_reason").isNull() & key.isNull(), "missing_key")
+    value = F.col("data")[field]
+    key = variant_key(value)
+    missing = F.when(F.col("error_reason").isNull() & value.isNull(), "missing_key")
     return df.withColumn(out, key).withColumn(
         "error_reason", F.coalesce(F.col("error_reason"), missing)
     )
@@ -141,10 +145,8 @@ def ingest_metadata(df: DataFrame) -> DataFrame:
     kind = dict(df.dtypes).get("data", "")
     if not kind.startswith("map"):
         return df.withColumns(stamps)
-    data = F.col("data")
-    for name, value in stamps.items():
-        data = put(data, name, as_variant(value))
-    return df.withColumn("data", data)
+    stamps = {name: as_variant(value) for name, value in stamps.items()}
+    return df.withColumn("data", put_all(F.col("data"), stamps))
 
 
 def event_time(df: DataFrame, source: str = "timestamp", out: str = "event_time") -> DataFrame:

@@ -24,6 +24,7 @@ from millrace.functions.durations import micros, window_micros
 from millrace.functions.keys import canonical_key
 from millrace.operators.dedup import _micros
 from millrace.operators.match import WaitingRoom
+from millrace.session import ROCKSDB
 
 # Fixed value: extra time a waiting event stays after its window.
 RETENTION = "5m"
@@ -195,6 +196,8 @@ class MatchProcessor(_Ordered):
 
 def _packed(df: DataFrame, key: str, ts: str, event_id: str | None, side: int, delay: str):
     """The fixed columns the processors read, watermarked on ``ts``."""
+    # These processors need the RocksDB store; queries take the session's value.
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     kind = df.schema[ts].dataType
     if not isinstance(kind, T.TimestampType):
         raise ValueError(f"{ts} must be a timestamp column on a stream")
