@@ -262,16 +262,13 @@ def put(data: Column, name: str, value: Column) -> Column:
     return F.map_concat(rest, F.create_map(F.lit(name), value))
 
 
-def put_all(data: Column, values: dict[str, Column]) -> Column:
-    """The map with several entries set, rebuilt once."""
+def edit(data: Column, values: dict[str, Column]) -> Column:
+    """The map with several entries set, or removed where the value is NULL."""
     names = list(values)
     rest = F.map_filter(data, lambda k, _: ~k.isin(names))
     pairs = [c for n in names for c in (F.lit(n), values[n])]
-    return F.map_concat(rest, F.create_map(*pairs))
-
-
-def remove(data: Column, name: str) -> Column:
-    return F.map_filter(data, lambda k, _: k != name)
+    new = F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())
+    return F.map_concat(rest, new)
 
 
 def as_map(doc: Column) -> Column:

@@ -46,7 +46,12 @@ class HotKeys:
         cut = F.floor((at - F.col("__h0")) / F.col("__hw")) + 1
         return (
             df.join(grid, F.col(key) == F.col("__hk"), "left")
-            .withColumn(out, F.coalesce(F.greatest(cut, F.lit(1)).cast("int"), F.lit(0)))
+            .withColumn(
+                out,
+                F.when(F.col("__h0").isNull(), 0).otherwise(
+                    F.greatest(cut, F.lit(1)).cast("int")
+                ),
+            )
             .drop("__hk", "__h0", "__hw")
         )
 

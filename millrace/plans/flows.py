@@ -12,10 +12,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.fields import once
 from millrace.functions.keys import variant_key
 from millrace.operators import dedup, match
 from millrace.operators.filters import filter_rows
-from millrace.operators.transforms import apply_rules, stamp_flow, stamp_join
+from millrace.operators.transforms import Draft, apply_rules, flow_stamps, join_stamps
 from millrace.plans.spec import FlowSpec
 from millrace.sources import ingest
 from millrace.streaming import stateful
@@ -82,9 +83,10 @@ def _topic_flow(spec: FlowSpec, raw: DataFrame) -> Flow:
             )
             kept = judged.filter(~F.col("is_duplicate"))
         good = ingest.json_decode(kept.select(*_RECORD)).drop("error_reason")
-    out = ingest.ingest_metadata(good)
-    out = stamp_flow(out, spec.name)
-    out = apply_rules(out, spec.transforms)
+    draft = Draft()
+    draft.put(ingest.metadata_columns())
+    draft.put(flow_stamps(spec.name))
+    out = apply_rules(good, spec.transforms, draft=draft)
     return Flow(spec, out.select("data"), bad, judged=judged)
 
 
@@ -114,7 +116,7 @@ def _joined_data(joined: DataFrame, name: str) -> DataFrame:
         "pipeline": F.lit(name).cast("variant"),
     }
     pairs = [c for n, v in entries.items() for c in (F.lit(n), v)]
-    return joined.withColumn("data", F.create_map(*pairs))
+    return once(joined, data=F.create_map(*pairs))
 
 
 def joined_key(data, field: str):
@@ -161,7 +163,7 @@ def _join_flow(spec: FlowSpec, left_raw: DataFrame, right_raw: DataFrame) -> Flo
     if spec.dedup:
         if streaming:
             raise ValueError("deduplicate a joined stream in a second flow on its output topic")
-        keyed = out.withColumn("dedup_key", joined_key(F.col("data"), spec.dedup.key))
+        keyed = once(out, dedup_key=joined_key(F.col("data"), spec.dedup.key))
         missing = keyed.filter(F.col("dedup_key").isNull())
         errors = errors.unionByName(
             missing.select(F.to_json("data").alias("value"), F.lit("missing_key").alias("error_reason")),
@@ -179,8 +181,9 @@ def _join_flow(spec: FlowSpec, left_raw: DataFrame, right_raw: DataFrame) -> Flo
         kept = judged.filter(~F.col("is_duplicate"))
         body = F.try_variant_get(F.try_parse_json("body"), "$", "map<string,variant>")
         out = kept.select(body.alias("data"))
-    out = stamp_join(out.select("data"), spec.name)
-    out = apply_rules(out, spec.transforms)
+    draft = Draft()
+    draft.put(join_stamps(spec.name))
+    out = apply_rules(out.select("data"), spec.transforms, draft=draft)
     return Flow(spec, out.select("data"), errors, judged=judged, ledger=ledger)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.fields import as_variant, once, put_all
+from millrace.functions.fields import MapFields, as_variant, edit, fields_of, once
 from millrace.functions.keys import variant_key
 
 # The columns every topic-shaped frame has (those of Spark's Kafka source).
@@ -130,23 +130,25 @@ def ensure_id(df: DataFrame, field: str = "id", out: str = "event_id") -> DataFr
     return df.withColumn(out, F.coalesce(variant_key(F.col("data")[field]), position))
 
 
-def ingest_metadata(df: DataFrame) -> DataFrame:
-    """Add the record's topic position and times.
-
-    They become entries of a ``data`` map when there is one, else columns.
-    """
-    stamps: dict[str, Column] = {
+def metadata_columns() -> dict[str, Column]:
+    """The record's topic position and times."""
+    return {
         "_kafka_topic": F.col("topic"),
         "_kafka_partition": F.col("partition"),
         "_kafka_offset": F.col("offset"),
         "_kafka_timestamp": F.col("timestamp"),
         "_processed_at": F.current_timestamp(),
     }
-    kind = dict(df.dtypes).get("data", "")
-    if not kind.startswith("map"):
+
+
+def ingest_metadata(df: DataFrame) -> DataFrame:
+    """Add ``metadata_columns`` as entries of a ``data`` map when there is one,
+    else as columns."""
+    stamps = metadata_columns()
+    if not isinstance(fields_of(df), MapFields):
         return df.withColumns(stamps)
-    stamps = {name: as_variant(value) for name, value in stamps.items()}
-    return df.withColumn("data", put_all(F.col("data"), stamps))
+    entries = {name: as_variant(value) for name, value in stamps.items()}
+    return df.withColumn("data", edit(F.col("data"), entries))
 
 
 def event_time(df: DataFrame, source: str = "timestamp", out: str = "event_time") -> DataFrame:

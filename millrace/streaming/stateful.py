@@ -1,7 +1,8 @@
 """Deduplication and matching on unbounded streams.
 
-Both run on ``transformWithState``: one state per key, rows of a micro-batch
-taken in time order. Payload columns travel as one JSON text, so any column
+One state per key, rows of a micro-batch taken in time order: a single number
+passed along with the rows for eager deduplication, ``transformWithState`` with
+list state where rows have to be held. Payload columns travel as one JSON text, so any column
 type works and the state schema is fixed.
 
 ``emit="eager"`` answers in the micro-batch a row arrives in; rows that reach an
@@ -18,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.functions.durations import micros, window_micros
@@ -117,13 +119,8 @@ class AnchorProcessor(_Ordered):
         self.anchor = handle.getValueState("anchor", "at bigint")
 
     def take(self, key, rows):
-        anchor = self.anchor.get()[0] if self.anchor.exists() else None
-        before, out = anchor, []
-        for at, _, _, body in rows:
-            duplicate = anchor is not None and at - anchor <= self.window
-            if not duplicate:
-                anchor = at
-            out.append((anchor, duplicate, body))
+        before = self.anchor.get()[0] if self.anchor.exists() else None
+        anchor, out = _judge(self.window, before, rows)
         if anchor != before:
             self.anchor.update((anchor,))
             self.handle.registerTimer(_timer(anchor + self.window))
@@ -134,6 +131,44 @@ class AnchorProcessor(_Ordered):
             self.anchor.clear()
 
 
+def _judge(window: int, anchor: int | None, rows: list[tuple]) -> tuple[int | None, list[tuple]]:
+    """The anchor after some rows in time order, and (first seen, duplicate,
+    body) of each. A row older than the anchor counts as a duplicate."""
+    out = []
+    for at, _, _, body in rows:
+        duplicate = anchor is not None and at - anchor <= window
+        if not duplicate:
+            anchor = at
+        out.append((anchor, duplicate, body))
+    return anchor, out
+
+
+def _eager_anchor(window: int):
+    """Eager deduplication: the state is one number that travels with the rows,
+    so a key costs no calls to the store."""
+
+    def run(key, rows, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        arrived = sorted(
+            (int(at), event, 0, body)
+            for pdf in rows
+            for at, event, body in zip(pdf["at"], pdf["event"], pdf["body"])
+        )
+        before = state.get[0] if state.exists else None
+        anchor, out = _judge(window, before, arrived)
+        if anchor != before:
+            state.update((anchor,))
+        lapse = max(_timer(anchor + window), state.getCurrentWatermarkMs() + 1)
+        state.setTimeoutTimestamp(lapse)
+        yield pd.DataFrame(
+            [(key[0], *r) for r in out], columns=["key_value", *AnchorProcessor.columns]
+        )
+
+    return run
+
+
 class MatchProcessor(_Ordered):
     """Waiting events of both sides; one-to-one, oldest first."""
 
@@ -230,14 +265,17 @@ def dedup_stream(
 ) -> DataFrame:
     """Kept events of a stream, or all of them annotated. State per key is one
     number, dropped when the watermark passes the anchor's window."""
-    size = window_micros(window)
-    out = (
-        _packed(df, key, ts, event_id, 0, delay)
-        .groupBy("key_value")
-        .transformWithStateInPandas(
-            AnchorProcessor(size, _check_emit(emit)), AnchorProcessor.schema, "append", "EventTime"
+    size, hold = window_micros(window), _check_emit(emit)
+    keyed = _packed(df, key, ts, event_id, 0, delay).groupBy("key_value")
+    if hold:
+        out = keyed.transformWithStateInPandas(
+            AnchorProcessor(size, hold), AnchorProcessor.schema, "append", "EventTime"
+        )
+    else:
+        out = keyed.applyInPandasWithState(
+            _eager_anchor(size), AnchorProcessor.schema, "anchor bigint", "append",
+            GroupStateTimeout.EventTimeTimeout,
         )
-    )
     if not annotate:
         out = out.filter("NOT is_duplicate")
     row = out.withColumn("__row", F.from_json("body", df.schema, _JSON))

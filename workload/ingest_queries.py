@@ -212,8 +212,11 @@ def rename(spark, sf):
 )
 def rename_schemaless(spark, sf):
     good, _ = ingest.split_errors(ingest.json_decode(event_topic(spark, sf)))
-    out = transforms.rename(good, "value", "amount")
-    out = transforms.rename(out, "user_id", "account")
+    rules = [
+        {"field": "value", "type": "rename", "value": "amount"},
+        {"field": "user_id", "type": "rename", "value": "account"},
+    ]
+    out = transforms.apply_rules(good, rules)
     data = F.col("data")
     return out.select(
         "offset",
@@ -233,7 +236,8 @@ def rename_schemaless(spark, sf):
 def default_absent(spark, sf):
     """A JSON null is present and keeps its value."""
     good, _ = ingest.split_errors(ingest.json_decode(event_topic(spark, sf)))
-    out = transforms.default(good, "user_id", "anonymous")
+    rule = {"field": "user_id", "type": "default", "value": "anonymous"}
+    out = transforms.apply_rules(good, [rule])
     return out.select("offset", variant_key(F.col("data")["user_id"]).alias("user_text"))
 
 
@@ -318,9 +322,12 @@ def cast_schemaless(spark, sf):
     """In a map, text that does not parse stays text."""
     raw = as_topic(events(spark, sf).withColumn("n", F.expr(_TEXT)), "events", "n")
     good, _ = ingest.split_errors(ingest.json_decode(raw))
-    out = transforms.compute(good, "n", "n")
-    out = transforms.cast(out, "n", "int")
-    out = transforms.cast(out, "value", "string")
+    rules = [
+        {"field": "n", "type": "compute", "value": "n"},
+        {"field": "n", "type": "cast", "value": "int"},
+        {"field": "value", "type": "cast", "value": "string"},
+    ]
+    out = transforms.apply_rules(good, rules)
     data = F.col("data")
     return out.select(
         "offset",
