@@ -439,9 +439,12 @@ def match_ledger(
         repeats = (
             events.groupBy(KEY, SIDE, EVENT).count().filter("count > 1").select(KEY).distinct()
         )
-        plain = events.join(repeats, KEY, "left_anti")
-        doubled = events.join(repeats, KEY, "left_semi")
-        ledger = _rank_ledger(plain, size, hot_rows).unionByName(_room_ledger(doubled, size))
+        if repeats.isEmpty():
+            ledger = _rank_ledger(events, size, hot_rows)
+        else:
+            plain = events.join(repeats, KEY, "left_anti")
+            doubled = events.join(repeats, KEY, "left_semi")
+            ledger = _rank_ledger(plain, size, hot_rows).unionByName(_room_ledger(doubled, size))
     kind = left.schema[ts].dataType
     return ledger.select(
         F.col("key").alias("join_key"),

@@ -143,9 +143,10 @@ def _judge(window: int, anchor: int | None, rows: list[tuple]) -> tuple[int | No
     return anchor, out
 
 
-def _eager_anchor(window: int):
+def _eager_anchor(window: int, annotate: bool):
     """Eager deduplication: the state is one number that travels with the rows,
-    so a key costs no calls to the store."""
+    so a key costs no calls to the store. Only kept rows come back unless
+    ``annotate`` is set."""
 
     def run(key, rows, state):
         if state.hasTimedOut:
@@ -163,7 +164,8 @@ def _eager_anchor(window: int):
         lapse = max(_timer(anchor + window), state.getCurrentWatermarkMs() + 1)
         state.setTimeoutTimestamp(lapse)
         yield pd.DataFrame(
-            [(key[0], *r) for r in out], columns=["key_value", *AnchorProcessor.columns]
+            [(key[0], *r) for r in out if annotate or not r[1]],
+            columns=["key_value", *AnchorProcessor.columns],
         )
 
     return run
@@ -273,7 +275,7 @@ def dedup_stream(
         )
     else:
         out = keyed.applyInPandasWithState(
-            _eager_anchor(size), AnchorProcessor.schema, "anchor bigint", "append",
+            _eager_anchor(size, annotate), AnchorProcessor.schema, "anchor bigint", "append",
             GroupStateTimeout.EventTimeTimeout,
         )
     if not annotate:
