@@ -120,12 +120,13 @@ class RankScan:
         step = np.where(side[rows] == LEFT, 1, -1)
         low = (r_out - r_in)[rows].tolist()
         high = (l_in - l_out)[rows].tolist()
-        waiting = np.empty(len(rows), dtype=np.int64)
+        states = []
         q = self.state[4]
-        for i, (d, lo, hi) in enumerate(zip(step.tolist(), low, high)):
+        for d, lo, hi in zip(step.tolist(), low, high):
             q = lo if q < lo else hi if q > hi else q
-            waiting[i] = q
+            states.append(q)
             q += d
+        waiting = np.array(states, dtype=np.int64)
         is_left = step == 1
         rank = np.where(is_left, l_in[rows], r_in[rows]) + 1
         partner = np.where(
@@ -348,6 +349,8 @@ def _rank_ledger(events: DataFrame, window: int, hot_rows: int | None) -> DataFr
             F.struct((F.col(AT) + window).alias("t"), F.lit(1).alias("g")),
         ),
     ).select(KEY, SIDE, EVENT, F.inline("__m").alias(AT, GONE))
+    # A departure only counts; its id would be shuffled for nothing.
+    moves = moves.withColumn(EVENT, F.when(F.col(GONE) == 0, F.col(EVENT)))
     sliced = grid.slice_column(moves, KEY, F.col(AT), SLICE)
     seeds = None
     if grid:
