@@ -70,6 +70,9 @@ def _topic_flow(spec: FlowSpec, raw: DataFrame) -> Flow:
                 "/", "topic", F.lpad(F.col("partition").cast("string"), 10, "0"),
                 F.lpad(F.col("offset").cast("string"), 19, "0"),
             )
+            if spec.dedup.mode == "minute_bucket":
+                minute = F.floor(F.unix_micros("timestamp") / dedup.MINUTE).cast("string")
+                slim = slim.withColumn("key_value", F.concat_ws(" ", minute, "key_value"))
             kept = stateful.dedup_stream(
                 slim.withColumn("position", position), "key_value", "timestamp", window,
                 event_id="position",
@@ -161,8 +164,6 @@ def _join_flow(spec: FlowSpec, left_raw: DataFrame, right_raw: DataFrame) -> Flo
     errors = left_bad.unionByName(right_bad)
     judged = None
     if spec.dedup:
-        if streaming:
-            raise ValueError("deduplicate a joined stream in a second flow on its output topic")
         keyed = once(out, dedup_key=joined_key(F.col("data"), spec.dedup.key))
         missing = keyed.filter(F.col("dedup_key").isNull())
         errors = errors.unionByName(
@@ -170,15 +171,16 @@ def _join_flow(spec: FlowSpec, left_raw: DataFrame, right_raw: DataFrame) -> Flo
             allowMissingColumns=True,
         )
         # A pair counts from its later half: that is when it was made.
+        made_at = F.col("made_at") if streaming else F.greatest("left_time", "right_time")
         slim = keyed.filter(F.col("dedup_key").isNotNull()).select(
-            "joined_id", "dedup_key",
-            F.greatest("left_time", "right_time").alias("made_at"),
-            F.to_json("data").alias("body"),
-        )
-        judged = dedup.dedup_annotate(
-            slim, "dedup_key", "made_at", spec.dedup.time_window, ["joined_id"]
+            "joined_id", "dedup_key", made_at.alias("made_at"), F.to_json("data").alias("body")
         )
-        kept = judged.filter(~F.col("is_duplicate"))
+        window = spec.dedup.time_window
+        if streaming:
+            kept = stateful.dedup_joined_stream(slim, "dedup_key", "body", window)
+        else:
+            judged = dedup.dedup_annotate(slim, "dedup_key", "made_at", window, ["joined_id"])
+            kept = judged.filter(~F.col("is_duplicate"))
         body = F.try_variant_get(F.try_parse_json("body"), "$", "map<string,variant>")
         out = kept.select(body.alias("data"))
     draft = Draft()

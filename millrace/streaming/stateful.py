@@ -174,10 +174,10 @@ def _eager_anchor(window: int, annotate: bool):
 class MatchProcessor(_Ordered):
     """Waiting events of both sides; one-to-one, oldest first."""
 
-    columns = ["left_id", "right_id", "left_at", "right_at", "left_body", "right_body"]
+    columns = ["left_id", "right_id", "left_at", "right_at", "left_body", "right_body", "made_at"]
     schema = (
         "key_value string, left_id string, right_id string, left_at bigint, right_at bigint, "
-        "left_body string, right_body string"
+        "left_body string, right_body string, made_at timestamp"
     )
 
     def __init__(self, window: int, hold: bool, retention: int):
@@ -208,7 +208,8 @@ class MatchProcessor(_Ordered):
                 continue
             mine, other = (event, at, body), (took[0], took[1], bodies[(1 - side, took[0])])
             left, right = (mine, other) if side == 0 else (other, mine)
-            out.append((left[0], right[0], left[1], right[1], left[2], right[2]))
+            made_at = pd.Timestamp(max(left[1], right[1]), unit="us", tz="UTC")
+            out.append((left[0], right[0], left[1], right[1], left[2], right[2], made_at))
         for side, state in enumerate(self.waiting):
             kept = [(e, v[0], bodies[(side, e)]) for e, v in room.sides[side].items()]
             if kept:
@@ -299,13 +300,14 @@ def match_stream(
     retention=RETENTION,
 ) -> DataFrame:
     """One-to-one matches of two streams as joined events (see
-    ``match.joined_projection``)."""
+    ``match.joined_projection``), with ``made_at``, the later of the two times,
+    as the event time of whatever follows."""
     both = _packed(left, key, ts, event_id, 0, delay).unionByName(
         _packed(right, key, ts, event_id, 1, delay)
     )
     processor = MatchProcessor(window_micros(window), _check_emit(emit), micros(retention))
     out = both.groupBy("key_value").transformWithStateInPandas(
-        processor, MatchProcessor.schema, "append", "EventTime"
+        processor, MatchProcessor.schema, "append", "EventTime", eventTimeColumnName="made_at"
     )
     return out.select(
         F.concat_ws("_", F.lit("joined"), "left_id", "right_id").alias("joined_id"),
@@ -315,4 +317,18 @@ def match_stream(
         F.timestamp_micros("left_at").alias("left_time"),
         F.timestamp_micros("right_at").alias("right_time"),
         (F.abs(F.col("right_at") - F.col("left_at")) * 1000).alias("join_delay"),
+        "made_at",
     )
+
+
+def dedup_joined_stream(df: DataFrame, key: str, body: str, window) -> DataFrame:
+    """Kept rows (as their ``body`` text) of a matched stream, judged by the key
+    text in ``key`` at ``made_at``; runs in the same query as the match."""
+    keyed = df.select(
+        F.col(key).alias("key_value"), "made_at", _micros(df, "made_at").alias("at"),
+        F.col("joined_id").alias("event"), F.lit(0).alias("side"), F.col(body).alias("body"),
+    )
+    judged = keyed.groupBy("key_value").transformWithStateInPandas(
+        AnchorProcessor(window_micros(window), False), AnchorProcessor.schema, "append", "EventTime"
+    )
+    return judged.filter("NOT is_duplicate").select("body")

@@ -254,21 +254,35 @@ def _join_flow(spark, sf):
     return flows.compile_flow(spec.parse(JOIN_FLOW), topics)
 
 
-@query(
-    "flow_join",
-    f"""WITH RECURSIVE {_JOIN_WALK}
-        SELECT joined_id AS key, joined_id, k AS join_key, CAST(join_delay AS VARCHAR) AS join_delay,
-               'join' AS _pipeline_type
-        FROM verdicts WHERE keep""",
-)
-def flow_join(spark, sf):
-    records = flows.sink_rows(_join_flow(spark, sf))
+_JOIN_SQL = f"""WITH RECURSIVE {_JOIN_WALK}
+    SELECT joined_id AS key, joined_id, k AS join_key, CAST(join_delay AS VARCHAR) AS join_delay,
+           'join' AS _pipeline_type
+    FROM verdicts WHERE keep"""
+
+
+def _join_records(flow):
     names = ["joined_id", "join_key", "join_delay", "_pipeline_type"]
-    return records.select(
+    return flows.sink_rows(flow).select(
         "key", *[F.get_json_object("value", f"$.{n}").alias(n) for n in names]
     )
 
 
+@query("flow_join", _JOIN_SQL)
+def flow_join(spark, sf):
+    return _join_records(_join_flow(spark, sf))
+
+
+@query("flow_join_stream", _JOIN_SQL)
+def flow_join_stream(spark, sf):
+    """The same specification over two streams, match and dedup in one query."""
+    topics = {
+        name: as_topic(event_stream(spark, sf).filter(F.col("event_type") == name), name)
+        for name in ("purchase", "click")
+    }
+    flow = flows.compile_flow(spec.parse(JOIN_FLOW), topics)
+    return drained(_join_records(flow), "flow-join")
+
+
 @query(
     "flow_control",
     f"""WITH RECURSIVE {_FLOW_WALK}
