@@ -17,6 +17,12 @@ def _require(database: str, collection: str = "x") -> None:
         raise ValueError("database and collection names are required")
 
 
+def ensure_database(spark: SparkSession, name: str) -> None:
+    """Create a database whose folder all executors can reach."""
+    if not spark.catalog.databaseExists(name):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{shared_dir(spark, name)}'")
+
+
 class Collection:
     """A named collection. Every write makes a new folder and then points the
     table at it, so a folder being read is never overwritten."""
@@ -42,7 +48,7 @@ class Collection:
     def replace(self, rows: DataFrame) -> None:
         path = f"{self.root}/v-{uuid.uuid4().hex}"
         rows.write.parquet(path)
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
+        ensure_database(self.spark, self.database)
         if self.exists():
             self.spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{path}'")
             self.spark.catalog.refreshTable(self.table)

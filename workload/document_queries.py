@@ -286,7 +286,7 @@ _LISTED = "customer orders part".split()
 def _database(spark, sf):
     """A database whose tables are the given files."""
     name = "millrace_given"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+    collections.ensure_database(spark, name)
     for t in _LISTED:
         spark.sql(f"DROP TABLE IF EXISTS {name}.{t}")
         columns = ", ".join(f"`{n}` {k}" for n, k in table(spark, sf, t).dtypes)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.operators import match, tables
 from millrace.session import shared_dir
 from millrace.sources import ingest
+from millrace.sources.collections import ensure_database
 from millrace.streaming import sinks
 from workload.common import (
     PURCHASE_CLICK, drained, event_stream, events, match_cte, ntz, query, sides, table,
@@ -114,7 +115,7 @@ def drain(spark, sf):
 @query("create_table", f"WITH rows AS ({_SESSION_SQL}) SELECT * REPLACE (coalesce(page_views, 1) AS page_views) FROM rows")
 def create_table(spark, sf):
     """A catalog table, loaded and read by name."""
-    spark.sql("CREATE DATABASE IF NOT EXISTS millrace_tables")
+    ensure_database(spark, "millrace_tables")
     spec = tables.USER_SESSIONS_CLEAN
     full = f"`millrace_tables`.`{spec.name}`"
     spark.sql(f"DROP TABLE IF EXISTS {full}")
