@@ -62,6 +62,86 @@ def tagged(left, right, key, ts, event_id) -> DataFrame:
 
 # ------------------------------------------------------------------- the scan
 
+def _walk(q: int, step: np.ndarray, low: np.ndarray, high: np.ndarray):
+    """``q`` before each arrival, clamped to the window, and after the last."""
+    states = []
+    for d, lo, hi in zip(step.tolist(), low.tolist(), high.tolist()):
+        q = lo if q < lo else hi if q > hi else q
+        states.append(q)
+        q += d
+    return np.array(states, dtype=np.int64), q
+
+
+def _partners(step, waiting, lefts, rights):
+    """Own rank and the rank of the partner taken (0: none) of each arrival,
+    given the arrivals of both sides before it."""
+    is_left = step == 1
+    rank = np.where(is_left, lefts, rights) + 1
+    takes_right, takes_left = is_left & (waiting < 0), ~is_left & (waiting > 0)
+    partner = np.where(
+        takes_right, rights + waiting + 1, np.where(takes_left, lefts - waiting + 1, 0)
+    )
+    return rank, partner
+
+
+class WindowScan:
+    """Walks sorted arrivals of whole keys. How many are still inside the
+    window is looked up in the times themselves, so no departures are needed;
+    of a key that goes on in the next batch the times of one window are kept."""
+
+    NONE = np.empty(0, dtype=np.int64)
+
+    def __init__(self, window: int):
+        self.window = window
+        self.key = None
+        self.q = 0
+        self.totals = (0, 0)
+        self.recent = (self.NONE, self.NONE)
+
+    def feed(self, keys: pa.Array, at: np.ndarray, side: np.ndarray):
+        """(rank, partner rank or 0) of every row of a batch."""
+        n = len(at)
+        starts = _starts(keys, np.zeros(n, dtype=np.int32))
+        low = int(at.min())
+        stride = int(at.max()) - low + self.window + 1
+        if len(starts) * stride >= 1 << 62:
+            half = n // 2
+            parts = [
+                self.feed(keys.slice(a, b - a), at[a:b], side[a:b])
+                for a, b in ((0, half), (half, n))
+            ]
+            return tuple(np.concatenate(c) for c in zip(*parts))
+        if keys[0].as_py() != self.key:
+            self.q, self.totals, self.recent = 0, (0, 0), (self.NONE, self.NONE)
+        sizes = np.diff(np.append(starts, n))
+        line = np.repeat(np.arange(len(starts)) * stride, sizes) + (at - low)
+        first = int(sizes[0])
+        inside, before = [], []
+        for s in (LEFT, RIGHT):
+            mine = side == s
+            prior = np.cumsum(mine) - mine
+            open_ = prior - np.searchsorted(line[mine], line - self.window, side="left")
+            kept = self.recent[s]
+            open_[:first] += len(kept) - np.searchsorted(kept, at[:first] - self.window, side="left")
+            rank = prior - np.repeat(prior[starts], sizes)
+            rank[:first] += self.totals[s]
+            inside.append(open_)
+            before.append(rank)
+        step = np.where(side == LEFT, 1, -1)
+        waiting, self.q = _walk(self.q, step, -inside[RIGHT], inside[LEFT])
+        last = int(starts[-1])
+        floor = int(at[-1]) - self.window
+        recent, totals = [], []
+        for s in (LEFT, RIGHT):
+            times = at[last:][side[last:] == s]
+            if last == 0:
+                times = np.concatenate((self.recent[s], times))
+            recent.append(times[np.searchsorted(times, floor, side="left") :])
+            totals.append(int(before[s][-1]) + int(side[-1] == s))
+        self.recent, self.totals = tuple(recent), tuple(totals)
+        self.key = keys[n - 1].as_py()
+        return _partners(step, waiting, before[LEFT], before[RIGHT])
+
 def _counts(batch: pa.RecordBatch, starts: np.ndarray, carried: tuple[int, int, int, int]):
     """Running arrivals and departures per side, before each row.
 
@@ -118,22 +198,8 @@ class RankScan:
         (l_in, _), (r_in, _), (l_out, _), (r_out, _) = before
         rows = np.flatnonzero(gone == 0)
         step = np.where(side[rows] == LEFT, 1, -1)
-        low = (r_out - r_in)[rows].tolist()
-        high = (l_in - l_out)[rows].tolist()
-        states = []
-        q = self.state[4]
-        for d, lo, hi in zip(step.tolist(), low, high):
-            q = lo if q < lo else hi if q > hi else q
-            states.append(q)
-            q += d
-        waiting = np.array(states, dtype=np.int64)
-        is_left = step == 1
-        rank = np.where(is_left, l_in[rows], r_in[rows]) + 1
-        partner = np.where(
-            is_left & (waiting < 0),
-            r_in[rows] + waiting + 1,
-            np.where(~is_left & (waiting > 0), l_in[rows] - waiting + 1, 0),
-        )
+        waiting, q = _walk(self.state[4], step, (r_out - r_in)[rows], (l_in - l_out)[rows])
+        rank, partner = _partners(step, waiting, l_in[rows], r_in[rows])
         ends = [int(c[-1] + h[-1]) for c, h in before]
         self.state = (*ends, int(q))
         self.name = (keys[batch.num_rows - 1].as_py(), int(slices[-1]))
@@ -143,6 +209,24 @@ class RankScan:
 _RANKED = "key string, rank bigint, side int, at bigint, event {id}, partner bigint"
 
 
+def _window_ranker(window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scan = WindowScan(window)
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            named = dict(zip(batch.schema.names, batch.columns))
+            side = named[SIDE].to_numpy()
+            rank, partner = scan.feed(named[KEY], named[AT].to_numpy(), side)
+            yield pa.RecordBatch.from_arrays(
+                [named[KEY], pa.array(rank, pa.int64()), named[SIDE], named[AT], named[EVENT],
+                 pa.array(partner, pa.int64())],
+                names=["key", "rank", "side", "at", "event", "partner"],
+            )
+
+    return run
+
+
 def _ranker(seeds):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = RankScan(seeds.value if seeds is not None else None)
@@ -340,9 +424,14 @@ def _room_ledger(events: DataFrame, window: int) -> DataFrame:
 
 # ------------------------------------------------------------------ operators
 
-def _rank_ledger(events: DataFrame, window: int, hot_rows: int | None) -> DataFrame:
-    grid = hotkeys.find_hot_keys(events, KEY, AT, hot_rows)
-    moves = events.withColumn(
+def _ranked_slices(events: DataFrame, window: int, grid, schema: str) -> DataFrame:
+    """Ranks and partners of the hot keys, slice by slice in parallel.
+
+    Each event also departs when its window ends, so that a slice knows how
+    many are inside the window from two running counts.
+    """
+    hot = events.filter(F.col(KEY).isin(list(grid.grid)))
+    moves = hot.withColumn(
         "__m",
         F.array(
             F.struct(F.col(AT).alias("t"), F.lit(0).alias("g")),
@@ -352,16 +441,28 @@ def _rank_ledger(events: DataFrame, window: int, hot_rows: int | None) -> DataFr
     # A departure only counts; its id would be shuffled for nothing.
     moves = moves.withColumn(EVENT, F.when(F.col(GONE) == 0, F.col(EVENT)))
     sliced = grid.slice_column(moves, KEY, F.col(AT), SLICE)
-    seeds = None
-    if grid:
-        states = _slice_states(sliced.filter(F.col(SLICE) > 0))
-        seeds = events.sparkSession.sparkContext.broadcast(states)
-    id_type = events.schema[EVENT].dataType.simpleString()
-    ranked = (
+    seeds = events.sparkSession.sparkContext.broadcast(_slice_states(sliced))
+    return (
         sliced.repartition(KEY, SLICE)
         .sortWithinPartitions(KEY, SLICE, AT, GONE, EVENT, SIDE)
-        .mapInArrow(_ranker(seeds), _RANKED.format(id=id_type))
+        .mapInArrow(_ranker(seeds), schema)
     )
+
+
+def _rank_ledger(events: DataFrame, window: int, hot_rows: int | None) -> DataFrame:
+    grid = hotkeys.find_hot_keys(events, KEY, AT, hot_rows)
+    sliced = grid.slice_column(events, KEY, F.col(AT), SLICE)
+    schema = _RANKED.format(id=events.schema[EVENT].dataType.simpleString())
+    ranked = (
+        sliced.filter(F.col(SLICE) == 0)
+        .select(KEY, AT, SIDE, EVENT)
+        .repartition(KEY)
+        .sortWithinPartitions(KEY, AT, EVENT, SIDE)
+        .mapInArrow(_window_ranker(window), schema)
+    )
+    if grid:
+        ranked = ranked.unionAll(_ranked_slices(events, window, grid, schema))
+    id_type = events.schema[EVENT].dataType.simpleString()
     # Every arrival files itself under its own rank; one that takes a partner
     # also files itself under the partner's rank on the other side.
     own = F.struct(

@@ -75,6 +75,16 @@ def test_cut_keys_give_the_same_rows(spark, monkeypatch, window, budget):
     assert {r["id"] for r in got.collect()} == loop(rows, window)
 
 
+def test_cut_keys_carry_over_small_batches(spark):
+    rows = random_rows(700, ["hot"] * 6 + list("bc"), 5000, 11)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = dedup.dedup_anchor(frame(spark, rows), "k", "ts", 60_000, ["id"], hot_rows=80)
+        assert {r["id"] for r in got.collect()} == loop(rows, 60)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
+
+
 @pytest.mark.parametrize("partitions", [1, 4, 17])
 def test_partitioning_does_not_matter(spark, partitions):
     rows = random_rows(800, list("abcdefgh"), 3000, 1)

@@ -3,6 +3,8 @@
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.operators import match
@@ -65,6 +67,29 @@ def test_matches_loop(spark, window, lean):
     assert found(ledger) == loop(rows, window)
 
 
+@pytest.mark.parametrize("window", [0, 25, 700])
+@pytest.mark.parametrize("hot_rows", [None, 60])
+def test_state_carries_over_small_batches(spark, window, hot_rows):
+    rows = random_rows(600, ["hot"] * 6 + list("bcd"), 3000, window, lean=0.4)
+    left, right = frames(spark, rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        ledger = match.match_ledger(
+            left, right, "k", "ts", "id", window * 1000, unique_ids=True, hot_rows=hot_rows
+        )
+        assert found(ledger) == loop(rows, window)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
+
+
+def test_far_apart_times_split_the_batch():
+    far = 1 << 58
+    at = np.array([far * (i % 2) for i in range(64)], dtype=np.int64)
+    keys = pa.array([str(i // 2) for i in range(64)])
+    rank, partner = match.WindowScan(far).feed(keys, at, np.array([0, 1] * 32, dtype=np.int32))
+    assert list(rank) == [1] * 64 and list(partner) == [0, 1] * 32
+
+
 @pytest.mark.parametrize("window", [0, 10, 200, 3000])
 def test_cut_keys_give_the_same_pairs(spark, window):
     rows = random_rows(2500, ["hot"] * 7 + ["b"], 6000, window, lean=0.4)
