@@ -9,6 +9,7 @@ from millrace.functions import draws, durations
 from millrace.functions.keys import canonical_key, variant_key
 from millrace.operators import filters, tables, transforms
 from millrace.plans import flows, spec
+from millrace.session import shared_dir
 from millrace.sources import ingest
 
 
@@ -176,6 +177,11 @@ def test_table_rules(spark):
     assert tables.retention(source.filter("amount < 0"), "timestamp", "1 DAY").count() == 0
 
 
+def test_scratch_goes_to_the_shared_folder(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert root and shared_dir(spark, "x").startswith(f"{root}/x-")
+
+
 def test_draws_follow_their_weights(spark):
     df = spark.range(40_000)
     counts = dict(

@@ -4,6 +4,7 @@ import os
 import time
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.operators import dedup, match
@@ -21,7 +22,7 @@ def events(spark):
 def slices(df, path, parts, shuffled=False):
     """Write ``df`` as files, in time order, with rising modification times."""
     order = F.xxhash64("event_id") if shuffled else F.col("ts")
-    ranked = df.withColumn("__n", F.ntile(parts).over(__import__("pyspark").sql.Window.orderBy(order)))
+    ranked = df.withColumn("__n", F.ntile(parts).over(Window.orderBy(order)))
     now = time.time() - 1000
     for n in range(1, parts + 1):
         target = f"{path}/part-{n}"

@@ -111,9 +111,6 @@ def match_exists(spark, sf):
     return _ids(docs.find(_props(spark, sf), {"value": {"$exists": True}, "type": {"$eq": "view"}}))
 
 
-_RANKED = f"row_number() OVER (ORDER BY c_acctbal DESC NULLS LAST, c_custkey)"
-
-
 @query(
     "sort_documents",
     f"SELECT {_C} FROM customer ORDER BY c_mktsegment NULLS FIRST, c_acctbal DESC NULLS LAST, c_custkey LIMIT 100",
