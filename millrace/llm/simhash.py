@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.graph import components
 from millrace.llm.staging import staged
-from millrace.llm.tokens import BLANKS, pieces
+from millrace.llm.tokens import BLANKS, joined, pieces
 from millrace.llm.xxh64 import hash_ranges
 
 WORDS, SEED, RADIUS = 3, 42, 3
@@ -42,17 +42,6 @@ GENERATOR = 0b101011100011
 
 # ------------------------------------------------------------ fingerprints
 
-def _joined(data, starts, ends):
-    """The words laid out anew with one blank after each."""
-    sizes = ends - starts + 1
-    stops = np.cumsum(sizes)
-    begins = stops - sizes
-    index = np.repeat(starts - begins, sizes) + np.arange(stops[-1])
-    out = data[np.minimum(index, len(data) - 1)]
-    out[stops - 1] = 32
-    return out, begins, stops - 1
-
-
 def _text_bits(texts: pa.Array) -> np.ndarray:
     """The fingerprint of every text of a column, as int64."""
     ones = np.zeros((len(texts), 64), dtype=np.int64)
@@ -60,7 +49,7 @@ def _text_bits(texts: pa.Array) -> np.ndarray:
     for data, starts, ends, rows in pieces(texts, ~BLANKS, WORDS - 1):
         if not len(starts):
             continue
-        out, begins, stops = _joined(data, starts, ends)
+        out, begins, stops = joined(data, starts, ends)
         n = len(rows)
         first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
         last = np.r_[first[1:], n] - 1

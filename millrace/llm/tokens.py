@@ -88,3 +88,14 @@ def _long(data, row, inside, overlap, limit):
         if high == size:
             return
         low += int(starts[len(starts) - overlap]) if overlap else int(ends[-1])
+
+
+def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple:
+    """The words laid out anew with one blank after each."""
+    sizes = ends - starts + 1
+    stops = np.cumsum(sizes)
+    begins = stops - sizes
+    index = np.repeat(starts - begins, sizes) + np.arange(stops[-1])
+    out = data[np.minimum(index, len(data) - 1)]
+    out[stops - 1] = 32
+    return out, begins, stops - 1
