@@ -114,7 +114,7 @@ def _bit_filter(seeds: DataFrame) -> np.ndarray:
     count = seeds.count()
     bits = min(FILTER_BITS, max(16, (1024 * count).bit_length()))
     place = F.col("seed").bitwiseAND((1 << bits) - 1)
-    one = F.shiftleft(F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
     words = seeds.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()
     out = np.zeros(1 << (bits - 6), dtype=np.uint64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontam, langid
+from millrace.llm import decontam, langid, mixing, sharding
 from millrace.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,13 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_benchmark_decontamination")
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_sharding")
+def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op3_source_mixing")
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(table(spark, sf_dir, "documents"))
