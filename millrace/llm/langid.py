@@ -20,13 +20,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.tokens import joined, pieces
 
 BUCKETS, WIDTH, LONGEST = 4096, 16, 4
 PER_LANGUAGE, SAMPLE = 1000, 20_000
+PIECE = 1 << 18
 EPOCHS, BATCH, RATE = 12, 16, 4.0
 REJECTED = 0.001
 UNKNOWN = "und"
@@ -50,18 +51,13 @@ def _subwords(texts: pa.Array, limit: int):
         if not len(starts):
             continue
         out, begins, stops = joined(data, starts, ends)
-        owner = np.repeat(rows, stops - begins + 1)
-        owners, buckets = [], []
+        owner = np.repeat(rows.astype(np.int32), stops - begins + 1)
         code = np.zeros(len(out), dtype=np.uint64)
         for n in range(1, min(LONGEST, len(out)) + 1):
-            code = code[:len(out) - n + 1] * np.uint64(257) + out[n - 1:].astype(np.uint64) + np.uint64(1)
+            code = code[:len(out) - n + 1] * np.uint64(257) + out[n - 1:] + np.uint64(1)
             whole = owner[:len(code)] == owner[n - 1:]
             mixed = (code[whole] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(52)
-            owners.append(owner[:len(code)][whole])
-            buckets.append(mixed.astype(np.int64))
-        owners, buckets = np.concatenate(owners), np.concatenate(buckets)
-        order = np.argsort(owners, kind="stable")
-        yield owners[order], buckets[order]
+            yield owner[:len(code)][whole], mixed.astype(np.int32)
 
 
 def _runs(rows):
@@ -78,7 +74,7 @@ def _count_batches(batches):
     """(doc_id, lang, buckets, counts) of the sample's documents."""
     for batch in batches:
         found = [{} for _ in range(batch.num_rows)]
-        for rows, buckets in _subwords(_texts(batch.column(2)), 1 << 20):
+        for rows, buckets in _subwords(_texts(batch.column(2)), PIECE):
             for low, high in zip(*_runs(rows)):
                 seen = found[rows[low]]
                 for k, n in zip(*np.unique(buckets[low:high], return_counts=True)):
@@ -107,11 +103,13 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 5) -> Lan
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), text.alias("text"))
     rows = rows.filter((fold(F.col("doc_id")) != 1) & F.col("lang").isNotNull() & has_letter(F.col("text")))
-    size = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    most = F.least(F.lit(per_language), F.lit(SAMPLE) / F.count("*").over(Window.partitionBy()))
-    share = size.select(F.col("lang").alias("l"), (most / F.col("n")).alias("share"))
+    size = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not size:
+        return _train([], [], seed)
+    most = min(per_language, SAMPLE / len(size))
+    share = F.create_map(*[F.lit(x) for lang, n in size.items() for x in (lang, most / n)])
     draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / (1 << 30)
-    sample = rows.join(share, F.col("lang") == F.col("l")).filter(draw < F.col("share")).select("doc_id", "lang", "text")
+    sample = rows.filter(draw < share[F.col("lang")]).select("doc_id", "lang", "text")
     counts = sample.mapInArrow(_count_batches, "doc_id long, lang string, buckets array<int>, counts array<long>")
     got = sorted(counts.collect(), key=lambda r: (r.doc_id, r.lang, r.buckets, r.counts))
     return _train([r.lang for r in got], [(r.buckets, r.counts) for r in got], seed)
@@ -179,7 +177,7 @@ def predict_texts(texts: pa.Array, model: LanguageModel) -> tuple[np.ndarray, np
     known = len(model.languages)
     sums, size = np.zeros((len(texts), known)), np.zeros(len(texts))
     if known and len(texts):
-        for rows, buckets in _subwords(texts, max(1 << 14, (1 << 22) // max(known, 4))):
+        for rows, buckets in _subwords(texts, max(1 << 14, PIECE * 8 // max(known, 8))):
             low, high = _runs(rows)
             sums[rows[low]] += np.add.reduceat(model.logits[buckets], low, axis=0)
             size[rows[low]] += high - low
