@@ -3,18 +3,19 @@
 A seed is a fixed mask laid over a run of tokens: the positions of its zeros are
 ignored, so a substituted token there does no harm. Seeds of the test items meet
 those of the documents in a join; for each meeting the item is laid along the
-document at that offset and the overlap is verified over its whole length.
+document at that offset and the overlap around the seed is verified.
 
-A document overlaps an item if, at an offset where a seed is shared, some run of
-at least ``OVERLAP`` aligned tokens (the whole item, if that is shorter) has at
-least four fifths of its tokens equal. Items of fewer tokens than a mask's span
+A document overlaps an item if, within ``AROUND`` tokens of a shared seed and
+aligned by it, some run of at least ``OVERLAP`` tokens (the whole item, if that is
+shorter) has at least four fifths of its tokens equal. Items of fewer tokens than a mask's span
 have a seed of their own length without zeros; those of fewer than ``SHORTEST``
 tokens are too common to name an item and are never found.
 
 Tokens are runs of letters, digits and non-ASCII bytes of the lower-cased text.
 Documents' seeds pass a bit filter of the test seeds (at most 32 MB, whatever the
 benchmark's size) before they are shuffled; what the filter lets through in
-error is lost in the join. Equal texts are one key, verified alike.
+error is lost in the join. The token hashes around the seeds go along in segments,
+so no text is shuffled or read twice. Equal texts are one key, verified alike.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from millrace.llm.tokens import WORD_BYTES, pieces
 MASKS = ("111010011011", "110110101101", "101101110011", "11111111")
 SPAN = 12
 OVERLAP, SHORTEST = 13, 5
+AROUND = 24
 FILTER_BITS = 28
 BASE = 0x9E3779B97F4A7C15
 
@@ -104,31 +106,55 @@ def _item_seed_batches(batches):
             array = np.array(tokens, dtype=np.int64).view(np.uint64)
             for mask in _masks_of(len(array)):
                 seeds = _seeds(array, mask).view(np.int64)
+                size = len(seeds)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(seeds), pa.array(np.full(len(seeds), item)), pa.array(np.arange(len(seeds)))],
-                    ["seed", "item", "item_at"])
+                    [pa.array(seeds), pa.array(np.full(size, item)), pa.array(np.arange(size)),
+                     pa.array(np.full(size, len(mask)))], ["seed", "item", "item_at", "span"])
 
 
 def _bit_filter(seeds: DataFrame) -> np.ndarray:
-    """A bit for each value of the seeds' low bits; its size is bounded."""
+    """Two bits for each seed, from its lower and upper half; its size is bounded."""
     count = seeds.count()
     bits = min(FILTER_BITS, max(16, (1024 * count).bit_length()))
-    place = F.col("seed").bitwiseAND((1 << bits) - 1)
+    halves = F.explode(F.array(F.col("seed"), F.shiftrightunsigned("seed", 32))).alias("half")
+    place = F.col("half").bitwiseAND((1 << bits) - 1)
     one = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
-    words = seeds.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()
+    words = seeds.select(halves).groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()
     out = np.zeros(1 << (bits - 6), dtype=np.uint64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return out
 
 
+def _passes(have: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    low_bits = np.uint64(64 * len(have) - 1)
+
+    def on(place):
+        place = place & low_bits
+        return (have[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)
+
+    hit = np.flatnonzero(on(seeds))
+    return hit[on(seeds[hit] >> np.uint64(32)) == 1]
+
+
 # --------------------------------------------------------------- documents
 
-def _doc_seed_batches(masks, bits):
-    """(k1, k2, seed, doc_at) of the documents' seeds that pass the filter."""
+def _lists(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Array:
+    """An Arrow list of values[low:high] for each pair of bounds."""
+    size = high - low
+    ends = np.cumsum(size)
+    index = np.repeat(low - ends + size, size) + np.arange(ends[-1])
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(values[index]))
+
+
+SEGMENTS = "k1 long, k2 long, segment long, tokens array<long>, seeds array<long>, places array<long>"
+
+
+def _segment_batches(masks, bits):
+    """The runs of tokens around the seeds that pass the filter, and the seeds
+    with their places in the run; ``segment`` is the run's place in its text."""
     def batches(source):
         have = bits.value
-        low_bits = np.uint64(64 * len(have) - 1)
-        overlap = max(map(len, masks)) - 1
+        overlap = 2 * AROUND + SPAN
         for batch in source:
             k1, k2 = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
             seen = np.zeros(batch.num_rows, dtype=np.int64)
@@ -138,31 +164,48 @@ def _doc_seed_batches(masks, bits):
                 tokens = _token_hashes(data, starts, ends)
                 first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
                 size = np.diff(np.r_[first, len(rows)])
+                begin, end = np.repeat(first, size), np.repeat(first + size, size)
                 again = np.where(seen[rows[first]] > 0, overlap, 0)
-                at = np.arange(len(rows)) - np.repeat(first - seen[rows[first]] + again, size)
+                base = np.repeat(seen[rows[first]] - again - first, size)
                 seen[rows[first]] += size - again
+                at, seeds, spans = [], [], []
                 for mask in masks:
                     if len(tokens) < len(mask):
                         continue
-                    seeds = _seeds(tokens, mask)
-                    low = seeds & low_bits
-                    hit = (have[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1)
-                    fits = rows[:len(seeds)] == rows[len(mask) - 1:]
-                    on = np.flatnonzero((hit == 1) & fits)
-                    if len(on):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(k1[rows[on]]), pa.array(k2[rows[on]]), pa.array(seeds[on].view(np.int64)),
-                             pa.array(at[on])], ["k1", "k2", "seed", "doc_at"])
+                    all_seeds = _seeds(tokens, mask)
+                    on = _passes(have, all_seeds)
+                    on = on[rows[on] == rows[on + len(mask) - 1]]
+                    at.append(on)
+                    seeds.append(all_seeds[on])
+                    spans.append(np.full(len(on), len(mask)))
+                at = np.concatenate(at) if at else np.zeros(0, np.int64)
+                if not len(at):
+                    continue
+                order = np.argsort(at, kind="stable")
+                at, seeds, spans = at[order], np.concatenate(seeds)[order], np.concatenate(spans)[order]
+                low = np.maximum(at - AROUND, begin[at])
+                high = np.maximum.accumulate(np.minimum(at + spans + AROUND, end[at]))
+                cut = np.flatnonzero(np.r_[True, low[1:] >= high[:-1]])
+                stop = np.r_[cut[1:], len(at)]
+                place = at - np.repeat(low[cut], stop - cut)
+                owner = rows[low[cut]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(k1[owner]), pa.array(k2[owner]), pa.array(low[cut] + base[low[cut]]),
+                     _lists(tokens.view(np.int64), low[cut], high[stop - 1]),
+                     _lists(seeds.view(np.int64), cut, stop), _lists(place, cut, stop)],
+                    ["k1", "k2", "segment", "tokens", "seeds", "places"])
     return batches
 
 
-def overlaps(doc: np.ndarray, item: np.ndarray, offset: int) -> bool:
-    """Whether the item laid at ``offset`` has a long enough run of equal tokens."""
-    low, high = max(0, -offset), min(len(item), len(doc) - offset)
+def overlaps(doc: np.ndarray, item: np.ndarray, at: int, offset: int, span: int) -> bool:
+    """Whether the item, laid at ``offset``, has a long enough run of equal
+    tokens around the seed at ``at``."""
+    low = max(0, offset, at - AROUND)
+    high = min(len(doc), offset + len(item), at + span + AROUND)
     need = min(OVERLAP, len(item))
     if high - low < need:
         return False
-    equal = doc[offset + low:offset + high] == item[low:high]
+    equal = doc[low:high] == item[low - offset:high - offset]
     sums = np.r_[0, np.cumsum(5 * equal.astype(np.int64) - 4)]
     return bool((sums[need:] >= np.minimum.accumulate(sums[:len(sums) - need])).any())
 
@@ -170,11 +213,11 @@ def overlaps(doc: np.ndarray, item: np.ndarray, offset: int) -> bool:
 def _verify_batches(batches):
     for batch in batches:
         out = [[], [], []]
-        texts = _whole(batch.column(2))
-        for k1, k2, doc, laid in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, batch.column(3).to_pylist()):
+        for k1, k2, tokens, laid in zip(*(c.to_pylist() for c in batch.columns)):
+            doc = np.array(tokens, dtype=np.int64)
             for one in laid:
-                item = np.array(one["tokens"], dtype=np.int64).view(np.uint64)
-                if any(overlaps(doc, item, offset) for offset in one["offsets"]):
+                item = np.array(one["item_tokens"], dtype=np.int64)
+                if any(overlaps(doc, item, m["at"], m["offset"], m["span"]) for m in one["met"]):
                     for column, value in zip(out, (k1, k2, one["item"])):
                         column.append(value)
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["k1", "k2", "item"])
@@ -201,18 +244,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = rows.mapInArrow(_item_batches, "item_id long, tokens array<long>")
     items = items.select(F.monotonically_increasing_id().alias("item"), "item_id", "tokens")
     items, _ = staged(items, "benchmark-items")
-    seeds = items.select("item", "tokens").mapInArrow(_item_seed_batches, "seed long, item long, item_at long")
+    seeds = items.select("item", "tokens").mapInArrow(_item_seed_batches, "seed long, item long, item_at long, span long")
     seeds, _ = staged(seeds, "benchmark-seeds")
     short = items.filter(F.size("tokens").between(SHORTEST, SPAN - 1)).select(F.size("tokens").alias("n")).distinct()
     masks = (*MASKS, *("1" * r.n for r in short.collect()))
     bits = spark.sparkContext.broadcast(_bit_filter(seeds))
-    met = texts.mapInArrow(_doc_seed_batches(masks, bits), "k1 long, k2 long, seed long, doc_at long").join(seeds, "seed")
-    met = met.select("k1", "k2", "item", (F.col("doc_at") - F.col("item_at")).alias("offset")).distinct()
-    laid = met.groupBy("k1", "k2", "item").agg(F.collect_set("offset").alias("offsets"))
-    laid = laid.join(items.select("item", "tokens"), "item")
-    laid = laid.groupBy("k1", "k2").agg(F.collect_list(F.struct("item", "offsets", "tokens")).alias("laid"))
-    laid, _ = staged(laid, "benchmark-hits")
-    found = texts.join(laid, ["k1", "k2"]).select("k1", "k2", "text", "laid")
+    runs, _ = staged(texts.mapInArrow(_segment_batches(masks, bits), SEGMENTS), "benchmark-segments")
+    where = ["k1", "k2", "segment"]
+    runs = runs.dropDuplicates(where)
+    pair = F.explode(F.arrays_zip("seeds", "places")).alias("hit")
+    met = runs.select(*where, pair).select(*where, F.col("hit.seeds").alias("seed"), F.col("hit.places").alias("at"))
+    met = met.join(seeds, "seed").groupBy(*where, "item")
+    met = met.agg(F.collect_set(F.struct("at", (F.col("at") - F.col("item_at")).alias("offset"), "span")).alias("met"))
+    met = met.join(items.select("item", F.col("tokens").alias("item_tokens")), "item")
+    laid = met.groupBy(*where).agg(F.collect_list(F.struct("item", "item_tokens", "met")).alias("laid"))
+    found = runs.join(laid, where).select("k1", "k2", "tokens", "laid")
     found = found.mapInArrow(_verify_batches, "k1 long, k2 long, item long").distinct()
     named = found.join(items.select("item", "item_id"), "item").groupBy("k1", "k2")
     return staged(named.agg(F.array_sort(F.collect_set("item_id")).alias("items")), "contaminated")[0]

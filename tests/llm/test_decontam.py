@@ -30,11 +30,12 @@ def brute(docs, items):
                 e = doc[offset + low:offset + high] == item[low:high]
                 if e.sum() < 5:
                     continue
-                seeded = any(all(e[a + k] for k, b in enumerate(mask) if b == "1") for mask in masks for a in range(len(e) - len(mask) + 1))
-                runs = any(5 * e[a:b].sum() >= 4 * (b - a) for a in range(len(e)) for b in range(a + need, len(e) + 1))
-                if seeded and runs:
-                    out.add((d, i))
-                    break
+                for mask in masks:
+                    for a in range(len(e) - len(mask) + 1):
+                        if all(e[a + k] for k, b in enumerate(mask) if b == "1"):
+                            w = e[max(0, a - 24):a + len(mask) + 24]
+                            if any(5 * w[x:y].sum() >= 4 * (y - x) for x in range(len(w)) for y in range(x + need, len(w) + 1)):
+                                out.add((d, i))
     return out
 
 
@@ -68,20 +69,36 @@ def test_against_every_offset(spark):
 
 
 def test_long_texts_in_pieces():
+    """Every seed comes with all tokens around it, wherever a text is cut."""
     rng = random.Random(6)
     text = " ".join(rng.choice("abcdefgh") * rng.randint(1, 4) for _ in range(900))
-    whole = decontam._whole(pa.array([text]))[0]
-    bits = type("B", (), {"value": np.full(1024, (1 << 64) - 1, dtype=np.uint64)})
-    column = pa.record_batch([pa.array([1]), pa.array([2]), pa.array([text])], ["k1", "k2", "text"])
-    wanted = {(int(s), i) for m in decontam.MASKS for i, s in enumerate(decontam._seeds(whole, m).view(np.int64))}
-    for limit in (64, 1000, 1 << 20):
-        cut = lambda t, i, o: tokens.pieces(t, i, o, limit)  # noqa: E731,B023
-        real, decontam.pieces = decontam.pieces, cut
-        try:
-            got = {p for b in decontam._doc_seed_batches(decontam.MASKS, bits)([column]) for p in zip(b["seed"].to_pylist(), b["doc_at"].to_pylist())}
-        finally:
-            decontam.pieces = real
-        assert got == wanted
+    whole = decontam._whole(pa.array([text]))[0].view(np.int64)
+    column = pa.record_batch([pa.array([1, 3, 5]), pa.array([2, 4, 6]), pa.array([text, None, "a b"])], ["k1", "k2", "text"])
+    seeds = {m: decontam._seeds(whole.view(np.uint64), m) for m in decontam.MASKS}
+    for chosen in (slice(None, None, 97), slice(None)):
+        have = np.zeros(1 << 14, dtype=np.uint64)
+        for s in np.concatenate([s[chosen] for s in seeds.values()]).tolist():
+            for half in (s, s >> 32):
+                have[(half & (1 << 20) - 1) >> 6] |= np.uint64(1 << (half & 63))
+        bits = type("B", (), {"value": have})
+        for limit in (64, 1000, 1 << 20):
+            cut = lambda t, i, o: tokens.pieces(t, i, o, limit)  # noqa: E731,B023
+            real, decontam.pieces = decontam.pieces, cut
+            try:
+                got = [r for b in decontam._segment_batches(decontam.MASKS, bits)([column]) for r in b.to_pylist()]
+            finally:
+                decontam.pieces = real
+            full = set()
+            for r in got:
+                low = r["segment"]
+                assert (r["k1"], r["k2"]) == (1, 2) and r["tokens"] == whole[low:low + len(r["tokens"])].tolist()
+                for seed, place in zip(r["seeds"], r["places"]):
+                    at = low + place
+                    if low <= max(0, at - 24) and low + len(r["tokens"]) >= min(900, at + 36):
+                        full.add((seed, at))
+            for s in seeds.values():
+                for at in range(len(s))[chosen]:
+                    assert (int(s.view(np.int64)[at]), at) in full
 
 
 def test_query_and_stage(spark, sf_dir):
