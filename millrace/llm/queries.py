@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontam, langid, mixing, sharding
+from millrace.llm import decontam, langid, licenses, mixing, sharding, urls
 from millrace.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,13 @@ def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_source_mixing")
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op9_url_filters", urls.SQL)
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"))
+
+
+@query("op6_license_scans", licenses.SQL)
+def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"))
