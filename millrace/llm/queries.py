@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontam, langid, licenses, mixing, sharding, urls
+from millrace.llm import decontam, langid, licenses, mixing, pii, sharding, token_counts, urls
 from millrace.llm.simhash import near_duplicates
 
+# Where the public tokenizers' files lie, and a key for the pseudonyms; a user
+# brings their own.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+PII_KEY = os.environ.get("PII_KEY", "not-a-secret")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -61,3 +67,14 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_license_scans", licenses.SQL)
 def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
+@query("op10_pii_pseudonyms")
+def pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymised_documents(table(spark, sf_dir, "documents"), PII_KEY)
+
+
+@query("op4_token_counts")
+def token_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = token_counts.sentencepiece_vocabulary(f"{TOKENIZERS}/piece_bpe_32k.model")
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary)
