@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontam, langid, licenses, mixing, pii, sharding, token_counts, urls
+from millrace.llm import covertree, decontam, langid, licenses, mixing, pii, sharding, token_counts, urls
 from millrace.llm.simhash import near_duplicates
 
 # Where the public tokenizers' files lie, and a key for the pseudonyms; a user
@@ -78,3 +78,8 @@ def pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = token_counts.sentencepiece_vocabulary(f"{TOKENIZERS}/piece_bpe_32k.model")
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary)
+
+
+@query("op8_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicates(table(spark, sf_dir, "embeddings"))
