@@ -17,7 +17,7 @@ unique and so cannot be skewed.
 
 from __future__ import annotations
 
-from collections import OrderedDict
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -341,27 +341,44 @@ def _slice_states(rows: DataFrame):
 # ------------------------------------------------------- repeated event ids
 
 class WaitingRoom:
-    """Waiting events of one key, oldest first, at most one per event id."""
+    """Waiting events of one key, each side in (time, id) order and at most one
+    per event id. An arrival takes the oldest of the other side that lies within
+    the window before or after it.
 
-    def __init__(self, window: int):
-        self.window = window
-        self.sides: tuple[OrderedDict, OrderedDict] = (OrderedDict(), OrderedDict())
+    ``ordered`` arrivals never look back, so what they have left behind is let
+    go; else whoever owns the room expires it.
+    """
+
+    def __init__(self, window: int, ordered: bool = True):
+        self.window, self.ordered = window, ordered
+        self.lines: tuple[list, list] = ([], [])
+        self.sides: tuple[dict, dict] = ({}, {})
         self.arrivals = 0
 
+    def add(self, side: int, event, at: int, arrival: int = 0) -> None:
+        """Let an event wait, in place of an earlier one with its id."""
+        line, known = self.lines[side], self.sides[side]
+        if event in known:
+            del line[bisect_left(line, (known[event][0], event))]
+        known[event] = (at, arrival)
+        insort(line, (at, event))
+
     def arrive(self, side: int, event, at: int):
         """The (id, time, arrival number) taken from the other side, or None if
         the event now waits."""
-        for waiting in self.sides:
-            while waiting and at - next(iter(waiting.values()))[0] > self.window:
-                waiting.popitem(last=False)
+        if self.ordered:
+            for line, known in zip(self.lines, self.sides):
+                gone = bisect_left(line, (at - self.window,))
+                for _, old in line[:gone]:
+                    del known[old]
+                del line[:gone]
         self.arrivals += 1
-        other = self.sides[1 - side]
-        if other:
-            taken, (taken_at, arrival) = other.popitem(last=False)
-            return taken, taken_at, arrival
-        own = self.sides[side]
-        own.pop(event, None)
-        own[event] = (at, self.arrivals)
+        line, known = self.lines[1 - side], self.sides[1 - side]
+        k = bisect_left(line, (at - self.window,))
+        if k < len(line) and line[k][0] <= at + self.window:
+            _, taken = line.pop(k)
+            return taken, *known.pop(taken)
+        self.add(side, event, at, self.arrivals)
         return None
 
 
@@ -586,24 +603,27 @@ def _delay_ns(left_time, right_time):
 
 
 def joined_projection(
-    matched: DataFrame, left: DataFrame, right: DataFrame, ts: str, event_id: str
+    matched: DataFrame, left: DataFrame, right: DataFrame, ts: str, event_id: str, key: str
 ) -> DataFrame:
     """Joined events with both payloads, times and the delay in nanoseconds.
 
-    Payloads are fetched back by (id, time), so unmatched rows and wide columns
-    never enter the scan.
+    Payloads are fetched back by (key, id, time), so unmatched rows and wide
+    columns never enter the scan. Rows alike in all three stand for one event;
+    any one of them gives the payload.
     """
     l = left.select(
+        canonical_key(left, key).alias("join_key"),
         F.col(event_id).alias("left_id"), F.col(ts).alias("left_time"),
         F.struct(*left.columns).alias("left_data"),
     )
     r = right.select(
+        canonical_key(right, key).alias("join_key"),
         F.col(event_id).alias("right_id"), F.col(ts).alias("right_time"),
         F.struct(*right.columns).alias("right_data"),
     )
     return (
-        matched.join(l, ["left_id", "left_time"])
-        .join(r, ["right_id", "right_time"])
+        matched.join(l.dropDuplicates(lk := ["join_key", "left_id", "left_time"]), lk)
+        .join(r.dropDuplicates(rk := ["join_key", "right_id", "right_time"]), rk)
         .select(
             F.concat_ws("_", F.lit("joined"), "left_id", "right_id").alias("joined_id"),
             "join_key",

@@ -158,7 +158,7 @@ def _join_flow(spec: FlowSpec, left_raw: DataFrame, right_raw: DataFrame) -> Flo
             left, right, "key_value", "event_time", "event_id", join.time_window
         )
         joined = match.joined_projection(
-            match.pairs(ledger), left, right, "event_time", "event_id"
+            match.pairs(ledger), left, right, "event_time", "event_id", "key_value"
         )
     out = _joined_data(joined, spec.name)
     errors = left_bad.unionByName(right_bad)

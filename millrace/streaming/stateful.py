@@ -189,11 +189,11 @@ class MatchProcessor(_Ordered):
         self.waiting = (handle.getListState("left", entry), handle.getListState("right", entry))
 
     def _load(self) -> tuple[WaitingRoom, dict]:
-        room, bodies = WaitingRoom(self.window), {}
+        room, bodies = WaitingRoom(self.window, ordered=False), {}
         for side, state in enumerate(self.waiting):
             if state.exists():
                 for event, at, body in state.get():
-                    room.sides[side][event] = (at, 0)
+                    room.add(side, event, at)
                     bodies[(side, event)] = body
         return room, bodies
 

@@ -172,3 +172,24 @@ def test_known_counts(spark):
     right = events.filter("event_type = 'click'")
     assert match.temporal_match(left, right, "user_id", "ts", "event_id", "6h").count() == 379
     assert match.interval_join_all(left, right, "user_id", "ts", "1h").count() == 62
+
+
+def test_arrivals_out_of_order():
+    """Partners lie within the window on either side, oldest first."""
+    room = match.WaitingRoom(60, ordered=False)
+    assert room.arrive(0, "l1", 0) is None and room.arrive(0, "l2", 600) is None
+    assert room.arrive(1, "r1", 30)[:2] == ("l1", 0)
+    assert room.arrive(1, "r2", 300) is None
+    assert room.arrive(1, "r3", 541)[:2] == ("l2", 600)
+    assert room.arrive(0, "l3", 250)[:2] == ("r2", 300)
+    assert room.arrive(0, "l4", 900) is None and room.arrive(0, "l4", 100) is None
+    assert room.arrive(1, "r4", 900) is None and room.arrive(1, "r5", 160)[:2] == ("l4", 100)
+
+
+def test_payloads_come_from_their_own_key(spark):
+    rows = [(k, t, i, side) for k in "ab" for i, t, side in [(1, 0, 0), (1, 0, 1), (1, 0, 0)]]
+    left, right = frames(spark, rows)
+    pairs = match.temporal_match(left, right, "k", "ts", "id", 10_000)
+    out = match.joined_projection(pairs, left, right, "ts", "id", "k").collect()
+    assert len(out) == 2
+    assert all(r["left_data"]["k"] == r["join_key"] == r["right_data"]["k"] for r in out)
