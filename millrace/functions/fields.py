@@ -217,7 +217,8 @@ class _VariantFields:
             .when(kind == "STRING", 2)
             .otherwise(3)
         )
-        keys = [rank, F.when(rank == 1, number), F.to_json(value)]
+        text = F.try_variant_get(value, "$", "string")
+        keys = [rank, F.when(rank == 1, number), F.when(rank == 2, text), F.when(rank != 2, F.to_json(value))]
         return [k.asc() if ascending else k.desc() for k in keys]
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import logging
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.fields import DocFields, as_variant, fields_of, set_path
+from millrace.session import shared_dir
 
 log = logging.getLogger(__name__)
 
@@ -150,20 +152,21 @@ def find(
 ) -> DataFrame:
     """Filter, then sort, skip and limit (0 means no limit).
 
-    Paging needs a total order, so ``id_column`` is appended to the sort. A skip
-    without a limit takes the skipped rows (a bounded top-k) out by id; a plain
+    Paging needs a total order, so ``id_column`` is appended to the sort; rows
+    with equal ids are told apart by place. A skip without a limit numbers the
+    sorted rows by partition and cuts by number, however deep it is; a plain
     offset would send every row through one task.
     """
     out = matching(df, query)
     order = sort_columns(df, sort)
+    if skip < 0 or limit < 0:
+        raise ValueError("skip and limit must not be negative")
     if skip > 0 and id_column is None:
         id_column = _id_of(df, None)
     if id_column and (order or skip > 0 or limit > 0):
         order.append(F.col(id_column).asc())
     if skip > 0 and limit <= 0:
-        skipped = out.orderBy(*order).limit(skip).select(id_column)
-        out = out.join(skipped, id_column, "left_anti").select(*df.columns)
-        return out.orderBy(*order)
+        return _without_first(out.orderBy(*order), skip)
     if order:
         out = out.orderBy(*order)
     if skip > 0:
@@ -171,6 +174,24 @@ def find(
     return out.limit(limit) if limit > 0 else out
 
 
+def _without_first(ordered: DataFrame, skip: int) -> DataFrame:
+    """A sorted frame without its first rows, still in order. The sorted rows
+    are kept in the shared folder; one count for each partition is read."""
+    spark, path = ordered.sparkSession, shared_dir(ordered.sparkSession, "skip")
+    numbered = ordered.withColumn("__at", F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    rows = spark.read.schema(numbered.schema).parquet(path)
+    counts = rows.groupBy(F.shiftright("__at", 33).alias("part")).count().orderBy("part").collect()
+    first = None
+    for r in counts:
+        if skip < r["count"]:
+            first = (r["part"] << 33) + skip
+            break
+        skip -= r["count"]
+    rest = rows.filter(F.lit(False)) if first is None else rows.filter(F.col("__at") >= first)
+    return rest.orderBy("__at").drop("__at")
+
+
 def render_json(df: DataFrame) -> DataFrame:
     """Each row as JSON text; ``(_id, doc)`` rows as the document with its id."""
     if isinstance(fields_of(df), DocFields) and "_id" in df.columns:
@@ -195,32 +216,42 @@ def _id_of(df: DataFrame, id_column: str | None) -> str:
 
 
 def insert_many(df: DataFrame, documents: DataFrame, text: str = "json_data") -> DataFrame:
-    """Append JSON documents to a ``(_id, doc)`` collection.
+    """Append JSON documents to a ``(_id, doc)`` collection (see ``parsed``)."""
+    return df.unionByName(parsed(documents, df.schema["_id"].dataType, text))
+
+
+def parsed(documents: DataFrame, id_type: T.DataType, text: str = "json_data") -> DataFrame:
+    """JSON documents as ``(_id, doc)`` rows.
 
     Any document that is not a JSON object fails the whole job, so nothing is
     written. Documents keep their own ``_id`` (of any type, as text) or get one
-    from a hash of their content and position.
+    from a hash of this call's own id and their position, so that no two inserts
+    share one.
     """
+    call = F.lit(uuid.uuid4().hex)
     doc = F.try_parse_json(F.col(text))
     entries = F.try_variant_get(doc, "$", "map<string,variant>")
     bad = F.concat(F.lit("invalid JSON document: "), F.coalesce(F.col(text), F.lit("null")))
     checked = F.when(entries.isNull(), F.raise_error(bad).cast("variant")).otherwise(doc)
     own = F.try_variant_get(doc, "$._id", "string")
-    made = F.substring(F.sha2(F.concat_ws("/", text, F.monotonically_increasing_id()), 256), 1, 24)
+    made = F.substring(F.sha2(F.concat_ws("/", call, F.monotonically_increasing_id()), 256), 1, 24)
     body = F.to_variant_object(F.map_filter(entries, lambda k, _: k != "_id"))
-    fresh = documents.select(
-        F.coalesce(own, made).cast(df.schema["_id"].dataType).alias("_id"),
+    return documents.select(
+        F.coalesce(own, made).cast(id_type).alias("_id"),
         F.when(checked.isNotNull(), body).alias("doc"),
     )
-    return df.unionByName(fresh)
 
 
 def insert_one(df: DataFrame, document: str | Mapping) -> DataFrame:
     """Append one document; invalid JSON is refused before any job runs."""
+    return insert_many(df, one_document(df.sparkSession, document))
+
+
+def one_document(spark, document: str | Mapping) -> DataFrame:
     text = document if isinstance(document, str) else json.dumps(document)
     if not isinstance(json.loads(text), dict):
         raise ValueError("a document must be a JSON object")
-    return insert_many(df, df.sparkSession.createDataFrame([(text,)], "json_data string"))
+    return spark.createDataFrame([(text,)], "json_data string")
 
 
 @dataclass(frozen=True)
@@ -241,16 +272,18 @@ def _updates(update: str | Mapping) -> dict:
 
 def _chosen(df: DataFrame, query, many: bool, id_column: str | None) -> DataFrame:
     """``df`` with a boolean ``__hit`` on the rows an operation applies to: all
-    matches, or the one that comes first by id."""
+    matches, or one row, that which comes first by id and place."""
     if many:
         rows, test = _prepared(df, query)
         return rows.withColumn("__hit", _sure(test)).select(*df.columns, "__hit")
     key = _id_of(df, id_column)
-    first = matching(df, query).agg(F.min(key).alias("__first")).filter("__first IS NOT NULL")
+    rows = df.withColumn("__row", F.monotonically_increasing_id())
+    found = matching(rows, query).filter(F.col(key).isNotNull())
+    first = found.agg(F.min(F.struct(key, "__row"))["__row"].alias("__first")).filter("__first IS NOT NULL")
     return (
-        df.join(F.broadcast(first), F.col(key) == F.col("__first"), "left")
+        rows.join(F.broadcast(first), F.col("__row") == F.col("__first"), "left")
         .withColumn("__hit", F.col("__first").isNotNull())
-        .drop("__first")
+        .drop("__first", "__row")
     )
 
 

@@ -24,8 +24,9 @@ def ensure_database(spark: SparkSession, name: str) -> None:
 
 
 class Collection:
-    """A named collection. Every write makes a new folder and then points the
-    table at it, so a folder being read is never overwritten."""
+    """A named collection. An insert adds files; an update or delete makes a new
+    folder and then points the table at it, so a folder being read is never
+    overwritten."""
 
     def __init__(self, spark: SparkSession, database: str, name: str, root: str | None = None):
         _require(database, name)
@@ -57,10 +58,21 @@ class Collection:
             self.spark.sql(f"CREATE TABLE {self.table} ({columns}) USING parquet LOCATION '{path}'")
 
     def insert_one(self, document) -> None:
-        self.replace(documents.insert_one(self.read(), document))
+        self.insert_many(documents.one_document(self.spark, document))
 
     def insert_many(self, texts: DataFrame) -> None:
-        self.replace(documents.insert_many(self.read(), texts))
+        """Adds files and rewrites none; an ``_id`` that is taken is refused."""
+        held = self.read()
+        fresh = documents.parsed(texts, held.schema["_id"].dataType)
+        ids = fresh.select("_id")
+        taken = ids.groupBy("_id").count().filter("count > 1").select("_id")
+        taken = taken.union(ids.join(held.select("_id"), "_id", "left_semi"))
+        if first := taken.first():
+            raise ValueError(f"duplicate _id: {first['_id']}")
+        if self.exists():
+            fresh.select(*held.columns).write.insertInto(self.table)
+        else:
+            self.replace(fresh)
 
     def find(self, query=None, sort=None, skip: int = 0, limit: int = 0) -> DataFrame:
         return documents.find(self.read(), query, sort, skip, limit, self.id_column)

@@ -98,7 +98,7 @@ def test_updates(users):
     assert users.count({"name": "Jane Doe", "age": 28}) == 1
     many = users.update('{"age": {"$gte": 30}}', '{"$set": {"category": "senior"}}', many=True)
     assert many["modified_count"] == 2
-    one = users.update({"age": {"$gte": 1}}, {"$set": {"first": True}})
+    one = users.update({"category": "senior"}, {"$set": {"first": True}})
     assert one["matched_count"] == 1 and users.count({"first": True, "_id": "1"}) == 1
     with pytest.raises(ValueError, match="inc"):
         users.update({}, {"$inc": {"age": 1}})
@@ -139,3 +139,34 @@ def test_listings(spark, users):
         list_collections(spark, "")
     with pytest.raises(ValueError):
         Collection(spark, "testdb", "")
+
+
+def test_ids_and_single_rows(spark):
+    store = Collection(spark, "iddb", "people")
+    for _ in range(2):
+        store.insert_one({"name": "same"})
+    assert len({r["_id"] for r in store.read().collect()}) == 2
+    files = set(store.read().inputFiles())
+    store.insert_one({"_id": "own", "name": "x"})
+    assert files < set(store.read().inputFiles())
+    with pytest.raises(ValueError, match="own"):
+        store.insert_one({"_id": "own"})
+    assert store.delete({"name": "same"}) == 1 and store.count() == 2
+    twice = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c")], "k int, v string")
+    assert docs.delete(twice, {}, id_column="k").count() == 2
+    assert docs.deleted_count(twice, {"v": "c"}, id_column="k").first()[0] == 0
+
+
+def test_text_order_and_deep_skip(spark):
+    names = ["John Doe", "John!", "John", "Jo", "5", "é"]
+    held = docs.from_json_text(
+        spark.createDataFrame([(str(i), f'{{"n": "{n}"}}') for i, n in enumerate(names)] + [("9", '{"n": 10}'), ("8", "{}")], "i string, j string"), "i", "j")
+    got = [docs.render_json(docs.find(held, sort={"n": 1})).collect()]
+    order = [r["_id"] for r in docs.find(held, sort={"n": 1}).collect()]
+    assert got and order == ["8", "9", "4", "3", "2", "0", "1", "5"]
+    rows = spark.createDataFrame([(None, 1), (None, 2), (7, 3), (7, 4)], "id int, v int")
+    for skip in range(6):
+        left = docs.find(rows, sort={"v": 1}, skip=skip, id_column="id").collect()
+        assert [r["v"] for r in left] == [1, 2, 3, 4][skip:]
+    wide = spark.range(5000).repartition(7)
+    assert [r["id"] for r in docs.find(wide, sort={"id": -1}, skip=4321, id_column="id").collect()] == list(range(678, -1, -1))
