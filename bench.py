@@ -20,7 +20,6 @@ HEADLINE = [
     "temporal_match_large_keys", "interval_join_all", "joined_projection",
     "transactions_table", "session_table", "match_more", "update_many", "limit_documents",
     "event_route", "flow_topic", "flow_join", "flow_topic_stream", "windowed_analytics",
-    "gen_sessions",
 ]
 
 

@@ -11,12 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import plan_size
-
 # A key above this many rows is cut into time slices of about a quarter of it.
 HOT_ROWS = 20_000_000
-# Inputs estimated below this many bytes cannot hold such a key.
-SKETCH_FROM_BYTES = 1 << 30
 SLICES_PER_HOT_ROWS = 4
 MAX_SLICES_PER_KEY = 100_000
 
@@ -69,13 +65,14 @@ def find_hot_keys(
     """Keys of ``df`` above ``hot_rows`` rows, with an even time grid for each.
 
     ``key`` is a text column and ``at`` a bigint column of microseconds. With
-    ``hot_rows`` unset, inputs under 1 GiB are not examined at all. The sketch
-    finds every key above about 1/20,000 of the rows.
+    ``hot_rows`` unset it is ``HOT_ROWS``. Inputs with no more rows than that
+    cannot hold such a key and are only counted. The sketch finds every key above
+    about 1/20,000 of the rows.
     """
     if hot_rows is None:
-        if plan_size(df) < SKETCH_FROM_BYTES:
-            return NONE
         hot_rows = HOT_ROWS
+        if df.count() <= hot_rows:
+            return NONE
     sketch = df.agg(
         F.expr(f"approx_top_k({key}, {min(tracked, 4096)}, {tracked})").alias("top")
     ).first()

@@ -15,13 +15,6 @@ EVENT_VERSION = "1.0"
 SAGA_EVENT = "saga.started"
 SAGA_SOURCE = "saga-orchestrator"
 SAGA_STATUS = "running"
-# The order saga's steps (name, command, compensation).
-ORDER_SAGA = (
-    ("step1", "reserve_inventory", "release_inventory"),
-    ("step2", "charge_payment", "refund_payment"),
-    ("step3", "create_shipment", "cancel_shipment"),
-    ("step4", "send_notification", "send_cancellation"),
-)
 
 Handler = Callable[[DataFrame], DataFrame]
 
@@ -136,7 +129,7 @@ def saga_start(
     df: DataFrame,
     saga_type: Column,
     context: Sequence[str],
-    steps: Sequence[tuple[str, str, str]] = ORDER_SAGA,
+    steps: Sequence[tuple[str, str, str]],
     saga_id: Column | None = None,
     at: Column | None = None,
 ) -> DataFrame:

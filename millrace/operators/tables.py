@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,7 +92,12 @@ REAL_TIME_ANALYTICS = TableSpec(
 
 def align_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
     """The table's columns in order and type; absent ones become NULL and
-    columns the table lacks are left out (see ``extra_columns``)."""
+    columns the table lacks are left out (see ``extra_columns``). A value that
+    does not convert is NULL; ``load_rows`` makes its row a dead letter."""
+    return df.select(*_aligned(df, spec))
+
+
+def _aligned(df: DataFrame, spec: TableSpec) -> list[Column]:
     out = []
     for c in spec.columns:
         if c.name not in df.columns:
@@ -102,11 +107,11 @@ def align_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
         if c.type == "string" and _is_nested(df.schema[c.name].dataType):
             column = F.to_json(column)
         elif c.type == "timestamp":
-            column = F.date_trunc("second", column.cast("timestamp"))
+            column = F.date_trunc("second", column.try_cast("timestamp"))
         else:
             column = column.try_cast(c.type)
         out.append(column.alias(c.name))
-    return df.select(*out)
+    return out
 
 
 def extra_columns(df: DataFrame, spec: TableSpec) -> list[str]:
@@ -153,7 +158,9 @@ def split_required(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame
         ],
         F.lit(None).cast("string"),
     )
-    marked = df.withColumn("error_reason", reason)
+    if "__misfit" in df.columns:
+        reason = F.coalesce("__misfit", reason)
+    marked = df.withColumn("error_reason", reason).drop("__misfit")
     return (
         marked.filter(F.col("error_reason").isNull()).drop("error_reason"),
         marked.filter(F.col("error_reason").isNotNull()),
@@ -174,23 +181,32 @@ def sort_key(df: DataFrame, spec: TableSpec, partitions: int | None = None) -> D
     return df.sortWithinPartitions(*spec.order_by)
 
 
-def retention(df: DataFrame, ts: str, ttl: str, as_of: datetime | None = None) -> DataFrame:
-    """Rows newer than ``as_of`` minus the time to live.
+def retention(df: DataFrame, ts: str, ttl: str, as_of: datetime) -> DataFrame:
+    """Rows newer than ``as_of`` minus the time to live, and those without a time.
 
-    ``as_of`` defaults to the newest row. It is fetched first and compared as a
-    literal, so the filter reaches the file scan.
+    The caller says what time it is: a stray row from the future must not expire
+    the rest. The limit is a literal, so the filter reaches the file scan.
     """
-    if as_of is None:
-        as_of = df.agg(F.max(ts)).first()[0]
-        if as_of is None:
-            return df
     limit = F.lit(as_of).cast(df.schema[ts].dataType) - F.expr(f"INTERVAL {ttl}")
-    return df.filter(F.col(ts) > limit)
+    return df.filter(F.col(ts).isNull() | (F.col(ts) > limit))
 
 
 def load_rows(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
-    """Align, fill defaults and split off rows that break a requirement."""
-    return apply_defaults_not_null(align_columns(df, spec), spec)
+    """Align, fill defaults and split off rows that break a requirement or hold
+    a value that is not of its column's type."""
+    rows = apply_defaults(df.select(*_aligned(df, spec), _misfit(df, spec).alias("__misfit")), spec)
+    return split_required(rows, spec)
+
+
+def _misfit(df: DataFrame, spec: TableSpec) -> Column:
+    """The first column whose value does not convert, with the value."""
+    tests = []
+    for c in spec.columns:
+        if c.name in df.columns and not _is_nested(df.schema[c.name].dataType):
+            lost = F.col(c.name).isNotNull() & F.col(c.name).try_cast(c.type).isNull()
+            shown = F.concat(F.lit(f"bad_{c.name}: "), F.col(c.name).cast("string"))
+            tests.append(F.when(lost, shown))
+    return F.coalesce(*tests, F.lit(None).cast("string"))
 
 
 def create_table(spark: SparkSession, spec: TableSpec, database: str, location: str) -> str:

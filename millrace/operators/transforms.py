@@ -9,6 +9,8 @@ column cannot hold both, so there the text that did not parse moves to
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date, datetime
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -103,15 +105,36 @@ def rename(df: DataFrame, field: str, to: str) -> DataFrame:
 
 def default(df: DataFrame, field: str, value: str, null_is_absent: bool = True) -> DataFrame:
     """Set a text where the field is absent; in a typed column
-    ``null_is_absent`` decides whether NULL counts."""
+    ``null_is_absent`` decides whether NULL counts, and a text that is not of
+    the column's type is refused."""
     if field not in df.columns:
         return df.withColumn(field, F.lit(value))
     if not null_is_absent:
         return df
     kind = df.schema[field].dataType
+    _check_literal(field, value, kind)
     return df.withColumn(field, F.coalesce(F.col(field), F.lit(value).cast(kind)))
 
 
+_READERS = (
+    (T.IntegralType, int),
+    ((T.FloatType, T.DoubleType), float),
+    (T.DecimalType, Decimal),
+    ((T.TimestampType, T.TimestampNTZType), datetime.fromisoformat),
+    (T.DateType, date.fromisoformat),
+)
+
+
+def _check_literal(field: str, value: str, kind: T.DataType) -> None:
+    for kinds, read in _READERS:
+        if isinstance(kind, kinds):
+            try:
+                read(value)
+            except (ArithmeticError, ValueError) as error:
+                message = f"default of {field!r} is not a {kind.simpleString()}: {value!r}"
+                raise ValueError(message) from error
+
+
 def cast(df: DataFrame, field: str, target: str) -> DataFrame:
     """Cast a column to ``string``, ``int`` or ``float``; the last two only touch
     text, and keep what does not parse in ``<field>__uncast``."""

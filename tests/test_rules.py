@@ -5,7 +5,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions import draws, durations
+from millrace.functions import durations
 from millrace.functions.keys import canonical_key, variant_key
 from millrace.operators import filters, tables, transforms
 from millrace.plans import flows, spec
@@ -128,9 +128,21 @@ def test_durations():
         durations.window_micros(-5_000)
 
 
+CLICKS = {
+    "name": "clicks", "source": {"type": "kafka", "topic": "clicks"}, "sink": {"type": "kafka", "topic": "out"},
+    "processing": {"deduplication": {"enabled": True, "key": "click", "time_window": "24h"}},
+}
+PAIRS = {
+    "name": "pairs", "sink": {"type": "kafka", "topic": "out"}, "processing": {},
+    "source": {"type": "kafka-join", "join": {
+        "left_topic": "transactions", "right_topic": "user-profiles", "join_key": "user_id",
+        "join_type": "temporal", "time_window": "5m"}},
+}
+
+
 def test_specs():
-    assert spec.parse(spec.SESSION_DEDUP).dedup.key == "session_id"
-    assert spec.parse(spec.TRANSACTION_JOIN).join.time_window == "5m"
+    assert spec.parse(CLICKS).dedup.key == "click"
+    assert spec.parse(PAIRS).join.time_window == "5m"
     for change, message in [
         ({"name": ""}, "name"),
         ({"source": {"type": "files"}}, "source type"),
@@ -141,7 +153,7 @@ def test_specs():
         ({"processing": {"transformation": {"rules": [{"type": "cast", "field": "a", "value": "z"}]}}}, "cast"),
     ]:
         with pytest.raises(ValueError, match=message):
-            spec.parse({**spec.SESSION_DEDUP, **change})
+            spec.parse({**CLICKS, **change})
 
 
 def test_switched_off_steps_are_left_out(spark):
@@ -154,7 +166,7 @@ def test_switched_off_steps_are_left_out(spark):
 
 
 def test_inner_join_flow(spark):
-    text = {**spec.TRANSACTION_JOIN, "processing": {}}
+    text = dict(PAIRS)
     text["source"] = {"type": "kafka-join", "join": {**text["source"]["join"], "join_type": "inner"}}
     left = topic(spark, '{"id":"l1","user_id":1}', '{"id":"l2","user_id":"1"}')
     right = topic(spark, '{"id":"r1","user_id":1.0}', '{"id":"r2","user_id":2}')
@@ -174,7 +186,12 @@ def test_table_rules(spark):
     assert bad.count() == 0 and tables.extra_columns(source, table) == ["extra"]
     missing = source.drop("user_id")
     assert tables.load_rows(missing, table)[1].first()["error_reason"] == "null_user_id"
-    assert tables.retention(source.filter("amount < 0"), "timestamp", "1 DAY").count() == 0
+    as_of = source.first()["timestamp"]
+    assert tables.retention(source, "timestamp", "1 DAY", as_of).count() == 1
+    assert tables.retention(source, "timestamp", "1 DAY", as_of + timedelta(days=2)).count() == 0
+    wrong = source.withColumns({"amount": F.lit("oops"), "timestamp": F.lit("never")})
+    kept, dead = tables.load_rows(wrong, table)
+    assert kept.count() == 0 and dead.first()["error_reason"] == "bad_timestamp: never"
 
 
 def test_scratch_goes_to_the_shared_folder(spark):
@@ -182,14 +199,10 @@ def test_scratch_goes_to_the_shared_folder(spark):
     assert root and shared_dir(spark, "x").startswith(f"{root}/x-")
 
 
-def test_draws_follow_their_weights(spark):
-    df = spark.range(40_000)
-    counts = dict(
-        df.groupBy(draws.weighted(F.col("id"), 3, [("a", 15), ("b", 75), ("c", 10)])).count().collect()
-    )
-    assert abs(counts["a"] - 6000) < 500 and abs(counts["b"] - 30000) < 700
-    spread = df.select(draws.below(F.col("id"), 1, 10).alias("x"), draws.below(F.col("id"), 2, 10).alias("y"))
-    cells = [r["count"] for r in spread.groupBy("x", "y").count().collect()]
-    assert len(cells) == 100 and min(cells) > 280 and max(cells) < 530
-    with pytest.raises(ValueError):
-        draws.weighted(F.col("id"), 1, [("a", 50)])
+def test_typed_default_must_fit(spark):
+    rows = spark.sql("select cast(null as int) n, cast(null as timestamp) t, cast(null as string) s")
+    for field, value in (("n", "abc"), ("t", "noon")):
+        with pytest.raises(ValueError, match=field):
+            transforms.default(rows, field, value)
+    assert transforms.default(rows, "n", "7").first()["n"] == 7
+    assert transforms.default(rows, "s", "abc").first()["s"] == "abc"

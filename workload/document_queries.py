@@ -308,12 +308,6 @@ def list_collections(spark, sf):
     return listed.join(F.broadcast(sizes), "name")
 
 
-@query("list_databases")
-def list_databases(spark, sf):
-    name = _database(spark, sf)
-    return collections.list_databases(spark).filter(F.col("name") == name)
-
-
 @query(
     "collection_round_trip",
     f"""WITH {_DOC} SELECT type, count(*) AS documents, sum(k) AS k FROM d

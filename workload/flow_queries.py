@@ -1,21 +1,24 @@
-"""Envelopes and routing, whole flows, metrics, and synthetic tables."""
+"""Envelopes and routing, whole flows and metrics."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions import draws
 from millrace.operators import routing
-from millrace.plans import control, flows, metrics, spec
-from millrace.session import shared_dir
-from millrace.sources import synth
-from millrace.streaming import sinks
+from millrace.plans import flows, metrics, spec
 from workload.common import (
     MESSAGES, anchor_cte, as_topic, drained, event_stream, event_topic, events,
     match_cte, ntz, query, table,
 )
 
 HANDLED = ["purchase", "signup"]
+# The order saga's steps (name, command, compensation), as the queries expect them.
+ORDER_STEPS = (
+    ("step1", "reserve_inventory", "release_inventory"),
+    ("step2", "charge_payment", "refund_payment"),
+    ("step3", "create_shipment", "cancel_shipment"),
+    ("step4", "send_notification", "send_cancellation"),
+)
 
 
 # ------------------------------------------------------- envelopes and routes
@@ -119,7 +122,7 @@ def route_counts(spark, sf):
 def _sagas(spark, sf):
     orders = table(spark, sf, "orders")
     return routing.saga_start(
-        orders, F.lit("order-processing"), ["o_custkey", "o_totalprice"],
+        orders, F.lit("order-processing"), ["o_custkey", "o_totalprice"], ORDER_STEPS,
         saga_id=F.concat(F.lit("saga-"), F.col("o_orderkey").cast("string")),
         at=F.col("o_orderdate"),
     )
@@ -283,32 +286,6 @@ def flow_join_stream(spark, sf):
     return drained(_join_records(flow), "flow-join")
 
 
-@query(
-    "flow_control",
-    f"""WITH RECURSIVE {_FLOW_WALK}
-        SELECT count(*) AS stored, 'stopped' AS status, 0 AS flows_left,
-               (SELECT count(*) FROM events) AS events FROM verdicts WHERE keep""",
-)
-def flow_control(spark, sf):
-    """Create, run to the end, look at, and delete a flow."""
-    root = shared_dir(spark, "control")
-    manager = control.FlowManager(spark, f"{root}/checkpoints")
-    writer = sinks.folder_writer(
-        f"{root}/out", lambda df: flows.columns_of(df, {"id": "string"})
-    )
-    topic = as_topic(event_stream(spark, sf))
-    manager.create(spec.parse(TOPIC_FLOW), {"events": topic}, writer, interval=None)
-    name = TOPIC_FLOW["name"]
-    manager._get(name).query.awaitTermination()
-    listed = manager.list()
-    manager.delete(name)
-    stored = spark.read.schema("id string").parquet(f"{root}/out").agg(F.count("*").alias("stored"))
-    return listed.select(
-        F.lit(1).alias("one"), "status", F.lit(manager.list().count()).cast("bigint").alias("flows_left"),
-        "events",
-    ).join(F.broadcast(stored.withColumn("one", F.lit(1))), "one").drop("one")
-
-
 @query(
     "flow_metrics",
     f"""WITH RECURSIVE {_FLOW_WALK}
@@ -345,25 +322,6 @@ def throughput(spark, sf):
     return metrics.stage_metrics(events(spark, sf), "ts", "event_type")
 
 
-@query(
-    "system_metrics",
-    """WITH f AS (SELECT user_id % 10 AS flow, count(*) AS events,
-                         CASE WHEN max(value) > 100 THEN 'failed' ELSE 'running' END AS status
-                  FROM events GROUP BY 1)
-       SELECT count(*) AS total_flows, count(*) FILTER (status = 'running') AS running_flows,
-              count(*) FILTER (status = 'failed') AS failed_flows,
-              CAST(sum(events) AS BIGINT) AS total_events
-       FROM f""",
-)
-def system_metrics(spark, sf):
-    """Ten flows made of the events, failed where a value is out of range."""
-    states = events(spark, sf).groupBy((F.col("user_id") % 10).alias("flow")).agg(
-        F.count("*").alias("events"),
-        F.when(F.max("value") > 100, "failed").otherwise("running").alias("status"),
-    )
-    return metrics.system_metrics(states)
-
-
 _HOURLY = """SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS events,
        CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS total_value, max(value) AS max_value
   FROM events GROUP BY 1, 2"""
@@ -398,149 +356,3 @@ def windowed_analytics_stream(spark, sf):
 )
 def session_analytics(spark, sf):
     return metrics.session_analytics(events(spark, sf), "ts", "user_id", "1 hour")
-
-
-# ----------------------------------------------------------- synthetic tables
-
-def _draw(salt: int) -> str:
-    p, a, b = draws.PRIME, draws.STEP_A, draws.STEP_B
-    start = f"((event_id % {p}) * {a} + 1) % {p}"
-    mixed = f"((({start}) * ({start}) + {salt * b}) % {p})"
-    return f"(({mixed} * {mixed} + {start}) % {p})"
-
-
-def _below(salt: int, n: int) -> str:
-    return f"({_draw(salt)} % {n})"
-
-
-def _pick(salt: int, values) -> str:
-    listed = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
-    return f"([{listed}])[{_below(salt, len(values))} + 1]"
-
-
-def _pad(prefix: str, number: str, width: int) -> str:
-    return f"'{prefix}' || lpad(CAST({number} AS VARCHAR), {width}, '0')"
-
-
-_USER = "lpad(CAST({} + 1 AS VARCHAR), 4, '0')"
-_STATUS = f"""CASE WHEN {_below(34, 100)} < 15 THEN 'pending' WHEN {_below(34, 100)} < 90 THEN 'completed'
-              WHEN {_below(34, 100)} < 98 THEN 'failed' ELSE 'refunded' END"""
-_SESSION_ID = f"""CASE WHEN {_below(11, 100)} < 20 THEN {_pad('sess_', _below(12, 200) + ' + 1', 4)}
-                  ELSE 'sess_new_' || event_id END"""
-
-
-@query(
-    "gen_users",
-    f"""SELECT 'user_' || (event_id + 1) AS id, f || ' ' || l AS name,
-               f || '.' || l || '@example.com' AS email, tier, country,
-               CAST(CAST(ts AS DATE) - CAST(days AS INT) AS DATE) AS signup_date
-        FROM (SELECT event_id, ts, {_pick(1, synth.FIRST_NAMES)} AS f, {_pick(2, synth.LAST_NAMES)} AS l,
-                     {_pick(3, synth.TIERS)} AS tier, {_pick(4, synth.COUNTRIES)} AS country,
-                     {_below(5, 360)} AS days FROM events)""",
-)
-def gen_users(spark, sf):
-    return synth.gen_users(events(spark, sf), "event_id", "ts")
-
-
-@query(
-    "gen_sessions",
-    f"""SELECT 'evt_' || event_id AS id, {_SESSION_ID} AS session_id,
-               'user_' || {_USER.format(_below(13, 1000))} AS user_id, ts AS timestamp,
-               {_pick(14, synth.PAGES)} AS page, {_pick(15, synth.ACTIONS)} AS action,
-               {_pick(16, synth.DEVICES)} AS device, {_pick(17, synth.BROWSERS)} AS browser,
-               '192.168.' || {_below(18, 255)} || '.' || {_below(19, 255)} AS ip_address,
-               CAST({_below(20, 60000)} + 500 AS INT) AS duration_ms,
-               {_pick(21, synth.REFERRERS)} AS referrer, {_pick(22, synth.SESSION_COUNTRIES)} AS country,
-               {_pick(23, synth.USER_AGENTS)} AS user_agent,
-               {_pick(24, synth.SCREEN_WIDTHS)} AS screen_width,
-               {_pick(25, synth.SCREEN_HEIGHTS)} AS screen_height
-        FROM events""",
-)
-def gen_sessions(spark, sf):
-    return synth.gen_sessions(events(spark, sf), "event_id", "ts")
-
-
-@query(
-    "gen_transactions",
-    f"""SELECT 'txn_' || event_id AS id, 'user_' || {_USER.format(_below(31, 1000))} AS user_id,
-               ts AS timestamp, CAST({_pick(32, synth.AMOUNTS)} AS DOUBLE) AS amount,
-               {_pick(33, synth.CURRENCIES)} AS currency, {_STATUS} AS status,
-               CAST({_below(35, 8)} + 1 AS INT) AS items,
-               {_pick(36, synth.PAYMENT_METHODS)} AS payment_method,
-               {_pad('merchant_', _below(37, 50) + ' + 1', 3)} AS merchant_id,
-               'order_' || event_id AS order_id,
-               CAST({_below(38, 2000)} AS DOUBLE) / 100 AS discount,
-               CAST({_below(39, 1500)} AS DOUBLE) / 100 AS tax
-        FROM events""",
-)
-def gen_transactions(spark, sf):
-    return synth.gen_transactions(events(spark, sf), "event_id", "ts")
-
-
-@query(
-    "gen_profiles",
-    f"""SELECT 'profile_' || event_id AS id, 'user_' || {_USER.format(_below(41, 1000))} AS user_id,
-               ts AS timestamp, {_pick(42, synth.PROFILE_TIERS)} AS tier,
-               {_pick(43, synth.PROFILE_COUNTRIES)} AS country, CAST({_below(44, 65)} + 18 AS INT) AS age,
-               CAST(CAST(ts AS DATE) - CAST({_below(45, 1095)} AS INT) AS DATE) AS signup_date,
-               CAST(CAST(ts AS DATE) - CAST({_below(46, 30)} AS INT) AS DATE) AS last_login,
-               {_below(47, 100)} < 85 AS email_verified, {_below(48, 100)} < 65 AS phone_verified
-        FROM events""",
-)
-def gen_profiles(spark, sf):
-    return synth.gen_profiles(events(spark, sf), "event_id", "ts")
-
-
-@query(
-    "gen_analytics",
-    f"""WITH t AS (SELECT *, {_pick(51, synth.EVENT_TYPES)} AS kind,
-                   CAST({_pick(53, synth.ANALYTICS_AMOUNTS)} AS DOUBLE) AS amount FROM events)
-        SELECT 'evt_' || event_id AS event_id, kind AS event_type, ts AS timestamp,
-               'user_' || ({_below(52, 1000)} + 1) AS user_id,
-               {_pad('session_', _below(59, 200), 4)} AS session_id,
-               CASE kind
-                 WHEN 'purchase' THEN '{{"product_id":"prod_' || {_below(54, 1000)} || '","quantity":'
-                   || ({_below(55, 5)} + 1) || ',"discount":' || (CAST({_below(56, 30)} AS DOUBLE) / 100) || '}}'
-                 WHEN 'search' THEN '{{"query":"' || {_pick(57, synth.SEARCHES)} || '","results_count":'
-                   || {_below(58, 100)} || '}}'
-                 WHEN 'add_to_cart' THEN '{{"product_id":"prod_' || {_below(54, 1000)} || '","price":'
-                   || amount || '}}'
-                 ELSE '{{"source":"demo_generator"}}' END AS properties,
-               {_pick(60, synth.ANALYTICS_DEVICES)} AS device_type, {_pick(61, synth.PLATFORMS)} AS platform,
-               {_pick(62, synth.COUNTRIES)} AS country,
-               CASE kind WHEN 'purchase' THEN amount WHEN 'signup' THEN 50.0 WHEN 'login' THEN 1.0
-                    ELSE 0.0 END AS value
-        FROM t""",
-)
-def gen_analytics(spark, sf):
-    return synth.gen_analytics(events(spark, sf), "event_id", "ts")
-
-
-@query(
-    "inject_duplicates",
-    f"""WITH s AS (SELECT {_SESSION_ID} AS session_id FROM events)
-        SELECT count(*) AS events, count(DISTINCT session_id) AS sessions,
-               count(*) FILTER (session_id NOT LIKE 'sess_new%') AS reused FROM s""",
-)
-def inject_duplicates(spark, sf):
-    """How many events reuse a pooled session id."""
-    rows = synth.gen_sessions(events(spark, sf), "event_id", "ts").groupBy("session_id").agg(
-        F.count("*").alias("n")
-    )
-    return rows.agg(
-        F.sum("n").alias("events"),
-        F.count("*").alias("sessions"),
-        F.sum(F.when(~F.col("session_id").startswith("sess_new"), F.col("n")).otherwise(0)).alias(
-            "reused"
-        ),
-    )
-
-
-@query(
-    "weighted_choice",
-    f"""WITH s AS (SELECT {_STATUS} AS status FROM events)
-        SELECT status, count(*) AS events FROM s GROUP BY status""",
-)
-def weighted_choice(spark, sf):
-    status = draws.weighted(F.col("event_id"), 34, synth.STATUS_WEIGHTS).alias("status")
-    return events(spark, sf).groupBy(status).agg(F.count("*").alias("events"))

@@ -73,20 +73,6 @@ def convert_values(spark, sf):
     return tables.convert_values(rows)
 
 
-@query("microbatching", "SELECT count(*) AS input_rows, true AS has_batches, 0 AS late_rows FROM events")
-def microbatching(spark, sf):
-    """What the micro-batches of a drained stream report."""
-    root = shared_dir(spark, "microbatch")
-    rows = event_stream(spark, sf).select("event_id", "ts")
-    done = sinks.drain(rows, f"{root}/out", f"{root}/checkpoint")
-    batches = sinks.progress_frame(spark, done.recentProgress)
-    return batches.agg(
-        F.sum("input_rows").alias("input_rows"),
-        (F.count_if(F.col("input_rows") > 0) > 0).alias("has_batches"),
-        F.sum("late_rows").alias("late_rows"),
-    )
-
-
 @query("retry_write", "SELECT event_id, value FROM events")
 def retry_write(spark, sf):
     """The first attempt at each batch fails; the rows still land once."""
@@ -177,6 +163,10 @@ def sort_key(spark, sf):
     return ntz(checked, "timestamp")
 
 
+def _newest(rows, ts):
+    return rows.agg(F.max(ts)).first()[0]
+
+
 @query(
     "retention_ttl",
     """SELECT o_orderkey, o_orderdate FROM orders
@@ -184,7 +174,7 @@ def sort_key(spark, sf):
 )
 def retention_ttl(spark, sf):
     rows = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    return tables.retention(rows, "o_orderdate", tables.ENRICHED_TRANSACTIONS.ttl)
+    return tables.retention(rows, "o_orderdate", tables.ENRICHED_TRANSACTIONS.ttl, _newest(rows, "o_orderdate"))
 
 
 @query(
@@ -192,7 +182,8 @@ def retention_ttl(spark, sf):
     """SELECT event_id, ts FROM events WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 10 DAY""",
 )
 def retention_sessions(spark, sf):
-    return tables.retention(events(spark, sf).select("event_id", "ts"), "ts", "10 DAY")
+    rows = events(spark, sf).select("event_id", "ts")
+    return tables.retention(rows, "ts", "10 DAY", _newest(rows, "ts"))
 
 
 @query(
@@ -234,7 +225,7 @@ def sink_stats(spark, sf):
 def session_table(spark, sf):
     spec = tables.USER_SESSIONS_CLEAN
     good, _ = tables.load_rows(session_source(spark, sf), spec)
-    kept = tables.retention(good, spec.ttl_column, spec.ttl)
+    kept = tables.retention(good, spec.ttl_column, spec.ttl, _newest(good, spec.ttl_column))
     return ntz(tables.sort_key(kept, spec), "timestamp")
 
 
@@ -259,7 +250,7 @@ def transactions_table(spark, sf):
     )
     profiles = right.select("event_id", "user_id", "ts").join(people, "user_id")
     pairs = match.temporal_match(left, right, "user_id", "ts", "event_id", "6h", unique_ids=True)
-    joined = match.joined_projection(pairs, left, profiles, "ts", "event_id")
+    joined = match.joined_projection(pairs, left, profiles, "ts", "event_id", "user_id")
     flat = tables.transaction_rows(joined).withColumnsRenamed(
         {"event_id": "transaction_id", "ts": "timestamp", "value": "amount", "event_type": "category"}
     )
