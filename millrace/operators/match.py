@@ -603,13 +603,14 @@ def _delay_ns(left_time, right_time):
 
 
 def joined_projection(
-    matched: DataFrame, left: DataFrame, right: DataFrame, ts: str, event_id: str, key: str
+    matched: DataFrame, left: DataFrame, right: DataFrame, ts: str, event_id: str, key: str,
+    unique_ids: bool = False,
 ) -> DataFrame:
     """Joined events with both payloads, times and the delay in nanoseconds.
 
     Payloads are fetched back by (key, id, time), so unmatched rows and wide
-    columns never enter the scan. Rows alike in all three stand for one event;
-    any one of them gives the payload.
+    columns never enter the scan. Rows alike in all three stand for one event
+    and any one of them gives the payload; ``unique_ids`` says there are none.
     """
     l = left.select(
         canonical_key(left, key).alias("join_key"),
@@ -621,9 +622,12 @@ def joined_projection(
         F.col(event_id).alias("right_id"), F.col(ts).alias("right_time"),
         F.struct(*right.columns).alias("right_data"),
     )
+    left_key, right_key = (["join_key", f"{side}_id", f"{side}_time"] for side in ("left", "right"))
+    if not unique_ids:
+        l, r = l.dropDuplicates(left_key), r.dropDuplicates(right_key)
     return (
-        matched.join(l.dropDuplicates(lk := ["join_key", "left_id", "left_time"]), lk)
-        .join(r.dropDuplicates(rk := ["join_key", "right_id", "right_time"]), rk)
+        matched.join(l, left_key)
+        .join(r, right_key)
         .select(
             F.concat_ws("_", F.lit("joined"), "left_id", "right_id").alias("joined_id"),
             "join_key",

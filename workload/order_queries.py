@@ -173,7 +173,7 @@ def dedup_joined(spark, sf):
     """Joined events deduplicated on a field found in the left payload."""
     left, right = sides(spark, sf)
     pairs = match.temporal_match(left, right, "user_id", "ts", "event_id", "6h", unique_ids=True)
-    joined = match.joined_projection(pairs, left, right, "ts", "event_id", "user_id")
+    joined = match.joined_projection(pairs, left, right, "ts", "event_id", "user_id", unique_ids=True)
     rows = joined.select(
         "joined_id",
         canonical_key(joined, "left_data.user_id").alias("user_id"),
@@ -298,7 +298,9 @@ def side_tag(spark, sf):
 )
 def joined_projection(spark, sf):
     left, right = sides(spark, sf)
-    out = match.joined_projection(match.pairs(_ledger(spark, sf)), left, right, "ts", "event_id", "user_id")
+    out = match.joined_projection(
+        match.pairs(_ledger(spark, sf)), left, right, "ts", "event_id", "user_id", unique_ids=True
+    )
     return out.select(
         "joined_id", "join_key",
         F.col("left_data.value").alias("left_value"),

@@ -250,7 +250,7 @@ def transactions_table(spark, sf):
     )
     profiles = right.select("event_id", "user_id", "ts").join(people, "user_id")
     pairs = match.temporal_match(left, right, "user_id", "ts", "event_id", "6h", unique_ids=True)
-    joined = match.joined_projection(pairs, left, profiles, "ts", "event_id", "user_id")
+    joined = match.joined_projection(pairs, left, profiles, "ts", "event_id", "user_id", unique_ids=True)
     flat = tables.transaction_rows(joined).withColumnsRenamed(
         {"event_id": "transaction_id", "ts": "timestamp", "value": "amount", "event_type": "category"}
     )
