@@ -125,6 +125,18 @@ class TypedFields:
             fits = not isinstance(kind, (T.StringType, T.BooleanType, *_NUMERIC))
         return _compare(op, column, F.lit(literal)) if fits else F.lit(False)
 
+    def size(self, name: str) -> Column:
+        """Length of an array; null for anything else."""
+        if isinstance(self.types.get(name), T.ArrayType):
+            return F.size(F.col(name))
+        return F.lit(None).cast("int")
+
+    def number(self, name: str) -> Column:
+        """A finite number; null for anything else."""
+        if isinstance(self.types.get(name), _NUMERIC):
+            return _finite(F.col(name), self.types[name])
+        return F.lit(None).cast("double")
+
     def matches(self, name: str, pattern: str) -> Column:
         if isinstance(self.types.get(name), T.StringType):
             return F.col(name).rlike(pattern)
@@ -144,6 +156,13 @@ class TypedFields:
         return [column.asc_nulls_first() if ascending else column.desc_nulls_last()]
 
 
+def _finite(column: Column, kind: T.DataType) -> Column:
+    if not isinstance(kind, (T.FloatType, T.DoubleType)):
+        return column
+    # Beyond this no whole number fits a long.
+    return F.when(F.abs(column) < 2.0**63, column)
+
+
 class _VariantFields:
     """Shared behaviour of fields whose values are VARIANT.
 
@@ -207,6 +226,16 @@ class _VariantFields:
             test = test.when(kind == "STRING", text.contains(literal))
         return test.otherwise(F.lit(False))
 
+    def size(self, name: str) -> Column:
+        items = F.try_variant_get(self.value(name), "$", "array<variant>")
+        return F.when(self.kind(name).startswith("ARRAY"), F.size(items))
+
+    def number(self, name: str) -> Column:
+        value, kind = self.value(name), self.kind(name)
+        whole = F.try_variant_get(value, "$", "bigint")
+        real = _finite(F.try_variant_get(value, "$", "double"), T.DoubleType()).cast("bigint")
+        return F.when(kind == "BIGINT", whole).when((kind == "DOUBLE") | kind.startswith("DECIMAL"), real)
+
     def sort_keys(self, name: str, ascending: bool) -> list[Column]:
         """Null and absent first, then numbers, then text, then the rest."""
         value, kind = self.value(name), self.kind(name)

@@ -70,6 +70,15 @@ def _operator(fields, name: str, op: str, value, options: str) -> Column:
         return fields.matches(name, f"(?{options}){value}" if options else value)
     if op == "$not":
         return ~_sure(_field(fields, name, value))
+    if op == "$all":
+        return _all([fields.compare(name, "eq", v) for v in value]) if value else F.lit(False)
+    if op == "$size":
+        return fields.size(name) == value
+    if op == "$mod":
+        divisor, rest = value
+        if not divisor:
+            raise ValueError("$mod needs a divisor")
+        return fields.number(name).cast("long") % int(divisor) == int(rest)
     raise ValueError(f"unsupported filter operator: {op}")
 
 
@@ -90,7 +99,7 @@ def _names(spec: Mapping) -> list[str]:
     """Fields a filter reads."""
     out = []
     for name, test in spec.items():
-        if name in ("$and", "$or"):
+        if name in ("$and", "$or", "$nor"):
             out += [n for part in test for n in _names(part)]
         elif not name.startswith("$"):
             out.append(name)
@@ -104,6 +113,8 @@ def _build(fields, ids, spec: Mapping) -> Column:
             parts.append(_all([_build(fields, ids, s) for s in test]))
         elif name == "$or":
             parts.append(_any([_build(fields, ids, s) for s in test]))
+        elif name == "$nor" and test:
+            parts += [~_sure(_build(fields, ids, s)) for s in test]
         elif name.startswith("$"):
             raise ValueError(f"unsupported filter operator: {name}")
         else:

@@ -170,3 +170,20 @@ def test_text_order_and_deep_skip(spark):
         assert [r["v"] for r in left] == [1, 2, 3, 4][skip:]
     wide = spark.range(5000).repartition(7)
     assert [r["id"] for r in docs.find(wide, sort={"id": -1}, skip=4321, id_column="id").collect()] == list(range(678, -1, -1))
+
+
+def test_array_and_number_operators(spark):
+    texts = ['{"a": [1, 2], "n": 9}', '{"a": [2], "n": -5}', '{"a": 2, "n": 9.7}', '{"n": "9"}', '{"a": [], "n": 1e300}']
+    rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "i string, j string")
+    held = docs.from_json_text(rows, "i", "j")
+    ids = lambda q: sorted(r["_id"] for r in docs.matching(held, q).collect())
+    assert ids({"a": {"$all": [1, 2]}}) == ["0"] and ids({"a": {"$all": [2]}}) == ["0", "1", "2"]
+    assert ids({"a": {"$all": []}}) == []
+    assert ids({"a": {"$size": 0}}) == ["4"] and ids({"a": {"$size": 1}}) == ["1"]
+    assert ids({"n": {"$mod": [4, 1]}}) == ["0", "2"] and ids({"n": {"$mod": [4, -1]}}) == ["1"]
+    assert ids({"$nor": [{"a": {"$size": 2}}, {"n": {"$lt": 0}}]}) == ["2", "3", "4"]
+    typed = spark.createDataFrame([([1, 2], 7.5), ([], float("inf")), (None, None)], "a array<int>, n double")
+    assert docs.matching(typed, {"a": {"$size": 2}}).count() == 1
+    assert docs.matching(typed, {"n": {"$mod": [7, 0]}}).count() == 1
+    with pytest.raises(ValueError, match="divisor"):
+        docs.matching(typed, {"n": {"$mod": [0, 0]}})

@@ -106,6 +106,16 @@ def match_more(spark, sf):
     return _ids(docs.find(_props(spark, sf), query_))
 
 
+@query(
+    "match_nor_mod",
+    """SELECT c_custkey FROM customer
+       WHERE NOT (c_mktsegment = 'BUILDING') AND NOT (c_acctbal < 0) AND c_custkey % 7 = 3""",
+)
+def match_nor_mod(spark, sf):
+    query_ = {"$nor": [{"c_mktsegment": "BUILDING"}, {"c_acctbal": {"$lt": 0}}], "c_custkey": {"$mod": [7, 3]}}
+    return docs.find(_people(spark, sf), query_).select("c_custkey")
+
+
 @query("match_exists", f"WITH {_DOC} SELECT _id FROM d WHERE value IS NOT NULL AND type = 'view'")
 def match_exists(spark, sf):
     return _ids(docs.find(_props(spark, sf), {"value": {"$exists": True}, "type": {"$eq": "view"}}))
