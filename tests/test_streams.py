@@ -203,3 +203,22 @@ def test_failed_flow_says_so(spark, tmp_path):
     with pytest.raises(Exception, match="down"):
         entry.query.awaitTermination()
     assert manager.status("bad") == control.FAILED
+
+
+def test_late_partners_still_match(spark, tmp_path):
+    """A pair whose halves come in the wrong order, in two micro-batches; an
+    event further away than the window is left alone."""
+    rows = [[("a", 1, "l", "10:05"), ("a", 2, "l", "10:30")], [("a", 3, "r", "10:01"), ("a", 4, "r", "10:20")]]
+    now = time.time() - 1000
+    for n, batch in enumerate(rows):
+        frame = spark.createDataFrame(batch, "k string, id long, side string, at string")
+        frame = frame.withColumn("ts", F.to_timestamp(F.concat(F.lit("2024-01-01 "), "at"), "yyyy-MM-dd HH:mm"))
+        frame.coalesce(1).write.parquet(f"{tmp_path}/in/part-{n}")
+        for name in os.listdir(f"{tmp_path}/in/part-{n}"):
+            os.utime(f"{tmp_path}/in/part-{n}/{name}", (now + n, now + n))
+    stream = ingest.file_stream(spark, f"{tmp_path}/in/*", frame.schema, files_per_trigger=1)
+    sides = [stream.filter(F.col("side") == s) for s in "lr"]
+    joined = stateful.match_stream(*sides, "k", "ts", "id", "5m", delay="1 hour")
+    out, late, _ = run(joined, str(tmp_path))
+    assert late == 0
+    assert [(r["joined_id"], r["join_delay"]) for r in out.collect()] == [("joined_1_3", 240_000_000_000)]
