@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +15,7 @@ SAGA_EVENT = "saga.started"
 SAGA_SOURCE = "saga-orchestrator"
 SAGA_STATUS = "running"
 
-Handler = Callable[[DataFrame], DataFrame]
+Handler = Mapping[str, Column]
 
 
 def _headers(pairs: Mapping[str, Column]) -> Column:
@@ -87,35 +86,50 @@ def routed(df: DataFrame, types: Sequence[str], column: str = "type") -> Column:
     return F.coalesce(F.col(column).isin(list(types)), F.lit(False))
 
 
-def route(df: DataFrame, handlers: Mapping[str, Handler], column: str = "type") -> DataFrame:
-    """Rows of each type through its handler, results in one frame with
-    ``handled_by``. Types without a handler are left out (see ``unrouted``)."""
+def route(
+    df: DataFrame, handlers: Mapping[str, Handler], column: str = "type", keep_rest: bool = False
+) -> DataFrame:
+    """Rows of each type with their handler's columns and ``handled_by``, in one
+    pass however many handlers there are.
+
+    A handler is columns by name. A new column is null for types whose handler
+    does not name it; a column the rows have already keeps its value there.
+    Types without a handler are left out (see ``unrouted``) unless ``keep_rest``.
+    """
     if not handlers:
         raise ValueError("no handlers registered")
-    parts = [
-        handler(df.filter(F.col(column) == name)).withColumn("handled_by", F.lit(name))
-        for name, handler in handlers.items()
-    ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    made = {}
+    for name in dict.fromkeys(n for handler in handlers.values() for n in handler):
+        value = F
+        for kind, handler in handlers.items():
+            if name in handler:
+                value = value.when(F.col(column) == kind, handler[name])
+        made[name] = value.otherwise(F.col(name)) if name in df.columns else value
+    known = routed(df, list(handlers), column)
+    rows = df if keep_rest else df.filter(known)
+    return rows.withColumns({**made, "handled_by": F.when(known, F.col(column))})
 
 
 def unrouted(df: DataFrame, types: Sequence[str], column: str = "type") -> DataFrame:
     return df.filter(~routed(df, types, column))
 
 
-def task_route(
-    tasks: DataFrame, handlers: Mapping[str, Handler]
-) -> tuple[DataFrame, DataFrame]:
-    """(completed, failed): a handler marks a failed task by a non-null ``error``
-    column; failed tasks come back with one more retry counted."""
+def task_outcomes(tasks: DataFrame, handlers: Mapping[str, Handler]) -> DataFrame:
+    """Handled tasks with ``error``, in one pass: a handler marks a failed task by
+    a non-null ``error`` column, and the task comes back with one more retry."""
     done = route(tasks, handlers)
     if "error" not in done.columns:
         done = done.withColumn("error", F.lit(None).cast("string"))
-    failed = done.filter(F.col("error").isNotNull())
-    return (
-        done.filter(F.col("error").isNull()).drop("error"),
-        failed.withColumn("retries", F.col("retries") + 1),
-    )
+    failed = F.col("error").isNotNull()
+    return done.withColumn("retries", F.col("retries") + failed.cast("int"))
+
+
+def task_route(
+    tasks: DataFrame, handlers: Mapping[str, Handler]
+) -> tuple[DataFrame, DataFrame]:
+    """``task_outcomes`` as (completed, failed)."""
+    done = task_outcomes(tasks, handlers)
+    return done.filter("error IS NULL").drop("error"), done.filter("error IS NOT NULL")
 
 
 def route_counts(df: DataFrame, types: Sequence[str], column: str = "type") -> DataFrame:

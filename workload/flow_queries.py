@@ -67,14 +67,11 @@ def task_envelope(spark, sf):
 def task_route(spark, sf):
     """Purchases are charged; signups under 5 fail and come back for a retry."""
     handlers = {
-        "purchase": lambda t: t.withColumn("charged", F.col("payload.value") * 2),
-        "signup": lambda t: t.withColumn(
-            "error", F.when(F.col("payload.value") < 5, "value too small")
-        ),
+        "purchase": {"charged": F.col("payload.value") * 2},
+        "signup": {"error": F.when(F.col("payload.value") < 5, "value too small")},
     }
-    done, failed = routing.task_route(_tasks(spark, sf), handlers)
-    columns = ["id", "handled_by", "charged", "retries"]
-    return done.select(columns).unionAll(failed.select(columns))
+    done = routing.task_outcomes(_tasks(spark, sf), handlers)
+    return done.select("id", "handled_by", "charged", "retries")
 
 
 @query(
@@ -100,14 +97,9 @@ def event_envelope(spark, sf):
        FROM events""",
 )
 def event_route(spark, sf):
-    rows = _published(spark, sf)
-    handlers = {
-        "purchase": lambda e: e.withColumn("worth", F.col("data.value")),
-        "signup": lambda e: e.withColumn("worth", F.lit(50.0)),
-    }
-    done = routing.route(rows, handlers).select("id", "handled_by", "worth")
-    rest = routing.unrouted(rows, HANDLED).select("id")
-    return done.unionByName(rest, allowMissingColumns=True)
+    handlers = {"purchase": {"worth": F.col("data.value")}, "signup": {"worth": F.lit(50.0)}}
+    done = routing.route(_published(spark, sf), handlers, keep_rest=True)
+    return done.select("id", "handled_by", "worth")
 
 
 @query(
