@@ -137,6 +137,29 @@ class TypedFields:
             return _finite(F.col(name), self.types[name])
         return F.lit(None).cast("double")
 
+    def of_type(self, name: str, wanted: str) -> Column:
+        kind = self.types.get(name)
+        if kind is None:
+            return F.lit(wanted == "null")
+        if wanted == "null":
+            return F.col(name).isNull()
+        inner = kind.elementType if isinstance(kind, T.ArrayType) else None
+        if _type_name(kind) == wanted:
+            return F.col(name).isNotNull()
+        if inner is not None and _type_name(inner) == wanted:
+            return F.exists(F.col(name), lambda item: item.isNotNull())
+        return F.lit(False)
+
+    def elements(self, name: str) -> Column:
+        """An array's elements as VARIANT; null for anything else."""
+        kind = self.types.get(name)
+        if not isinstance(kind, T.ArrayType):
+            return F.lit(None).cast("array<variant>")
+        items = F.col(name)
+        if isinstance(kind.elementType, T.FloatType):
+            items = items.cast("array<double>")
+        return F.try_variant_get(F.to_variant_object(items), "$", "array<variant>")
+
     def matches(self, name: str, pattern: str) -> Column:
         if isinstance(self.types.get(name), T.StringType):
             return F.col(name).rlike(pattern)
@@ -163,6 +186,39 @@ def _finite(column: Column, kind: T.DataType) -> Column:
     return F.when(F.abs(column) < 2.0**63, column)
 
 
+# Document names of column types.
+_TYPE_NAMES = {
+    T.StringType: "string", T.BooleanType: "bool", T.ByteType: "int", T.ShortType: "int",
+    T.IntegerType: "int", T.LongType: "long", T.FloatType: "double", T.DoubleType: "double",
+    T.DecimalType: "decimal", T.DateType: "date", T.TimestampType: "date",
+    T.TimestampNTZType: "date", T.BinaryType: "binData", T.ArrayType: "array",
+    T.StructType: "object", T.MapType: "object",
+}
+
+
+def _type_name(kind: T.DataType) -> str | None:
+    return _TYPE_NAMES.get(type(kind))
+
+
+def _variant_is(value: Column, kind: Column, wanted: str) -> Column:
+    """Whether a VARIANT has a document type. Whole numbers are ``int`` if 32 bits
+    hold them, else ``long``; all others are ``double``."""
+    small = F.try_variant_get(value, "$", "int").isNotNull()
+    tests = {
+        "int": (kind == "BIGINT") & small,
+        "long": (kind == "BIGINT") & ~small,
+        "double": kind.isin("DOUBLE", "FLOAT") | kind.startswith("DECIMAL"),
+        "string": kind == "STRING",
+        "bool": kind == "BOOLEAN",
+        "null": kind == "VOID",
+        "array": kind.startswith("ARRAY"),
+        "object": kind.startswith("OBJECT"),
+        "date": kind.isin("DATE", "TIMESTAMP", "TIMESTAMP_NTZ"),
+        "binData": kind == "BINARY",
+    }
+    return tests.get(wanted, F.lit(False))
+
+
 class _VariantFields:
     """Shared behaviour of fields whose values are VARIANT.
 
@@ -230,6 +286,16 @@ class _VariantFields:
         items = F.try_variant_get(self.value(name), "$", "array<variant>")
         return F.when(self.kind(name).startswith("ARRAY"), F.size(items))
 
+    def of_type(self, name: str, wanted: str) -> Column:
+        return any_element(
+            self.value(name), self.kind(name), lambda v, kind: _variant_is(v, kind, wanted)
+        )
+
+    def elements(self, name: str) -> Column:
+        """An array's elements; null for anything else."""
+        items = F.try_variant_get(self.value(name), "$", "array<variant>")
+        return F.when(self.kind(name).startswith("ARRAY"), items)
+
     def number(self, name: str) -> Column:
         value, kind = self.value(name), self.kind(name)
         whole = F.try_variant_get(value, "$", "bigint")
@@ -272,6 +338,21 @@ class DocFields(_VariantFields):
         return F.try_variant_get(F.col(self.column), "$" + steps, "variant")
 
 
+class ElementFields(_VariantFields):
+    """Paths inside one VARIANT, such as an element of an array; the empty path
+    is the value itself."""
+
+    def __init__(self, element: Column):
+        super().__init__("")
+        self.element = element
+
+    def lookup(self, name: str) -> Column:
+        if not name:
+            return self.element
+        steps = "".join(f"['{part}']" for part in name.split("."))
+        return F.try_variant_get(self.element, "$" + steps, "variant")
+
+
 def fields_of(df: DataFrame, column: str | None = None):
     """Pick the shape of ``df``: a ``data`` map, a ``doc`` VARIANT, or typed."""
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -313,3 +394,47 @@ def set_path(doc: Column, path: str, value: Column) -> Column:
     entries = F.coalesce(as_map(doc), empty)
     inner = set_path(entries[head], tail, value) if tail else value
     return F.to_variant_object(put(entries, head, inner))
+
+
+def unset_path(doc: Column, path: str) -> Column:
+    """The VARIANT object without one (possibly dotted) path."""
+    head, _, tail = path.partition(".")
+    entries = as_map(doc)
+    if tail:
+        inner = entries[head]
+        entries = F.when(as_map(inner).isNotNull(), put(entries, head, unset_path(inner, tail)))
+    else:
+        entries = F.map_filter(entries, lambda k, _: k != head)
+    return F.coalesce(F.to_variant_object(entries), doc)
+
+
+def add_to(value: Column, amount) -> Column:
+    """A VARIANT number plus a literal; the literal where there is no value.
+    Anything but a number fails the job."""
+    kind = variant_kind(value)
+    real = F.try_variant_get(value, "$", "double")
+    whole = F.lit(False)
+    if isinstance(amount, int):
+        whole = kind == "BIGINT"
+    exact = (F.try_variant_get(value, "$", "bigint") + F.lit(int(amount))).cast("variant")
+    wrong = F.raise_error(F.concat(F.lit("$inc needs a number, found "), kind)).cast("variant")
+    return (
+        F.when(value.isNull(), as_variant(amount))
+        .when(whole, exact)
+        .when(real.isNotNull() & ~kind.isin("STRING", "BOOLEAN"), (real + F.lit(float(amount))).cast("variant"))
+        .otherwise(wrong)
+    )
+
+
+def append_to(value: Column, items: list) -> Column:
+    """A VARIANT array with literals added; a new array where there is none.
+    Anything but an array fails the job."""
+    kind = variant_kind(value)
+    new = F.array(*[as_variant(item) for item in items])
+    wrong = F.raise_error(F.concat(F.lit("$push needs an array, found "), kind)).cast("variant")
+    held = F.try_variant_get(value, "$", "array<variant>")
+    return (
+        F.when(value.isNull(), F.to_variant_object(new))
+        .when(kind.startswith("ARRAY"), F.to_variant_object(F.concat(held, new)))
+        .otherwise(wrong)
+    )

@@ -19,13 +19,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.fields import DocFields, as_variant, fields_of, set_path
+from millrace.functions.fields import (
+    DocFields, ElementFields, add_to, append_to, as_variant, fields_of, set_path, unset_path,
+    variant_kind,
+)
 from millrace.session import shared_dir
 
 log = logging.getLogger(__name__)
 
 # Supported comparison operators and the comparison they make.
 _ORDER = {"$gt": "gt", "$gte": "gte", "$lt": "lt", "$lte": "lte"}
+_UPDATES = ("$set", "$unset", "$inc", "$push")
+# Type names a filter may ask for, and their numbers.
+_TYPES = {
+    1: "double", 2: "string", 3: "object", 4: "array", 5: "binData", 8: "bool", 9: "date",
+    10: "null", 16: "int", 18: "long", 19: "decimal",
+}
 
 
 def _spec(value: str | Mapping | None) -> dict:
@@ -79,9 +88,30 @@ def _operator(fields, name: str, op: str, value, options: str) -> Column:
         if not divisor:
             raise ValueError("$mod needs a divisor")
         return fields.number(name).cast("long") % int(divisor) == int(rest)
+    if op == "$type":
+        return _any([_of_type(fields, name, v) for v in (value if isinstance(value, list) else [value])])
+    if op == "$elemMatch":
+        return F.exists(fields.elements(name), lambda item: _element(item, value))
     raise ValueError(f"unsupported filter operator: {op}")
 
 
+def _of_type(fields, name: str, wanted) -> Column:
+    if wanted == "number":
+        return _any([fields.of_type(name, k) for k in ("int", "long", "double", "decimal")])
+    wanted = _TYPES.get(wanted, wanted)
+    if wanted not in _TYPES.values():
+        raise ValueError(f"unknown type in filter: {wanted!r}")
+    return fields.of_type(name, wanted)
+
+
+def _element(item: Column, test: Mapping) -> Column:
+    """Whether one array element passes operators, or, if it is an object, a filter."""
+    inside = ElementFields(item)
+    if test and all(k.startswith("$") and k not in ("$and", "$or", "$nor") for k in test):
+        return _sure(_field(inside, "", test))
+    return variant_kind(item).startswith("OBJECT") & _sure(_build(inside, inside, test))
+
+
 def _field(fields, name: str, test) -> Column:
     if isinstance(test, dict) and test and all(k.startswith("$") for k in test):
         options = test.get("$options", "")
@@ -273,12 +303,38 @@ class Update:
     counts: DataFrame
 
 
-def _updates(update: str | Mapping) -> dict:
+def _updates(update: str | Mapping) -> dict[str, tuple]:
+    """path -> (operator, value); no path may lie inside another."""
     spec = _spec(update)
-    unknown = [op for op in spec if op != "$set"]
+    unknown = [op for op in spec if op not in _UPDATES]
     if unknown or not spec:
         raise ValueError(f"unsupported update operator: {unknown or 'none given'}")
-    return spec["$set"]
+    out: dict[str, tuple] = {}
+    for op, values in spec.items():
+        for path, value in values.items():
+            if any(f"{path}.".startswith(f"{p}.") or f"{p}.".startswith(f"{path}.") for p in out):
+                raise ValueError(f"two updates of {path}")
+            if op == "$inc" and (isinstance(value, bool) or not isinstance(value, (int, float))):
+                raise ValueError(f"$inc needs a number: {value!r}")
+            if op == "$push":
+                value = list(value["$each"]) if isinstance(value, dict) and set(value) == {"$each"} else [value]
+            out[path] = (op, value)
+    return out
+
+
+def _inserted(start: Mapping, changes: Mapping[str, tuple]) -> dict:
+    """The values an upsert's new row gets: the filter's, then the update's."""
+    out = dict(start)
+    for path, (op, value) in changes.items():
+        if op == "$unset":
+            out.pop(path, None)
+        elif op == "$inc":
+            out[path] = out.get(path, 0) + value
+        elif op == "$push":
+            out[path] = [*out.get(path, []), *value]
+        else:
+            out[path] = value
+    return out
 
 
 def _chosen(df: DataFrame, query, many: bool, id_column: str | None) -> DataFrame:
@@ -298,20 +354,56 @@ def _chosen(df: DataFrame, query, many: bool, id_column: str | None) -> DataFram
     )
 
 
-def _with_set(df: DataFrame, values: Mapping) -> tuple[dict[str, Column], Column]:
+def _literal(value) -> Column:
+    return F.array(*map(F.lit, value)) if isinstance(value, list) else F.lit(value)
+
+
+def _changed_doc(changes: Mapping[str, tuple]) -> Column:
+    old = DocFields("doc")
+    doc = F.col("doc")
+    for path, (op, value) in changes.items():
+        if op == "$unset":
+            doc = unset_path(doc, path)
+        elif op == "$inc":
+            doc = set_path(doc, path, add_to(old.lookup(path), value))
+        elif op == "$push":
+            doc = set_path(doc, path, append_to(old.lookup(path), value))
+        else:
+            doc = set_path(doc, path, as_variant(value))
+    return doc
+
+
+def _changed_column(df: DataFrame, name: str, op: str, value) -> Column:
+    """A typed column's new value; a column that is not there begins as null."""
+    if name not in df.columns:
+        return F.array(*map(F.lit, value)) if op == "$push" else F.lit(None if op == "$unset" else value)
+    kind, column = df.schema[name].dataType, F.col(name)
+    if op == "$unset":
+        return F.lit(None).cast(kind)
+    if op == "$inc":
+        if not isinstance(kind, T.NumericType):
+            raise ValueError(f"$inc needs a number, {name} is {kind.simpleString()}")
+        return F.coalesce(column + F.lit(value), F.lit(value)).cast(kind)
+    if op == "$push":
+        if not isinstance(kind, T.ArrayType):
+            raise ValueError(f"$push needs an array, {name} is {kind.simpleString()}")
+        return F.concat(F.coalesce(column, F.array().cast(kind)), F.array(*map(F.lit, value)).cast(kind))
+    return F.lit(value).cast(kind)
+
+
+def _with_changes(df: DataFrame, changes: Mapping[str, tuple]) -> tuple[dict[str, Column], Column]:
     """New column values for hit rows, and whether they differ from the old."""
     if isinstance(fields_of(df), DocFields):
-        doc = F.col("doc")
-        for path, value in values.items():
-            doc = set_path(doc, path, as_variant(value))
+        doc = _changed_doc(changes)
         return {"doc": doc}, F.to_json(F.col("doc")) != F.to_json(doc)
     new, changed = {}, []
-    for name, value in values.items():
+    for name, (op, value) in changes.items():
+        column = _changed_column(df, name, op, value)
         if name in df.columns:
-            column = F.lit(value).cast(df.schema[name].dataType)
             changed.append(~F.col(name).eqNullSafe(column))
+        elif op == "$unset":
+            continue
         else:
-            column = F.lit(value)
             changed.append(column.isNotNull())
         new[name] = column
     return new, _any(changed) if changed else F.lit(False)
@@ -341,14 +433,15 @@ def update(
     id_column: str | None = None,
     new_id=None,
 ) -> Update:
-    """``$set`` on all matches (``many``) or on the first by id.
+    """``$set``, ``$unset``, ``$inc`` and ``$push`` on all matches (``many``) or on
+    the first by id. A ``$inc`` or ``$push`` on a value of the wrong type fails.
 
     With ``upsert`` and no match, one row made of the filter's equalities and
     the new values is added.
     """
-    values = _updates(change)
+    changes = _updates(change)
     marked = _chosen(df, query, many, id_column)
-    new, differs = _with_set(df, values)
+    new, differs = _with_changes(df, changes)
     hit = F.col("__hit")
     rows = marked.withColumns(
         {
@@ -365,7 +458,7 @@ def update(
     added = F.when(F.col("matched_count") == 0, 1).otherwise(0) if upsert else F.lit(0)
     counts = tally.withColumn("upserted_count", added.cast("bigint"))
     if upsert:
-        fresh = {**_equalities(_spec(query)), **values}
+        fresh = _inserted(_equalities(_spec(query)), changes)
         name = _id_of(df, id_column)
         made = F.lit(new_id) if new_id is not None else F.uuid()
         seed = counts.filter("upserted_count = 1")
@@ -380,7 +473,7 @@ def update(
             fresh.setdefault(name, None)
             seed = seed.select(
                 *[
-                    (made if n == name and v is None else F.lit(v))
+                    (made if n == name and v is None else _literal(v))
                     .cast(rows.schema[n].dataType)
                     .alias(n)
                     for n, v in fresh.items()

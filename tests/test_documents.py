@@ -100,8 +100,8 @@ def test_updates(users):
     assert many["modified_count"] == 2
     one = users.update({"category": "senior"}, {"$set": {"first": True}})
     assert one["matched_count"] == 1 and users.count({"first": True, "_id": "1"}) == 1
-    with pytest.raises(ValueError, match="inc"):
-        users.update({}, {"$inc": {"age": 1}})
+    with pytest.raises(ValueError, match="mul"):
+        users.update({}, {"$mul": {"age": 1}})
 
 
 def test_deletes(products):
@@ -187,3 +187,59 @@ def test_array_and_number_operators(spark):
     assert docs.matching(typed, {"n": {"$mod": [7, 0]}}).count() == 1
     with pytest.raises(ValueError, match="divisor"):
         docs.matching(typed, {"n": {"$mod": [0, 0]}})
+
+
+def stored(df, name):
+    return [json.loads(r["json_data"]) for r in docs.render_json(df).collect() if json.loads(r["json_data"]).get("name") == name][0]
+
+
+def test_update_operators(users):
+    change = {"$inc": {"age": 2, "visits": 1, "score": 0.5}, "$unset": {"city": "", "no.such": ""},
+              "$push": {"tags": "x", "more": {"$each": [1, "b", None]}}, "$set": {"a.b": 1}}
+    assert users.update({"_id": "1"}, change)["modified_count"] == 1
+    users.update({"_id": "1"}, {"$push": {"tags": {"k": 1}}, "$unset": {"a.b": 1}, "$inc": {"score": 1}})
+    john = stored(users.read(), "John Doe")
+    assert john["age"] == 32 and john["visits"] == 1 and john["score"] == 1.5 and "city" not in john
+    assert john["tags"] == ["x", {"k": 1}] and john["more"] == [1, "b", None] and john["a"] == {}
+    assert users.update({"_id": "2"}, {"$unset": {"city": ""}}) == {
+        "matched_count": 1, "modified_count": 0, "upserted_count": 0}
+    done = users.update({"name": "New", "age": 5}, {"$inc": {"age": 1, "n": 3}, "$push": {"t": 1}}, upsert=True)
+    assert done["upserted_count"] == 1
+    new = stored(users.read(), "New")
+    assert (new["age"], new["n"], new["t"]) == (6, 3, [1])
+    for bad in ({"$inc": {"name": 1}}, {"$push": {"age": 1}}):
+        with pytest.raises(Exception, match=r"\$inc needs|\$push needs"):
+            users.update({"_id": "1"}, bad)
+    for bad in ({"$inc": {"a": "1"}}, {"$set": {"a": 1}, "$inc": {"a.b": 1}}, {"$mul": {"a": 2}}, {}):
+        with pytest.raises(ValueError):
+            users.update({"_id": "1"}, bad)
+
+
+def test_type_and_element_filters(spark):
+    items = [
+        {"_id": "1", "v": 1, "list": [1, 5, 9], "subs": [{"a": 1, "b": 2}, {"a": 3, "b": 0}]},
+        {"_id": "2", "v": 1 << 40, "list": [2, "x"], "subs": [{"a": 1, "b": 0}]},
+        {"_id": "3", "v": 1.5, "list": [], "subs": [1, 2]},
+        {"_id": "4", "v": "t", "list": 5, "subs": {"a": 1, "b": 2}},
+        {"_id": "5", "v": None},
+        {"_id": "6", "v": [True, {"z": 1}]},
+    ]
+    rows = docs.parsed(texts(spark, items), "string")
+
+    def hits(query):
+        return "".join(sorted(r["_id"] for r in docs.find(rows, query).collect()))
+
+    assert [hits({"v": {"$type": t}}) for t in ("int", 18, "double", "string", "null", "array", "bool", "object", "number")] == [
+        "1", "2", "3", "4", "5", "6", "6", "6", "123"]
+    assert hits({"v": {"$type": [2, "null"]}}) == "45" and hits({"v": {"$not": {"$type": "number"}}}) == "456"
+    assert hits({"list": {"$elemMatch": {"$gt": 3, "$lt": 8}}}) == "1"
+    assert hits({"list": {"$elemMatch": {"$type": "string"}}}) == "2"
+    assert hits({"subs": {"$elemMatch": {"a": 1, "b": {"$gte": 2}}}}) == "1"
+    assert hits({"subs": {"$elemMatch": {"$or": [{"a": 3}, {"b": 0}]}}}) == "12"
+    assert hits({"subs": {"$elemMatch": {"zz": None}}}) == "12"
+    with pytest.raises(ValueError):
+        docs.find(rows, {"v": {"$type": "nonsense"}})
+    typed = spark.createDataFrame([(1, [1, 2], [(1, "a")]), (2, None, [(2, "b")])], "_id int, xs array<int>, ss array<struct<n:int,t:string>>")
+    assert [r[0] for r in docs.find(typed, {"xs": {"$elemMatch": {"$gte": 2}}}).collect()] == [1]
+    assert [r[0] for r in docs.find(typed, {"ss": {"$elemMatch": {"n": 2, "t": "b"}}}).collect()] == [2]
+    assert [r[0] for r in docs.find(typed, {"xs": {"$type": "int"}}).collect()] == [1]

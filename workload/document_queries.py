@@ -116,6 +116,25 @@ def match_nor_mod(spark, sf):
     return docs.find(_people(spark, sf), query_).select("c_custkey")
 
 
+@query("match_type", f"WITH {_DOC} SELECT _id FROM d WHERE value IS NOT NULL AND k % 2 = 0")
+def match_type(spark, sf):
+    """``k`` is a whole number, ``value`` one with a fraction, or absent."""
+    return _ids(docs.find(_props(spark, sf), {"value": {"$type": "double"}, "k": {"$type": [16, "long"], "$mod": [2, 0]}}))
+
+
+_ORDERED = """o AS (SELECT l_orderkey, bool_or(l_quantity > 40 AND l_returnflag = 'R') AS big
+                    FROM lineitem GROUP BY l_orderkey)"""
+
+
+@query("match_element", f"WITH {_ORDERED} SELECT l_orderkey AS _id FROM o WHERE big")
+def match_element(spark, sf):
+    """Orders with one line that is both large and returned."""
+    line = F.struct(F.col("l_quantity").cast("double").alias("quantity"), F.col("l_returnflag").alias("flag"))
+    orders = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("_id")).agg(F.collect_list(line).alias("lines"))
+    test = {"lines": {"$elemMatch": {"quantity": {"$gt": 40}, "flag": "R"}}}
+    return _ids(docs.find(orders, test))
+
+
 @query("match_exists", f"WITH {_DOC} SELECT _id FROM d WHERE value IS NOT NULL AND type = 'view'")
 def match_exists(spark, sf):
     return _ids(docs.find(_props(spark, sf), {"value": {"$exists": True}, "type": {"$eq": "view"}}))
@@ -247,6 +266,37 @@ def set_fields(spark, sf):
     )
 
 
+@query(
+    "change_fields",
+    f"""WITH {_DOC} SELECT _id, CASE WHEN k > 50 THEN k + 7 ELSE k END AS k,
+               CASE WHEN k <= 50 THEN value END AS value, CASE WHEN k > 50 THEN 1 END AS seen,
+               CASE WHEN k > 50 THEN '["a","b"]' END AS tags, user_id FROM d""",
+)
+def change_fields(spark, sf):
+    """Counted up, removed and pushed to, whether or not the field is there."""
+    change = {"$inc": {"k": 7, "seen": 1}, "$unset": {"value": ""}, "$push": {"tags": {"$each": ["a", "b"]}}}
+    rows = docs.update(_props(spark, sf), {"k": {"$gt": 50}}, change, many=True).rows
+    return rows.select(
+        "_id",
+        F.try_variant_get("doc", "$.k", "bigint").alias("k"),
+        F.try_variant_get("doc", "$.value", "double").alias("value"),
+        F.try_variant_get("doc", "$.seen", "int").alias("seen"),
+        F.to_json(F.try_variant_get("doc", "$.tags", "variant")).alias("tags"),
+        F.try_variant_get("doc", "$.user.id", "bigint").alias("user_id"),
+    )
+
+
+@query(
+    "change_columns",
+    """SELECT c_custkey, c_acctbal + CASE WHEN c_mktsegment = 'BUILDING' THEN 10 ELSE 0 END AS c_acctbal,
+              CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS c_mktsegment FROM customer""",
+)
+def change_columns(spark, sf):
+    change = {"$inc": {"c_acctbal": 10}, "$unset": {"c_mktsegment": ""}}
+    rows = docs.update(_people(spark, sf), {"c_mktsegment": "BUILDING"}, change, many=True).rows
+    return rows.select("c_custkey", "c_acctbal", "c_mktsegment")
+
+
 @query(
     "upsert",
     f"""SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer
