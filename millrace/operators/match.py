@@ -670,6 +670,26 @@ def late_flag(df: DataFrame, ts: str, arrival: str, window) -> DataFrame:
     return df.withColumn("is_late", late)
 
 
+def flag_ledger(
+    ledger: DataFrame, left: DataFrame, right: DataFrame, key: str, ts: str, event_id: str,
+    arrival: str, window,
+) -> DataFrame:
+    """The ledger with ``is_late`` (see ``late_flag``) of each event. Rows alike in
+    key, id and time are one event, late if any of them is."""
+    on = ["join_key", "side", "event_id", "event_time"]
+
+    def marks(df: DataFrame, side: str) -> DataFrame:
+        return late_flag(df, ts, arrival, window).select(
+            canonical_key(df, key).alias("join_key"), F.lit(side).alias("side"),
+            F.col(event_id).alias("event_id"), F.col(ts).alias("event_time"), "is_late",
+        )
+
+    both = marks(left, "left").unionAll(marks(right, "right"))
+    late = both.filter("is_late").select(on).distinct().withColumn("is_late", F.lit(True))
+    flagged = ledger.join(late, on, "left")
+    return flagged.withColumn("is_late", F.coalesce("is_late", F.lit(False)))
+
+
 def join_metrics(
     ledger: DataFrame, late: str | None = None, errors: DataFrame | None = None
 ) -> DataFrame:

@@ -1,14 +1,17 @@
 """Deduplication and matching on unbounded streams.
 
-One state per key, rows of a micro-batch taken in time order: a single number
-passed along with the rows for eager deduplication, ``transformWithState`` with
-list state where rows have to be held. Payload columns travel as one JSON text, so any column
-type works and the state schema is fixed.
+One ``transformWithState`` state per key, rows of a micro-batch taken in time
+order. Payload columns travel as one JSON text, so any column type works and the
+state schema is fixed.
 
 ``emit="eager"`` answers in the micro-batch a row arrives in; rows that reach an
 earlier time than the key's state has seen are judged against that state.
 ``emit="on_watermark"`` holds rows until the watermark passes them and so gives
 the batch answer whatever the arrival order within the watermark delay.
+
+Deduplication judges every row, however late: the engine drops late rows by the
+watermarked column, so that column stays behind and only its watermark goes on.
+Matching takes rows late enough to meet any event that may still wait.
 """
 
 from __future__ import annotations
@@ -19,7 +22,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.functions.durations import micros, window_micros
@@ -76,31 +78,40 @@ class _Ordered(StatefulProcessor):
             for pdf in rows
             for at, event, side, body in zip(pdf["at"], pdf["event"], pdf["side"], pdf["body"])
         ]
+        self.watermark = timerValues.getCurrentWatermarkInMs() * 1000
         if self.hold:
-            self.pending.appendList(arrived)
-            self.handle.registerTimer(_timer(min(r[0] for r in arrived)))
-            return
+            held = [r for r in arrived if r[0] >= self.watermark]
+            if held:
+                self.pending.appendList(held)
+                self.handle.registerTimer(_timer(min(r[0] for r in held)))
+            # What the watermark has passed already is not held; timers fire after
+            # the input, so what they would release goes first.
+            late = [r for r in arrived if r[0] < self.watermark]
+            arrived = late + self._release(self.watermark) if late else []
         arrived.sort(key=lambda r: (r[0], r[1], r[2]))
-        out = self.take(key, arrived)
+        out = self.take(key, arrived) if arrived else []
         if out:
             yield self._frame(key, out)
 
+    def _release(self, watermark: int) -> list[tuple]:
+        """The held rows that the watermark has passed; the others stay."""
+        held = list(self.pending.get()) if self.pending.exists() else []
+        ready = [tuple(r) for r in held if r[0] < watermark]
+        rest = [r for r in held if r[0] >= watermark]
+        if rest and ready:
+            self.pending.put(rest)
+            self.handle.registerTimer(_timer(min(r[0] for r in rest)))
+        elif ready:
+            self.pending.clear()
+        return ready
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        out = []
-        if self.hold and self.pending.exists():
-            held = list(self.pending.get())
-            ready = sorted(
-                (r for r in held if r[0] < watermark), key=lambda r: (r[0], r[1], r[2])
-            )
-            rest = [r for r in held if r[0] >= watermark]
-            if rest:
-                self.pending.put(rest)
-                self.handle.registerTimer(_timer(min(r[0] for r in rest)))
-            else:
-                self.pending.clear()
-            if ready:
-                out = self.take(key, ready)
+        # Rows that were held came in time.
+        self.watermark = None
+        ready = self._release(watermark) if self.hold else []
+        ready.sort(key=lambda r: (r[0], r[1], r[2]))
+        out = self.take(key, ready) if ready else []
         self.expire(watermark)
         if out:
             yield self._frame(key, out)
@@ -110,24 +121,30 @@ class _Ordered(StatefulProcessor):
 
 
 class AnchorProcessor(_Ordered):
-    """One anchor per key; it lapses when the watermark passes its window."""
+    """One anchor per key; it lapses when the watermark has moved a window past
+    it, or past where the watermark was if the anchor came late."""
 
     columns = ["first_seen", "is_duplicate", "body"]
     schema = "key_value string, first_seen bigint, is_duplicate boolean, body string"
 
+    def __init__(self, window: int, hold: bool, annotate: bool = False):
+        super().__init__(window, hold)
+        self.annotate = annotate
+
     def open_state(self, handle) -> None:
-        self.anchor = handle.getValueState("anchor", "at bigint")
+        self.anchor = handle.getValueState("anchor", "at bigint, until bigint")
 
     def take(self, key, rows):
         before = self.anchor.get()[0] if self.anchor.exists() else None
         anchor, out = _judge(self.window, before, rows)
         if anchor != before:
-            self.anchor.update((anchor,))
-            self.handle.registerTimer(_timer(anchor + self.window))
-        return out
+            until = max(anchor, anchor if self.watermark is None else self.watermark) + self.window
+            self.anchor.update((anchor, until))
+            self.handle.registerTimer(_timer(until))
+        return out if self.annotate else [r for r in out if not r[1]]
 
     def expire(self, watermark: int) -> None:
-        if self.anchor.exists() and self.anchor.get()[0] + self.window < watermark:
+        if self.anchor.exists() and self.anchor.get()[1] < watermark:
             self.anchor.clear()
 
 
@@ -143,34 +160,6 @@ def _judge(window: int, anchor: int | None, rows: list[tuple]) -> tuple[int | No
     return anchor, out
 
 
-def _eager_anchor(window: int, annotate: bool):
-    """Eager deduplication: the state is one number that travels with the rows,
-    so a key costs no calls to the store. Only kept rows come back unless
-    ``annotate`` is set."""
-
-    def run(key, rows, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        arrived = sorted(
-            (int(at), event, 0, body)
-            for pdf in rows
-            for at, event, body in zip(pdf["at"], pdf["event"], pdf["body"])
-        )
-        before = state.get[0] if state.exists else None
-        anchor, out = _judge(window, before, arrived)
-        if anchor != before:
-            state.update((anchor,))
-        lapse = max(_timer(anchor + window), state.getCurrentWatermarkMs() + 1)
-        state.setTimeoutTimestamp(lapse)
-        yield pd.DataFrame(
-            [(key[0], *r) for r in out if annotate or not r[1]],
-            columns=["key_value", *AnchorProcessor.columns],
-        )
-
-    return run
-
-
 class MatchProcessor(_Ordered):
     """Waiting events of both sides; one-to-one, oldest first."""
 
@@ -180,9 +169,10 @@ class MatchProcessor(_Ordered):
         "left_body string, right_body string, made_at timestamp"
     )
 
-    def __init__(self, window: int, hold: bool, retention: int):
+    def __init__(self, window: int, hold: bool, life: int):
         super().__init__(window, hold)
-        self.retention = retention
+        # How far the watermark may pass an event that waits.
+        self.life = life
 
     def open_state(self, handle) -> None:
         entry = "event string, at bigint, body string"
@@ -217,7 +207,7 @@ class MatchProcessor(_Ordered):
             else:
                 state.clear()
         if latest:
-            self.handle.registerTimer(_timer(latest + self.window + self.retention))
+            self.handle.registerTimer(_timer(latest + self.life))
         return out
 
     def expire(self, watermark: int) -> None:
@@ -225,7 +215,7 @@ class MatchProcessor(_Ordered):
             if not state.exists():
                 continue
             held = list(state.get())
-            kept = [r for r in held if r[1] + self.window + self.retention >= watermark]
+            kept = [r for r in held if r[1] + self.life >= watermark]
             if kept and len(kept) < len(held):
                 state.put(kept)
             elif not kept:
@@ -267,20 +257,14 @@ def dedup_stream(
     annotate: bool = False,
 ) -> DataFrame:
     """Kept events of a stream, or all of them annotated. State per key is one
-    number, dropped when the watermark passes the anchor's window."""
+    anchor, dropped when the watermark passes its window. ``delay`` sets that
+    watermark; rows later than it are judged by the anchor that is there, or
+    kept if there is none."""
     size, hold = window_micros(window), _check_emit(emit)
-    keyed = _packed(df, key, ts, event_id, 0, delay).groupBy("key_value")
-    if hold:
-        out = keyed.transformWithStateInPandas(
-            AnchorProcessor(size, hold), AnchorProcessor.schema, "append", "EventTime"
-        )
-    else:
-        out = keyed.applyInPandasWithState(
-            _eager_anchor(size, annotate), AnchorProcessor.schema, "anchor bigint", "append",
-            GroupStateTimeout.EventTimeTimeout,
-        )
-    if not annotate:
-        out = out.filter("NOT is_duplicate")
+    keyed = _packed(df, key, ts, event_id, 0, delay).drop("__time").groupBy("key_value")
+    out = keyed.transformWithStateInPandas(
+        AnchorProcessor(size, hold, annotate), AnchorProcessor.schema, "append", "EventTime"
+    )
     row = out.withColumn("__row", F.from_json("body", df.schema, _JSON))
     if not annotate:
         return row.select("__row.*")
@@ -295,17 +279,30 @@ def match_stream(
     ts: str,
     event_id: str,
     window,
-    delay: str = "5 minutes",
+    delay: str | None = None,
     emit: str = "eager",
     retention=RETENTION,
 ) -> DataFrame:
     """One-to-one matches of two streams as joined events (see
     ``match.joined_projection``), with ``made_at``, the later of the two times,
-    as the event time of whatever follows."""
+    as the event time of whatever follows.
+
+    An event waits until the slower side is its window and ``retention`` ahead.
+    The default ``delay`` of an eager match is two windows and ``retention``, so
+    any row that the engine drops is too late for every event that waits; held
+    rows (``on_watermark``) are held for 5 minutes. With a ``delay`` of the
+    caller's, the watermark has to be that far ahead instead.
+    """
+    size, hold = window_micros(window), _check_emit(emit)
+    life = size + micros(retention)
+    if delay is None and hold:
+        delay = "5 minutes"
+    elif delay is None:
+        delay, life = f"{life + size} microseconds", -size
     both = _packed(left, key, ts, event_id, 0, delay).unionByName(
         _packed(right, key, ts, event_id, 1, delay)
     )
-    processor = MatchProcessor(window_micros(window), _check_emit(emit), micros(retention))
+    processor = MatchProcessor(size, hold, life)
     out = both.groupBy("key_value").transformWithStateInPandas(
         processor, MatchProcessor.schema, "append", "EventTime", eventTimeColumnName="made_at"
     )
@@ -325,10 +322,10 @@ def dedup_joined_stream(df: DataFrame, key: str, body: str, window) -> DataFrame
     """Kept rows (as their ``body`` text) of a matched stream, judged by the key
     text in ``key`` at ``made_at``; runs in the same query as the match."""
     keyed = df.select(
-        F.col(key).alias("key_value"), "made_at", _micros(df, "made_at").alias("at"),
+        F.col(key).alias("key_value"), _micros(df, "made_at").alias("at"),
         F.col("joined_id").alias("event"), F.lit(0).alias("side"), F.col(body).alias("body"),
     )
     judged = keyed.groupBy("key_value").transformWithStateInPandas(
         AnchorProcessor(window_micros(window), False), AnchorProcessor.schema, "append", "EventTime"
     )
-    return judged.filter("NOT is_duplicate").select("body")
+    return judged.select("body")

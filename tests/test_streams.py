@@ -222,3 +222,46 @@ def test_late_partners_still_match(spark, tmp_path):
     out, late, _ = run(joined, str(tmp_path))
     assert late == 0
     assert [(r["joined_id"], r["join_delay"]) for r in out.collect()] == [("joined_1_3", 240_000_000_000)]
+
+
+def arriving(spark, batches, path):
+    """A stream with one micro-batch for each list of (key, id, side, "day hh:mm")."""
+    now = time.time() - 1000
+    for n, batch in enumerate(batches):
+        frame = spark.createDataFrame(batch, "k string, id long, side string, at string")
+        frame = frame.withColumn("ts", F.to_timestamp(F.concat(F.lit("2024-01-"), "at"), "yyyy-MM-dd HH:mm"))
+        frame.coalesce(1).write.parquet(f"{path}/in/part-{n}")
+        for name in os.listdir(f"{path}/in/part-{n}"):
+            os.utime(f"{path}/in/part-{n}/{name}", (now + n, now + n))
+    return ingest.file_stream(spark, f"{path}/in/*", frame.schema, files_per_trigger=1)
+
+
+@pytest.mark.parametrize("emit", ["eager", "on_watermark"])
+def test_no_row_is_too_late_to_be_judged(spark, tmp_path, emit):
+    """Rows hours behind the watermark: kept if nothing is known of their key or
+    their own, also late, anchor blocks them; none is lost."""
+    batches = [[("a", 1, "", "01 10:00")], [("b", 2, "", "01 15:00")], [("late", 3, "", "01 08:00")],
+               [("late", 4, "", "01 08:10"), ("a", 5, "", "01 11:30")], [("z", 6, "", "03 00:00")],
+               [("b", 7, "", "01 15:30")]]  # its anchor goes after this batch's rows
+    stream = arriving(spark, batches, tmp_path)
+    out, late, _ = run(stateful.dedup_stream(stream, "k", "ts", "1h", "id", emit=emit, annotate=True), str(tmp_path))
+    got = {r["id"]: r["is_duplicate"] for r in out.collect()}
+    assert late == 0
+    expected = {1: False, 2: False, 3: False, 4: True, 5: False, 6: False, 7: True}
+    # The newest row stays held: no watermark passes it.
+    assert got == {i: d for i, d in expected.items() if emit == "eager" or i != 6}
+
+
+def test_default_delay_loses_no_partner(spark, tmp_path):
+    """The slower side is nearly two windows behind and still finds its partner;
+    one that no waiting event can match is counted as late."""
+    batches = [[("a", 1, "l", "01 10:00"), ("a", 2, "l", "01 20:00"), ("a", 3, "r", "01 20:00")],
+               [("b", 4, "l", "01 19:00"), ("b", 5, "r", "01 20:10")],
+               [("b", 6, "r", "01 18:10"), ("a", 7, "r", "01 09:30")]]
+    stream = arriving(spark, batches, tmp_path)
+    joined = stateful.match_stream(
+        *[stream.filter(F.col("side") == s) for s in "lr"], "k", "ts", "id", "1h"
+    )
+    out, late, _ = run(joined, str(tmp_path))
+    assert {r["joined_id"] for r in out.collect()} == {"joined_2_3", "joined_4_6"}
+    assert late == 1

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.keys import canonical_key
 from millrace.operators import dedup, match
+from millrace.session import shared_dir
 from millrace.sources import ingest
 from millrace.streaming import stateful
 from workload.common import (
@@ -112,6 +113,22 @@ def dedup_stream(spark, sf):
     return ntz(drained(out, "dedup-stream"), "ts")
 
 
+@query(
+    "dedup_stream_batches",
+    "SELECT event_id, CAST(user_id AS VARCHAR) AS key_value FROM events",
+)
+def dedup_stream_batches(spark, sf):
+    """Four micro-batches in no order of time: every event is judged, none is too
+    late."""
+    rows = events(spark, sf).select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
+    path = shared_dir(spark, "batches")
+    part = F.pmod(F.xxhash64("event_id"), F.lit(4)).alias("part")
+    rows.select("*", part).write.partitionBy("part").parquet(path)
+    late = ingest.file_stream(spark, path, spark.read.parquet(path).schema, files_per_trigger=1)
+    out = stateful.dedup_stream(late, "user_id", "ts", "24h", "event_id", annotate=True)
+    return drained(out.select("event_id", "key_value"), "dedup-batches")
+
+
 @query(
     "dedup_expire",
     f"""WITH RECURSIVE {anchor_cte("events", "user_id", "ts", "event_id", "INTERVAL 1 HOUR", "event_id")},
@@ -331,13 +348,16 @@ def orphans_on_arrival(spark, sf):
     """SELECT event_id, (event_id % 7) > 4 AS is_late FROM events""",
 )
 def late_flag(spark, sf):
-    rows = events(spark, sf).select(
-        "event_id", "ts",
-        (F.col("ts") + F.make_dt_interval(mins=(F.col("event_id") % 7).cast("int"))).alias("arrived"),
-    )
+    rows = _arrived(events(spark, sf).select("event_id", "ts"))
     return match.late_flag(rows, "ts", "arrived", "4m").select("event_id", "is_late")
 
 
+def _arrived(rows):
+    """Events that arrive up to six minutes after their time."""
+    delay = F.make_dt_interval(mins=(F.col("event_id") % 7).cast("int"))
+    return rows.withColumn("arrived", F.col("ts") + delay)
+
+
 @query(
     "join_buffer_retention",
     f"""{_PAIRS}, passed AS (
@@ -401,8 +421,11 @@ _METRICS = """SELECT count(*) FILTER (side = 'left') AS left_events_processed,
 
 
 def _metrics(spark, sf):
-    ledger = _ledger(spark, sf).withColumn("late", F.col("event_id") % 7 > 4)
-    return match.join_metrics(ledger, late="late")
+    left, right = map(_arrived, sides(spark, sf))
+    ledger = match.flag_ledger(
+        _ledger(spark, sf), left, right, "user_id", "ts", "event_id", "arrived", "4m"
+    )
+    return match.join_metrics(ledger, late="is_late")
 
 
 @query("join_metrics", f"{_LEDGER} {_METRICS}")
