@@ -150,7 +150,7 @@ def _scanner(window: int, keep_columns: list[str], annotate: bool, seeds):
 
 def _load_groups(batches: Iterator[pa.RecordBatch]):
     """(key, slice, sorted distinct times) per group; a group is one time slice
-    of a hot key, whose size the grid bounds."""
+    of a hot key, of about equal numbers of rows."""
     held: list[np.ndarray] = []
     name = None
     for batch in batches:
@@ -164,7 +164,7 @@ def _load_groups(batches: Iterator[pa.RecordBatch]):
                 yield (*name, np.unique(np.concatenate(held)))
                 held = []
             name = group
-            held.append(at[s:e])
+            held.append(np.unique(at[s:e]))
     if held:
         yield (*name, np.unique(np.concatenate(held)))
 
@@ -246,7 +246,7 @@ def _slice_anchors(rows: DataFrame, window: int, grid: hotkeys.HotKeys):
     spark = rows.sparkSession
     slim = rows.select(KEY, SLICE, AT)
     by_slice = slim.repartition(KEY, SLICE).sortWithinPartitions(KEY, SLICE, AT)
-    cap = max(4, STEP_BUDGET // (hotkeys.MAX_SLICES_PER_KEY // 10))
+    cap = max(4, STEP_BUDGET // grid.slices())
     found: dict[str, list] = {}
     for r in by_slice.mapInArrow(_summarise(window, cap), _SUMMARY).collect():
         found.setdefault(r["key"], []).append(r)

@@ -134,3 +134,26 @@ def test_sketch_finds_hot_keys_only(spark):
     cut = grid.slice_column(df, "k", df["at"], "s")
     sizes = {r["s"]: r["count"] for r in cut.groupBy("s").count().collect()}
     assert len(sizes) > 5 and max(n for s, n in sizes.items() if s) < 500
+
+
+def test_bunched_times_are_cut_evenly(spark):
+    """Nine tenths of a key's rows lie in a thousandth of its time."""
+    df = spark.range(40_000).selectExpr(
+        "'hot' as k", "case when id % 10 = 0 then id * 1000 else 20000000 + id end as at"
+    )
+    grid = hotkeys.find_hot_keys(df, "k", "at", hot_rows=4000)
+    sizes = [r["count"] for r in grid.slice_column(df, "k", df["at"], "s").groupBy("s").count().collect()]
+    assert len(sizes) > 35 and max(sizes) < 2000
+
+
+def test_slices_do_not_cost_a_job_each(spark):
+    rows = [("hot", 7 * i, i) for i in range(20_000)]
+    df = frame(spark, rows)
+    tracker, group = spark.sparkContext.statusTracker(), "hot-jobs"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        got = dedup.dedup_anchor(df, "k", "ts", 400_000, ["id"], hot_rows=2000)
+        assert {r["id"] for r in got.collect()} == loop(rows, 400)
+        assert len(tracker.getJobIdsForGroup(group)) < 30
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

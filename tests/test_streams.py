@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from millrace.operators import dedup, match
+from millrace.operators import dedup, match, tables
 from millrace.plans import control, flows, spec
 from millrace.sources import ingest
 from millrace.streaming import sinks, stateful
@@ -180,6 +180,37 @@ def test_flow_manager(spark, tmp_path):
     assert [r["key"] for r in out] == ["a"]
 
 
+def test_flow_writes_table_rows_and_dead_letters(spark, tmp_path):
+    values = ['{"id":"a","user":1,"n":5}', "not json", '{"id":"b"}', '{"id":"c","user":2,"n":"many"}',
+              '{"user":3,"n":1}', "[1]"]
+    rows = [("k", v, "t", 0, i) for i, v in enumerate(values)]
+    spark.createDataFrame(
+        rows, "key string, value string, topic string, partition int, offset bigint"
+    ).withColumn("timestamp", F.lit("2024-01-01").cast("timestamp")).write.parquet(f"{tmp_path}/topic")
+    flow = spec.parse(
+        {
+            "name": "rows",
+            "source": {"type": "kafka", "topic": "t"},
+            "processing": {"deduplication": {"key": "user", "time_window": "1h"}},
+            "sink": {"type": "clickhouse", "table": "rows"},
+        }
+    )
+    table = tables.TableSpec(
+        "rows", (tables.ColumnSpec("id", "string", nullable=False), tables.ColumnSpec("n", "bigint")), ("id",)
+    )
+    manager = control.FlowManager(spark, f"{tmp_path}/ck")
+    topics = {"t": ingest.topic_files(spark, f"{tmp_path}/topic")}
+    manager.create(flow, topics, sinks.folder_writer(f"{tmp_path}/out"), "1 second", table=table)
+    manager.drain("rows")
+    manager.stop("rows")
+    letters = manager.dead_letters("rows")
+    good = spark.read.schema("id string, n bigint").parquet(f"{tmp_path}/out").collect()
+    assert [(r["id"], r["n"]) for r in good] == [("a", 5)]
+    assert sorted(r["value"] for r in letters["record"].collect()) == sorted([values[1], values[2], values[5]])
+    assert letters["table"].count() == 2 and letters["table"].filter("error_reason IS NULL").count() == 0
+    assert manager.status("rows") == control.STOPPED
+
+
 def test_failed_flow_says_so(spark, tmp_path):
     spark.createDataFrame([], ingest.TOPIC_SCHEMA).write.parquet(f"{tmp_path}/topic")
     row = [("k", "{}", "t", 0, 0)]

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import routing
-from millrace.plans import flows, metrics, spec
+from millrace.plans import control, flows, metrics, spec
+from millrace.session import shared_dir
+from millrace.streaming.sinks import folder_writer
 from workload.common import (
     MESSAGES, anchor_cte, as_topic, drained, event_stream, event_topic, events,
     match_cte, ntz, query, table,
@@ -218,6 +220,22 @@ def flow_topic_stream(spark, sf):
     return drained(flows.columns_of(flow.output, _FLOW_COLUMNS), "flow-topic")
 
 
+@query(
+    "flow_dead_letters",
+    f"""WITH {MESSAGES} SELECT reason AS error_reason, count(*) AS records
+        FROM messages WHERE reason IS NOT NULL GROUP BY reason""",
+)
+def flow_dead_letters(spark, sf):
+    """The same flow run to its end; the records it could not use, by reason."""
+    root = shared_dir(spark, "flow-letters")
+    manager = control.FlowManager(spark, root)
+    topics = {"events": as_topic(event_stream(spark, sf))}
+    manager.create(spec.parse(TOPIC_FLOW), topics, folder_writer(f"{root}/out"), interval=None)
+    manager.wait(TOPIC_FLOW["name"])
+    letters = manager.dead_letters(TOPIC_FLOW["name"])["record"]
+    return letters.groupBy("error_reason").agg(F.count("*").alias("records"))
+
+
 JOIN_FLOW = {
     "name": "purchase-click-join",
     "source": {
