@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 import re
 from datetime import timedelta
 
+log = logging.getLogger(__name__)
+
 # Duration units in microseconds, and the longest window allowed.
 _UNIT_MICROS = {
     "ns": 0.001,
@@ -36,10 +39,12 @@ def micros(value: str | int | timedelta) -> int:
 
 
 def window_micros(value: str | int | timedelta) -> int:
-    """A non-negative window, clamped to seven days on every path."""
+    """A non-negative window, clamped to seven days on every path, with a warning."""
     size = micros(value)
     if size < 0:
         raise ValueError(f"negative window: {value!r}")
+    if size > MAX_WINDOW_MICROS:
+        log.warning("window %r is narrowed to seven days", value)
     return min(size, MAX_WINDOW_MICROS)
 
 

@@ -285,6 +285,27 @@ def _texts(spark, sf):
     return events(spark, sf).select("event_id", F.expr(_TEXT).alias("n"))
 
 
+@query("cast_unknown", "SELECT event_id, value AS amount FROM events")
+def cast_unknown(spark, sf):
+    """A cast to an unknown target is refused before a row is read; the other
+    rules run."""
+    rules = [
+        {"type": "rename", "field": "value", "value": "amount"},
+        {"type": "cast", "field": "amount", "value": "decimal128"},
+    ]
+    accepted, refused = [], []
+    for rule in rules:
+        try:
+            transforms.check_rule(rule)
+            accepted.append(rule)
+        except ValueError:
+            refused.append(rule["type"])
+    if refused != ["cast"]:
+        raise AssertionError(f"refused {refused}")
+    rows = events(spark, sf).select("event_id", "value")
+    return transforms.rename(rows, accepted[0]["field"], accepted[0]["value"])
+
+
 @query(
     "cast_int",
     f"""WITH t AS (SELECT event_id, {_TEXT} AS n FROM events)

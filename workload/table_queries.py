@@ -237,10 +237,11 @@ def session_table(spark, sf):
                CAST(NULL AS VARCHAR) AS merchant_name, p.event_type AS category,
                c.c_name AS user_name, CAST(NULL AS VARCHAR) AS user_email,
                c.c_mktsegment AS user_tier, CAST(c.c_nationkey AS VARCHAR) AS user_country
-        FROM found JOIN events p ON p.event_id = l JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = k""",
+        FROM found JOIN events p ON p.event_id = l LEFT JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = k""",
 )
 def transactions_table(spark, sf):
-    """Purchases matched one-to-one with profile sightings and flattened."""
+    """Purchases matched one-to-one with profile sightings and flattened; users
+    that are no customers stay, without a profile."""
     left, right = sides(spark, sf)
     people = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("user_id"),
@@ -248,7 +249,7 @@ def transactions_table(spark, sf):
         F.col("c_mktsegment").alias("tier"),
         F.col("c_nationkey").cast("string").alias("country"),
     )
-    profiles = right.select("event_id", "user_id", "ts").join(people, "user_id")
+    profiles = right.select("event_id", "user_id", "ts").join(people, "user_id", "left")
     pairs = match.temporal_match(left, right, "user_id", "ts", "event_id", "6h", unique_ids=True)
     joined = match.joined_projection(pairs, left, profiles, "ts", "event_id", "user_id", unique_ids=True)
     flat = tables.transaction_rows(joined).withColumnsRenamed(
