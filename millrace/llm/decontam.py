@@ -210,6 +210,13 @@ def overlaps(doc: np.ndarray, item: np.ndarray, at: int, offset: int, span: int)
     return bool((sums[need:] >= np.minimum.accumulate(sums[:len(sums) - need])).any())
 
 
+def longest_runs(runs: DataFrame) -> DataFrame:
+    """Each run once. One that a cut of a long text clipped comes whole from the
+    next piece, which has all its seeds."""
+    whole = F.max_by(F.struct("tokens", "seeds", "places"), F.struct(F.size("tokens"), F.size("seeds")))
+    return runs.groupBy("k1", "k2", "segment").agg(whole.alias("run")).select("k1", "k2", "segment", "run.*")
+
+
 def _verify_batches(batches):
     for batch in batches:
         out = [[], [], []]
@@ -251,7 +258,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bits = spark.sparkContext.broadcast(_bit_filter(seeds))
     runs, _ = staged(texts.mapInArrow(_segment_batches(masks, bits), SEGMENTS), "benchmark-segments")
     where = ["k1", "k2", "segment"]
-    runs = runs.dropDuplicates(where)
+    runs = longest_runs(runs)
     pair = F.explode(F.arrays_zip("seeds", "places")).alias("hit")
     met = runs.select(*where, pair).select(*where, F.col("hit.seeds").alias("seed"), F.col("hit.places").alias("at"))
     met = met.join(seeds, "seed").groupBy(*where, "item")
