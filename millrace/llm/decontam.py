@@ -3,19 +3,19 @@
 A seed is a fixed mask laid over a run of tokens: the positions of its zeros are
 ignored, so a substituted token there does no harm. Seeds of the test items meet
 those of the documents in a join; for each meeting the item is laid along the
-document at that offset and the overlap around the seed is verified.
+document at that offset and the overlap is verified over its whole length.
 
-A document overlaps an item if, within ``AROUND`` tokens of a shared seed and
-aligned by it, some run of at least ``OVERLAP`` tokens (the whole item, if that is
-shorter) has at least four fifths of its tokens equal. Items of fewer tokens than a mask's span
+A document overlaps an item if, at an offset where a seed is shared, some run of
+at least ``OVERLAP`` aligned tokens (the whole item, if that is shorter) has at
+least four fifths of its tokens equal. Items of fewer tokens than a mask's span
 have a seed of their own length without zeros; those of fewer than ``SHORTEST``
 tokens are too common to name an item and are never found.
 
 Tokens are runs of letters, digits and non-ASCII bytes of the lower-cased text.
 Documents' seeds pass a bit filter of the test seeds (at most 32 MB, whatever the
 benchmark's size) before they are shuffled; what the filter lets through in
-error is lost in the join. The token hashes around the seeds go along in segments,
-so no text is shuffled or read twice. Equal texts are one key, verified alike.
+error is lost in the join. The token hashes around the seeds, as far as the longest
+item reaches, go along in segments, so no text is shuffled or read twice. Equal texts are one key, verified alike.
 """
 
 from __future__ import annotations
@@ -32,7 +32,6 @@ from millrace.llm.tokens import WORD_BYTES, pieces
 MASKS = ("111010011011", "110110101101", "101101110011", "11111111")
 SPAN = 12
 OVERLAP, SHORTEST = 13, 5
-AROUND = 24
 FILTER_BITS = 28
 BASE = 0x9E3779B97F4A7C15
 
@@ -106,10 +105,9 @@ def _item_seed_batches(batches):
             array = np.array(tokens, dtype=np.int64).view(np.uint64)
             for mask in _masks_of(len(array)):
                 seeds = _seeds(array, mask).view(np.int64)
-                size = len(seeds)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(seeds), pa.array(np.full(size, item)), pa.array(np.arange(size)),
-                     pa.array(np.full(size, len(mask)))], ["seed", "item", "item_at", "span"])
+                    [pa.array(seeds), pa.array(np.full(len(seeds), item)), pa.array(np.arange(len(seeds)))],
+                    ["seed", "item", "item_at"])
 
 
 def _bit_filter(seeds: DataFrame) -> np.ndarray:
@@ -149,12 +147,12 @@ def _lists(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Array:
 SEGMENTS = "k1 long, k2 long, segment long, tokens array<long>, seeds array<long>, places array<long>"
 
 
-def _segment_batches(masks, bits):
-    """The runs of tokens around the seeds that pass the filter, and the seeds
-    with their places in the run; ``segment`` is the run's place in its text."""
+def _segment_batches(masks, bits, reach: int = 4 * OVERLAP):
+    """The runs of tokens up to ``reach`` around the seeds that pass the filter, and
+    the seeds with their places in the run; ``segment`` is the run's place in its text."""
     def batches(source):
         have = bits.value
-        overlap = 2 * AROUND + SPAN
+        overlap = 2 * reach + max(map(len, masks))
         for batch in source:
             k1, k2 = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
             seen = np.zeros(batch.num_rows, dtype=np.int64)
@@ -183,8 +181,8 @@ def _segment_batches(masks, bits):
                     continue
                 order = np.argsort(at, kind="stable")
                 at, seeds, spans = at[order], np.concatenate(seeds)[order], np.concatenate(spans)[order]
-                low = np.maximum(at - AROUND, begin[at])
-                high = np.maximum.accumulate(np.minimum(at + spans + AROUND, end[at]))
+                low = np.maximum(at - reach, begin[at])
+                high = np.maximum.accumulate(np.minimum(at + spans + reach, end[at]))
                 cut = np.flatnonzero(np.r_[True, low[1:] >= high[:-1]])
                 stop = np.r_[cut[1:], len(at)]
                 place = at - np.repeat(low[cut], stop - cut)
@@ -197,11 +195,9 @@ def _segment_batches(masks, bits):
     return batches
 
 
-def overlaps(doc: np.ndarray, item: np.ndarray, at: int, offset: int, span: int) -> bool:
-    """Whether the item, laid at ``offset``, has a long enough run of equal
-    tokens around the seed at ``at``."""
-    low = max(0, offset, at - AROUND)
-    high = min(len(doc), offset + len(item), at + span + AROUND)
+def overlaps(doc: np.ndarray, item: np.ndarray, offset: int) -> bool:
+    """Whether the item laid at ``offset`` has a long enough run of equal tokens."""
+    low, high = max(0, offset), min(len(doc), offset + len(item))
     need = min(OVERLAP, len(item))
     if high - low < need:
         return False
@@ -224,7 +220,7 @@ def _verify_batches(batches):
             doc = np.array(tokens, dtype=np.int64)
             for one in laid:
                 item = np.array(one["item_tokens"], dtype=np.int64)
-                if any(overlaps(doc, item, m["at"], m["offset"], m["span"]) for m in one["met"]):
+                if any(overlaps(doc, item, offset) for offset in one["offsets"]):
                     for column, value in zip(out, (k1, k2, one["item"])):
                         column.append(value)
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["k1", "k2", "item"])
@@ -251,20 +247,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = rows.mapInArrow(_item_batches, "item_id long, tokens array<long>")
     items = items.select(F.monotonically_increasing_id().alias("item"), "item_id", "tokens")
     items, _ = staged(items, "benchmark-items")
-    seeds = items.select("item", "tokens").mapInArrow(_item_seed_batches, "seed long, item long, item_at long, span long")
+    seeds = items.select("item", "tokens").mapInArrow(_item_seed_batches, "seed long, item long, item_at long")
     seeds, _ = staged(seeds, "benchmark-seeds")
     short = items.filter(F.size("tokens").between(SHORTEST, SPAN - 1)).select(F.size("tokens").alias("n")).distinct()
     masks = (*MASKS, *("1" * r.n for r in short.collect()))
     bits = spark.sparkContext.broadcast(_bit_filter(seeds))
-    runs, _ = staged(texts.mapInArrow(_segment_batches(masks, bits), SEGMENTS), "benchmark-segments")
+    longest = items.agg(F.max(F.size("tokens"))).first()[0] or 0
+    runs, _ = staged(texts.mapInArrow(_segment_batches(masks, bits, longest), SEGMENTS), "benchmark-segments")
     where = ["k1", "k2", "segment"]
     runs = longest_runs(runs)
     pair = F.explode(F.arrays_zip("seeds", "places")).alias("hit")
     met = runs.select(*where, pair).select(*where, F.col("hit.seeds").alias("seed"), F.col("hit.places").alias("at"))
     met = met.join(seeds, "seed").groupBy(*where, "item")
-    met = met.agg(F.collect_set(F.struct("at", (F.col("at") - F.col("item_at")).alias("offset"), "span")).alias("met"))
+    met = met.agg(F.collect_set(F.col("at") - F.col("item_at")).alias("offsets"))
     met = met.join(items.select("item", F.col("tokens").alias("item_tokens")), "item")
-    laid = met.groupBy(*where).agg(F.collect_list(F.struct("item", "item_tokens", "met")).alias("laid"))
+    laid = met.groupBy(*where).agg(F.collect_list(F.struct("item", "item_tokens", "offsets")).alias("laid"))
     found = runs.join(laid, where).select("k1", "k2", "tokens", "laid")
     found = found.mapInArrow(_verify_batches, "k1 long, k2 long, item long").distinct()
     named = found.join(items.select("item", "item_id"), "item").groupBy("k1", "k2")

@@ -27,3 +27,13 @@ def test_items_across_a_cut(spark):
         words[first:first + 20] = item
         docs.append(" ".join(words))
     assert named(spark, docs, [" ".join(item)]) == {(d, 0) for d in range(len(docs))}
+
+
+def test_run_far_from_its_seed(spark):
+    """Eight equal words, and the run that counts 60 words further on, without a seed of its own."""
+    item = [f"t{k}" for k in range(120)]
+    near = [f"u{k}" for k in range(120)]
+    near[:8] = item[:8]
+    far = list(near)
+    far[80:93] = [w if k not in (2, 8) else f"u{k}" for k, w in enumerate(item[80:93])]
+    assert named(spark, [" ".join(near), " ".join(far)], [" ".join(item)]) == {(1, 0)}
