@@ -5,11 +5,13 @@ ignored, so a substituted token there does no harm. Seeds of the test items meet
 those of the documents in a join; for each meeting the item is laid along the
 document at that offset and the overlap is verified over its whole length.
 
-A document overlaps an item if, at an offset where a seed is shared, some run of
-at least ``OVERLAP`` aligned tokens (the whole item, if that is shorter) has at
-least four fifths of its tokens equal. Items of fewer tokens than a mask's span
-have a seed of their own length without zeros; those of fewer than ``SHORTEST``
-tokens are too common to name an item and are never found.
+A document overlaps an item if at some offset a run of at least ``OVERLAP``
+aligned tokens (the whole item, if that is shorter) has at least four fifths of its
+tokens equal. The masks miss no such run: a longer one can be cut in two of which
+one is such a run, and in each of 13 to 25 tokens with up to a fifth substituted,
+wherever, some mask of ``MASKS`` fits. Shorter items have ``SHORT_MASKS``: of
+their tokens, five in a row have at most one substituted. Items of fewer than
+``SHORTEST`` tokens are too common to name an item and are never found.
 
 Tokens are runs of letters, digits and non-ASCII bytes of the lower-cased text.
 Documents' seeds pass a bit filter of the test seeds (at most 32 MB, whatever the
@@ -29,8 +31,8 @@ from pyspark.sql import functions as F
 from millrace.llm.staging import staged
 from millrace.llm.tokens import WORD_BYTES, pieces
 
-MASKS = ("111010011011", "110110101101", "101101110011", "11111111")
-SPAN = 12
+MASKS = ("1110111", "11010001011", "110100001011")
+SHORT_MASKS = ("1111", "11101", "11011", "10111")
 OVERLAP, SHORTEST = 13, 5
 FILTER_BITS = 28
 BASE = 0x9E3779B97F4A7C15
@@ -94,9 +96,9 @@ def _item_batches(batches):
 
 
 def _masks_of(size: int) -> tuple[str, ...]:
-    if size >= SPAN:
+    if size >= OVERLAP:
         return MASKS
-    return ("1" * size,) if size >= SHORTEST else ()
+    return SHORT_MASKS if size >= SHORTEST else ()
 
 
 def _item_seed_batches(batches):
@@ -249,8 +251,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items, _ = staged(items, "benchmark-items")
     seeds = items.select("item", "tokens").mapInArrow(_item_seed_batches, "seed long, item long, item_at long")
     seeds, _ = staged(seeds, "benchmark-seeds")
-    short = items.filter(F.size("tokens").between(SHORTEST, SPAN - 1)).select(F.size("tokens").alias("n")).distinct()
-    masks = (*MASKS, *("1" * r.n for r in short.collect()))
+    short = items.filter(F.size("tokens").between(SHORTEST, OVERLAP - 1)).limit(1).count()
+    masks = (*MASKS, *SHORT_MASKS) if short else MASKS
     bits = spark.sparkContext.broadcast(_bit_filter(seeds))
     longest = items.agg(F.max(F.size("tokens"))).first()[0] or 0
     runs, _ = staged(texts.mapInArrow(_segment_batches(masks, bits, longest), SEGMENTS), "benchmark-segments")
