@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import centroids, covertree, decontam, langid, licenses, mixing, pii, sharding, token_counts, urls
+from millrace.llm import centroids, covertree, decontam, divergence, langid, licenses, mixing, pii, sharding, token_counts, urls
 from millrace.llm.simhash import near_duplicates
 
 # Where the public tokenizers' files lie, and a key for the pseudonyms; a user
@@ -88,3 +88,8 @@ def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_centroid_clustering", centroids.SQL)
 def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_source_divergence_audit", divergence.SQL)
+def source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))

@@ -32,10 +32,12 @@ def word_spans(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
 
 
-def pieces(texts: pa.Array, inside: np.ndarray, overlap: int, limit: int = PIECE) -> Iterator[tuple]:
+def pieces(texts: pa.Array, inside: np.ndarray, overlap: int, limit: int = PIECE, lower: bool = True) -> Iterator[tuple]:
     """Yields (bytes, starts, ends, rows): the words of some texts, and the row
     of the column each belongs to. Rows come in order; null texts have no words.
+    A-Z are lower-cased unless told otherwise.
     """
+    fold = lower_bytes if lower else np.asarray
     texts = texts.cast(pa.large_binary())
     offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
     raw = texts.buffers()[2]
@@ -46,7 +48,7 @@ def pieces(texts: pa.Array, inside: np.ndarray, overlap: int, limit: int = PIECE
         stop = max(int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1, row + 1)
         low, high = int(offsets[row]), int(offsets[stop])
         if high - low <= limit:
-            part = lower_bytes(data[low:high])
+            part = fold(data[low:high])
             starts, ends = word_spans(part, inside)
             # A word must not reach over the end of its text.
             starts, ends = _cut(starts, ends, offsets[row:stop + 1] - low)
@@ -54,7 +56,7 @@ def pieces(texts: pa.Array, inside: np.ndarray, overlap: int, limit: int = PIECE
             keep = valid[rows]
             yield part, starts[keep], ends[keep], rows[keep]
         elif valid[row]:
-            yield from _long(data[low:high], row, inside, overlap, limit)
+            yield from _long(data[low:high], row, inside, overlap, limit, fold)
         row = stop
 
 
@@ -71,13 +73,13 @@ def _cut(starts, ends, bounds):
     return np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([ends, cuts]))
 
 
-def _long(data, row, inside, overlap, limit):
+def _long(data, row, inside, overlap, limit, fold):
     """Pieces of one long text; a word longer than the limit stays whole."""
     low, size = 0, len(data)
     while low < size:
         high = min(low + limit, size)
         while True:
-            part = lower_bytes(data[low:high])
+            part = fold(data[low:high])
             starts, ends = word_spans(part, inside)
             if high < size and len(ends) and ends[-1] == high - low:
                 starts, ends = starts[:-1], ends[:-1]  # may go on in the next piece
