@@ -7,7 +7,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import centroids, covertree, decontam, divergence, langid, licenses, mixing, pii, sharding, token_counts, urls
+from millrace.llm import (
+    centroids,
+    covertree,
+    decontam,
+    divergence,
+    langid,
+    licenses,
+    mixing,
+    pii,
+    quality,
+    sharding,
+    token_counts,
+    urls,
+)
 from millrace.llm.simhash import near_duplicates
 
 # Where the public tokenizers' files lie, and a key for the pseudonyms; a user
@@ -93,3 +106,9 @@ def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_source_divergence_audit", divergence.SQL)
 def source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op11_quality_classifier")
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judged(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
