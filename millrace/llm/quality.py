@@ -102,7 +102,7 @@ def _piece(data, starts, ends):
     code = np.zeros(count, dtype=np.uint64)
     distinct = np.zeros(count)
     if len(low):
-        mask = np.bitwise_or.reduceat(bits, low)
+        mask = np.bitwise_or.reduceat(bits[:ends[-1]], low)
         shares = np.bincount(line * MASKS + mask, minlength=count * MASKS).reshape(count, MASKS) / np.maximum(words, 1)[:, None]
         hashes = _hashes(data, low, high)
         with np.errstate(over="ignore"):
