@@ -1,42 +1,10 @@
 import random
-import re
 
 import numpy as np
 import pyarrow as pa
 
 from millrace.llm import decontam, queries, tokens
-
-
-def words(text):
-    return re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").lower().encode())
-
-
-def brute(docs, items):
-    """(doc position, item position) pairs by trying every offset."""
-    code = {}
-    number = lambda ws: np.array([code.setdefault(w, len(code)) for w in ws])
-    items = [number(words(t)) for t in items]
-    out = set()
-    for d, text in enumerate(docs):
-        doc = number(words(text))
-        for i, item in enumerate(items):
-            m = len(item)
-            masks = decontam.MASKS if m >= 12 else ["1" * m] if m >= 5 else []
-            for offset in range(-m, len(doc)):
-                low, high = max(0, -offset), min(m, len(doc) - offset)
-                need = min(13, m)
-                if high - low < need or not masks:
-                    continue
-                e = doc[offset + low:offset + high] == item[low:high]
-                if e.sum() < 5:
-                    continue
-                for mask in masks:
-                    for a in range(len(e) - len(mask) + 1):
-                        if all(e[a + k] for k, b in enumerate(mask) if b == "1"):
-                            w = e[max(0, a - 24):a + len(mask) + 24]
-                            if any(5 * w[x:y].sum() >= 4 * (y - x) for x in range(len(w)) for y in range(x + need, len(w) + 1)):
-                                out.add((d, i))
-    return out
+from tests.llm.overlap import brute
 
 
 def run(spark, docs, items):
@@ -106,7 +74,6 @@ def test_query_and_stage(spark, sf_dir):
     texts = [r.text for r in docs.orderBy("doc_id").collect()]
     ids = [r.doc_id for r in docs.orderBy("doc_id").collect()]
     items = [(r.item_id, r.text) for r in bench.collect()]
-    # Texts without any run of 8 equal words cannot hit the plain mask; brute force tries all.
     expected = {(ids[d], items[i][0]) for d, i in brute(texts[:60], [t for _, t in items])}
     got = queries.QUERIES["op7_benchmark_decontamination"](spark, sf_dir).collect()
     first = set(ids[:60])

@@ -1,9 +1,8 @@
 import random
 from itertools import combinations
 
-import numpy as np
-
 from millrace.llm import decontam
+from tests.llm.overlap import brute
 
 
 def named(spark, docs, items):
@@ -51,23 +50,6 @@ def test_no_overlap_is_without_a_seed():
             assert fits(decontam._masks_of(size), [k not in gone for k in range(size)]), (size, gone)
 
 
-def brute(docs, items):
-    """(doc position, item position) pairs by every offset and every run; no seeds."""
-    out = set()
-    for d, doc in enumerate(docs):
-        for i, item in enumerate(items):
-            need = min(13, len(item))
-            for offset in range(-len(item), len(doc)):
-                low, high = max(0, -offset), min(len(item), len(doc) - offset)
-                if need >= 5 and high - low >= need:
-                    e = np.array([doc[offset + k] == item[k] for k in range(low, high)])
-                    s = np.r_[0, np.cumsum(5 * e.astype(int) - 4)]
-                    if any(s[b] >= s[a] for a in range(len(e)) for b in range(a + need, len(e) + 1)):
-                        out.add((d, i))
-                        break
-    return out
-
-
 def test_against_every_offset_without_seeds(spark):
     rng = random.Random(12)
     text = lambda n: [f"w{rng.randrange(400)}" for _ in range(n)]
@@ -78,6 +60,7 @@ def test_against_every_offset_without_seeds(spark):
         for at in rng.sample(range(len(item)), min(len(item), len(item) // 5 + rng.randrange(2))):
             item[at] = "z"
         docs.append(text(rng.randint(0, 30)) + (item[rng.randint(0, 2):] if k % 5 == 0 else item) + text(rng.randint(0, 30)))
+    docs, items = [" ".join(d) for d in docs], [" ".join(i) for i in items]
     expected = brute(docs, items)
     assert len(expected) > 150
-    assert named(spark, [" ".join(d) for d in docs], [" ".join(i) for i in items]) == expected
+    assert named(spark, docs, items) == expected
