@@ -31,11 +31,14 @@ SMALL = 20_000
 
 
 def words(text: Column) -> Column:
-    """Number of runs without blanks; none in a null text."""
-    blank = r"[\x20\x09-\x0D]+"
+    """Number of runs without blanks; none in a null text. The work grows with
+    the text's length, however many blanks stand together."""
+    blank = r"[\x20\x09-\x0D]"
     text = text.cast("string")
-    edges = F.regexp_replace(text, rf"^{blank}|{blank}$", "")
-    return F.coalesce(F.when(edges == "", 0).otherwise(F.size(F.split(edges, blank))), F.lit(0)).cast("long")
+    # An empty part stands before a leading and after a trailing run of blanks.
+    edges = F.substring(text, 1, 1).rlike(blank).cast("int") + F.substring(text, -1, 1).rlike(blank).cast("int")
+    parts = F.size(F.split(text, f"{blank}+")) - edges
+    return F.when(text.isNull() | (text == ""), 0).otherwise(parts).cast("long")
 
 
 def targets(sizes: list[int], weights: list[float], most: int = MOST) -> list[float]:
@@ -130,9 +133,11 @@ def planned(rows: DataFrame, shards: int, seed: int) -> DataFrame:
 
 def _numbered(docs: DataFrame, seed: int) -> DataFrame:
     text = F.col("text").cast("string")
+    # Rows without an id are told apart by place, or all of one text would be one block.
+    place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
     return numbered(
         docs, "mix-input", 1 << 20, source=F.col("source").cast("string"), size=words(text),
-        tag=F.xxhash64(F.lit(seed), "doc_id", text),
+        tag=F.xxhash64(F.lit(seed), "doc_id", text, place),
     )
 
 
@@ -142,7 +147,8 @@ def mixed_documents(docs: DataFrame, shards: int = 8, seed: int = 3) -> DataFram
     Null texts have size 0; rows with a null source are one source, the last. A
     source without words has target 0. A row's copies are 0 to 3; which rows get
     the odd copy depends on a hash of id and text, so reruns agree; rows alike in
-    both are told apart by position.
+    both are told apart by position, rows with a null id by their place in the
+    input. An empty table gives an empty result.
     """
     slim = docs.select("doc_id", "text", "source")
     rows = _numbered(slim, seed)
@@ -154,7 +160,9 @@ def mixed_documents(docs: DataFrame, shards: int = 8, seed: int = 3) -> DataFram
 
 def mixed_rows(docs: DataFrame, shards: int = 8, seed: int = 3) -> DataFrame:
     """The mix itself: one row for each copy taken, with all columns, and
-    ``mix_shard`` and ``mix_order``, its shard and its place there by value."""
+    ``mix_shard`` and ``mix_order``, its shard and its place there by value; input
+    columns of these names give way. Null texts, sources and ids and repeated rows
+    are as in ``mixed_documents``; an empty table gives an empty mix."""
     rows = _numbered(docs, seed)
     plan = planned(rows.drop("row"), shards, seed).filter("copies > 0").select("block", "pos", "shards")
     out = rows.select("block", "pos", "tag", "row").join(plan, ["block", "pos"])
