@@ -11,20 +11,25 @@ check sum, an impossible date) stays.
   are tried, those in a card's usual layout first, so a card is found beside its
   expiry date, its code or another number. A pseudonym is permuted again until the
   same spans are found in it, so that it can be turned back.
-* phone: ``+`` and country code stay, the other digits are permuted.
-* social security: three, two and four digits with hyphens.
+* phone: ``+`` and country code stay, the other digits are permuted; so are all ten of
+  ``(202) 555-0199``.
+* social security: three, two and four digits with hyphens, none of these all zeros,
+  the first not 666 or from 900 on; permuted again until that holds for the pseudonym.
 * IPv4: the address as one 32-bit number.
-* date: ISO dates of 1900 to 2099, permuted among 73,216 days from 1900-01-01.
+* date: ISO dates of 1900 to 2099, permuted among these 73,049 days.
 
 Three kinds have no such form and get a keyed token instead, also linked but
 one-way: the local part of mail addresses, access keys (``AKIA`` and 16 letters or
-digits) and what follows ``password=``.
+digits) and what follows ``password=`` or ``password:``, in any case.
 
-All of it is SQL expressions; texts without a match pass through unchanged.
+All of it is SQL expressions; texts without a match pass through unchanged. The
+patterns read a text once, without nesting that grows with it. The key is a column
+of a one-row table, so no plan, log or web page shows it.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,19 +39,22 @@ ROUNDS = 8
 # Permutations tried until a run's spans are found again; each does with some 0.7 or more.
 WALK = 40
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+# Days of 1900 to 2099, and the grid of 256 x 286 that is a little larger.
+DAYS = 73_049
+# A name has at most 127 labels (253 characters), which also bounds the matcher's stack.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "secret": r"password=[^\s]++|(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){0,125}\.[A-Za-z]{2,}+",
+    "secret": r"(?i:password) ?[=:] ?[^\s]++|(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "ip": rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9-])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9-])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"\+[0-9]{1,3}[ -]?\(?[0-9]{2,4}\)?[ -]?[0-9]{3,4}[ -]?[0-9]{3,4}(?![0-9])",
+    "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
+    "phone": r"\+[0-9]{1,3}[ -]?\(?[0-9]{2,4}\)?[ -]?[0-9]{3,4}[ -]?[0-9]{3,4}(?![0-9])|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9-])",
 }
 # A run of digit groups, up to a date or a social-security number.
 PATTERNS["card"] = rf"(?<![0-9])[0-9](?:(?:[ -](?!{PATTERNS['date']}|{PATTERNS['ssn']}))?[0-9]){{12,}}+"
 ANY = "|".join(PATTERNS.values())
 # Mail address, secret, IPv4 address, phone, or 8 digits with their signs.
-HINT = r"@|password=|AKIA|[0-9]\.[0-9]|[0-9](?:[ ()-]{0,2}[0-9]){7}"
+HINT = r"@|(?i:password) ?[=:]|AKIA|[0-9]\.[0-9]|[0-9](?:[ ()-]{0,2}[0-9]){7}"
 
 
 def _quoted(text: str) -> str:
@@ -96,9 +104,14 @@ def _check_sum(d: str) -> str:
 
 def _refilled(shape: str, digits: str) -> str:
     """``shape`` with its digits replaced, one by one, by those given."""
-    one = f"substring({shape}, j, 1)"
-    count = f"length(regexp_replace(substring({shape}, 1, j), '[^0-9]', ''))"
-    return f"array_join(transform(sequence(1, length({shape})), j -> if({one} rlike '[0-9]', substring({digits}, {count}, 1), {one})), '')"
+    return (f"array_join(zip_with(split({shape}, '[0-9]', -1), concat(regexp_extract_all({digits}, '[0-9]', 0), array('')), "
+            "(a, b) -> concat(a, b)), '')")
+
+
+def _walked(start: str, step: str, good: str) -> str:
+    """``step`` of ``w`` from ``start``, again and again until ``good`` holds for it.
+    As both ends are good and steps are one to one, the same walk backwards returns."""
+    return f"aggregate(sequence(1, {WALK}), {start}, (w, k) -> if(k > 1 and {good}, w, {step}))"
 
 
 def _let(value: str, name: str, body: str) -> str:
@@ -138,25 +151,31 @@ def _pseudonym(key: str, back: bool) -> str:
     """SQL for the pseudonym of a match ``m``."""
     bare = "regexp_replace(m, '[^0-9]', '')"
     number = lambda kind: _let(bare, "d", _let(_digits("d", key, kind, back), "e", _refilled("m", "e")))
+    right = "(?!000|666|9)[0-9]{3}(?!00)[0-9]{2}(?!0000)[0-9]{4}"
+    social = _let(_walked(bare, _digits("w", key, "ssn", back), f"w rlike '^{right}$'"), "e", _refilled("m", "e"))
     lead = r"regexp_extract(m, '^\\+(?:1(?=[0-9 (-])|[0-9]{1,3}(?=[ (-])|[0-9]{2})', 0)"
     phone = _let(lead, "c", _let("substring(m, length(c) + 1)", "r", _let("regexp_replace(r, '[^0-9]', '')", "d", _let(
         _digits("d", key, "phone", back), "e", f"concat(c, {_refilled('r', 'e')})"))))
     octets = "transform(split(m, '[.]'), x -> cast(x as bigint))"
     address = _let(octets, "o", _pair("o[0] * 256 + o[1]", "o[2] * 256 + o[3]", (65536, 65536), key, "ip", back,
                                       "concat_ws('.', cast(s.a div 256 as string), cast(s.a % 256 as string), cast(s.b div 256 as string), cast(s.b % 256 as string))"))
-    day = _let("datediff(try_cast(m as date), date'1900-01-01')", "n", "if(n is null or n < 0, m, " + _pair(
-        "n div 286", "n % 286", (256, 286), key, "date", back, "cast(date_add(date'1900-01-01', cast(s.a * 286 + s.b as int)) as string)") + ")")
+    other = _pair("w div 286", "w % 286", (256, 286), key, "date", back, "s.a * 286 + s.b")
+    other = _walked("cast(n as bigint)", other, f"w < {DAYS}")
+    day = _let("datediff(try_cast(m as date), date'1900-01-01')", "n",
+               f"if(n is null or n < 0, m, cast(date_add(date'1900-01-01', cast({other} as int)) as string))")
     token = lambda kind, value, size: f"substring(sha2(concat_ws(':', {key}, '{kind}', {value}), 256), 1, {size})"
     full = lambda kind: _quoted(f"^(?:{PATTERNS[kind]})$")
     mail = "m" if back else f"concat('u', {token('email', 'lower(m)', 12)}, substring(m, instr(m, '@')))"
     akia = "m" if back else f"concat('AKIA', upper({token('key', 'm', 16)}))"
-    password = "m" if back else f"concat('password=', {token('password', 'substring(m, 10)', 16)})"
-    return (f"case when startswith(m, 'password=') then {password} "
+    lead_in = _quoted("^(?i:password) ?[=:] ?")
+    password = "m" if back else f"concat(regexp_extract(m, {lead_in}, 0), {token('password', f'regexp_replace(m, {lead_in}, {chr(39) * 2})', 16)})"
+    return (f"case when m rlike {lead_in} then {password} "
             f"when m rlike {full('email')} then {mail} "
             f"when m rlike '^AKIA[A-Z0-9]{{16}}$' then {akia} "
             f"when m rlike {full('ip')} then {address} "
             f"when m rlike {full('date')} then {day} "
-            f"when m rlike {full('ssn')} then {number('ssn')} "
+            f"when m rlike {full('ssn')} then {social} "
+            f"when startswith(m, '(') then {number('phone')} "
             f"when m rlike {full('phone')} then {phone} "
             f"else {_cards(key, back)} end")
 
@@ -168,11 +187,12 @@ def pseudonymised(df: DataFrame, key: str, text: str = "text", back: bool = Fals
     Null and empty texts stay as they are; rows are neither dropped nor merged.
     """
     at = F.col(f"row.`{text}`").cast("string")
-    rows = df.select(packed(df).alias("row"))
+    secret = df.sparkSession.createDataFrame(pa.table({"one": pa.array([1], pa.int32()), "secret": [key]}))
+    rows = df.select(packed(df).alias("row"), F.lit(1).alias("one")).join(F.broadcast(secret), "one")
     found = F.regexp_extract_all(at, F.lit(ANY), F.lit(0))
-    rows = rows.select("row", F.when(at.rlike(HINT), found).alias("found"))
+    rows = rows.select("row", "secret", F.when(at.rlike(HINT), found).alias("found"))
     gaps = F.split(at, ANY, -1)
-    new = F.expr(f"transform(found, m -> {_pseudonym(_quoted(key), back)})")
+    new = F.expr(f"transform(found, m -> {_pseudonym('secret', back)})")
     whole = F.array_join(F.zip_with(gaps, F.concat(new, F.array(F.lit(""))), lambda g, n: F.concat(g, n)), "")
     changed = F.when(F.size("found") > 0, whole).otherwise(at)
     return rows.select(*[changed.alias(text) if c == text else F.col(f"row.`{c}`").alias(c) for c in df.columns])
