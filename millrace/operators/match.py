@@ -62,14 +62,57 @@ def tagged(left, right, key, ts, event_id) -> DataFrame:
 
 # ------------------------------------------------------------------- the scan
 
+# Bounds that clamp nothing.
+FREE = (np.iinfo(np.int64).min, np.iinfo(np.int64).max)
+
+
+# Few places a block: the passes of all levels together are what small batches pay.
+BLOCK = 16
+
+
+def _clamped(q: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """``q`` after each of a row of clamps.
+
+    Clamps compose: one after another they amount to one pair of bounds. The row
+    is cut into blocks that are composed side by side, one place of all blocks at
+    a time; the same is done for the blocks' totals, and each block then clamps
+    the value that enters it.
+    """
+    n = len(low)
+    width = min(BLOCK, n)
+    blocks = -(-n // width)
+    a, b = (np.full(blocks * width, free) for free in FREE)
+    a[:n], b[:n] = low, high
+    a, b = (np.ascontiguousarray(x.reshape(blocks, width).T) for x in (a, b))
+    for above, here in zip(range(width - 1), range(1, width)):
+        a[here], b[here] = (np.minimum(np.maximum(x[above], a[here]), b[here]) for x in (a, b))
+    enters = np.full(blocks, q, dtype=np.int64)
+    if blocks > 1:
+        enters[1:] = _clamped(q, a[-1], b[-1])[:-1]
+    return np.minimum(np.maximum(enters, a), b).T.ravel()[:n]
+
+
+def _composed(low: np.ndarray, high: np.ndarray) -> tuple[int, int]:
+    """The bounds that all clamps amount to, by halving."""
+    while len(low) > 1:
+        if len(low) % 2:
+            low, high = np.append(low, FREE[0]), np.append(high, FREE[1])
+        a, b = low[1::2], high[1::2]
+        low, high = (np.minimum(np.maximum(x[::2], a), b) for x in (low, high))
+    return int(low[0]), int(high[0])
+
+
 def _walk(q: int, step: np.ndarray, low: np.ndarray, high: np.ndarray):
-    """``q`` before each arrival, clamped to the window, and after the last."""
-    states = []
-    for d, lo, hi in zip(step.tolist(), low.tolist(), high.tolist()):
-        q = lo if q < lo else hi if q > hi else q
-        states.append(q)
-        q += d
-    return np.array(states, dtype=np.int64), q
+    """``q`` before each arrival, clamped to the window, and after the last.
+
+    Each arrival clamps and adds. With the sum of the steps so far taken off,
+    only clamps are left, and those compose.
+    """
+    if not len(step):
+        return step, q
+    moved = np.cumsum(step) - step
+    states = _clamped(q, low - moved, high - moved) + moved
+    return states, int(states[-1] + step[-1])
 
 
 def _partners(step, waiting, lefts, rights):
@@ -273,16 +316,13 @@ def _slice_effect(counts: dict[tuple[str, int], tuple[int, int, int, int]]):
                 side, gone, before = _counts(part, np.zeros(1, dtype=np.int64), tuple(held))
                 (l_in, _), (r_in, _), (l_out, _), (r_out, _) = before
                 rows = np.flatnonzero(gone == 0)
-                low, high, add = effect.get(name, (None, None, 0))
-                for d, lo, hi in zip(
-                    np.where(side[rows] == LEFT, 1, -1).tolist(),
-                    (r_out - r_in)[rows].tolist(),
-                    (l_in - l_out)[rows].tolist(),
-                ):
-                    lo, hi = lo - add, hi - add
-                    low = lo if low is None else min(max(low, lo), hi)
-                    high = hi if high is None else min(max(high, lo), hi)
-                    add += d
+                low, high, add = effect.get(name, (*FREE, 0))
+                if len(rows):
+                    step = np.where(side[rows] == LEFT, 1, -1)
+                    moved = add + np.cumsum(step) - step
+                    bounds = (r_out - r_in)[rows] - moved, (l_in - l_out)[rows] - moved
+                    low, high = _composed(*(np.append(x, y) for x, y in zip((low, high), bounds)))
+                    add += int(step.sum())
                 effect[name] = (low, high, add)
                 held = [int(c[-1] + h[-1]) for c, h in before]
         yield pa.RecordBatch.from_pydict(
@@ -333,8 +373,7 @@ def _slice_states(rows: DataFrame):
             key, q = name[0], 0
         states[name] = (*counts[name], q)
         e = effects[name]
-        if e["low"] is not None:
-            q = min(max(q, e["low"]), e["high"]) + e["add"]
+        q = min(max(q, e["low"]), e["high"]) + e["add"]
     return states
 
 

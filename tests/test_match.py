@@ -82,6 +82,30 @@ def test_state_carries_over_small_batches(spark, window, hot_rows):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
 
 
+def one_by_one(q, step, low, high):
+    states = []
+    for d, lo, hi in zip(step, low, high):
+        q = min(max(q, lo), hi)
+        states.append(q)
+        q += d
+    return states, q
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 64, 1000])
+@pytest.mark.parametrize("room", [0, 1, 5, 400])
+def test_prefix_scan_equals_the_loop(n, room):
+    rng = np.random.default_rng(n * 1000 + room)
+    for lean in (0.1, 0.5, 0.9):
+        step = np.where(rng.random(n) < lean, 1, -1)
+        low, high = -rng.integers(0, room + 1, n), rng.integers(0, room + 1, n)
+        q = int(rng.integers(-room, room + 1))
+        states, last = match._walk(q, step, low, high)
+        assert (states.tolist(), last) == one_by_one(q, step.tolist(), low.tolist(), high.tolist())
+        moved = np.cumsum(step) - step
+        a, b = match._composed(low - moved, high - moved)
+        assert min(max(q, a), b) + int(step.sum()) == last
+
+
 def test_far_apart_times_split_the_batch():
     far = 1 << 58
     at = np.array([far * (i % 2) for i in range(64)], dtype=np.int64)
