@@ -399,6 +399,21 @@ def dedup_batch(
     return dedup_annotate(df, key, ts, window, tie)
 
 
+def dedup_counters(failed: Column | None = None) -> list[Column]:
+    """The counters over annotated rows, for an aggregate or an observation."""
+    hits = F.count_if(F.col("is_duplicate"))
+    errors = F.count_if(failed if failed is not None else F.lit(False))
+    total = F.count("*")
+    return [
+        total.alias("events_processed"),
+        hits.alias("events_deduped"),
+        hits.alias("duplicates_blocked"),
+        hits.alias("cache_hits"),
+        (total - hits - errors).alias("cache_misses"),
+        errors.alias("error_count"),
+    ]
+
+
 def dedup_metrics(annotated: DataFrame, errors: DataFrame | None = None) -> DataFrame:
     """Counters over an annotated result and, optionally, its error rows."""
     rows = annotated.select("is_duplicate", F.lit(False).alias("failed"))
@@ -406,14 +421,4 @@ def dedup_metrics(annotated: DataFrame, errors: DataFrame | None = None) -> Data
         rows = rows.unionAll(
             errors.select(F.lit(None).cast("boolean"), F.lit(True))
         )
-    hits = F.count_if(F.col("is_duplicate"))
-    failed = F.count_if(F.col("failed"))
-    total = F.count("*")
-    return rows.agg(
-        total.alias("events_processed"),
-        hits.alias("events_deduped"),
-        hits.alias("duplicates_blocked"),
-        hits.alias("cache_hits"),
-        (total - hits - failed).alias("cache_misses"),
-        failed.alias("error_count"),
-    )
+    return rows.agg(*dedup_counters(F.col("failed")))

@@ -729,12 +729,27 @@ def flag_ledger(
     return flagged.withColumn("is_late", F.coalesce("is_late", F.lit(False)))
 
 
+def join_counters(late: Column | None = None, failed: Column | None = None) -> list[Column]:
+    """The counters over ledger rows, for an aggregate or an observation."""
+    side, waited = F.col("side"), F.col("orphan_on_arrival")
+    none = F.lit(False)
+    return [
+        F.count_if(side == "left").alias("left_events_processed"),
+        F.count_if(side == "right").alias("right_events_processed"),
+        F.count_if((side == "left") & F.col("is_joined")).alias("successful_joins"),
+        F.count_if((side == "left") & waited).alias("orphaned_left_events"),
+        F.count_if((side == "right") & waited).alias("orphaned_right_events"),
+        F.count_if((late if late is not None else none) & waited).alias("late_arrivals"),
+        F.count_if(failed if failed is not None else none).alias("error_count"),
+        F.count_if(waited & ~F.col("is_joined")).alias("state_store_size"),
+    ]
+
+
 def join_metrics(
     ledger: DataFrame, late: str | None = None, errors: DataFrame | None = None
 ) -> DataFrame:
     """Counters over the ledger. ``late`` names a boolean ledger column; a late
     event counts only if it had to wait. ``state_size`` is what still waits."""
-    side, waited = F.col("side"), F.col("orphan_on_arrival")
     is_late = F.col(late) if late else F.lit(False)
     rows = ledger.select(
         "side", "is_joined", "orphan_on_arrival", is_late.alias("late"),
@@ -748,16 +763,7 @@ def join_metrics(
                 none.cast("boolean"), F.lit(True),
             )
         )
-    return rows.agg(
-        F.count_if(side == "left").alias("left_events_processed"),
-        F.count_if(side == "right").alias("right_events_processed"),
-        F.count_if((side == "left") & F.col("is_joined")).alias("successful_joins"),
-        F.count_if((side == "left") & waited).alias("orphaned_left_events"),
-        F.count_if((side == "right") & waited).alias("orphaned_right_events"),
-        F.count_if(F.col("late") & waited).alias("late_arrivals"),
-        F.count_if("failed").alias("error_count"),
-        F.count_if(waited & ~F.col("is_joined")).alias("state_store_size"),
-    )
+    return rows.agg(*join_counters(F.col("late"), F.col("failed")))
 
 
 def join_stats(metrics: DataFrame, window) -> DataFrame:

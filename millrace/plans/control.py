@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.tables import TableSpec, convert_values, load_rows
+from millrace.plans.counters import Observer, counter_row
 from millrace.plans.flows import Flow, columns_of, compile_flow, sink_rows
 from millrace.plans.spec import FlowSpec
 from millrace.session import checkpoint_root
@@ -90,7 +91,7 @@ class FlowManager:
         if table is not None:
             write = table_writer(table, write, folder_writer(f"{letters}/table", convert_values))
         entry = _Entry(
-            compile_flow(spec, topics), write, f"{self.root}/{spec.name}",
+            compile_flow(spec, topics, Observer(streaming=True)), write, f"{self.root}/{spec.name}",
             folder_writer(f"{letters}/record", convert_values), table,
         )
         self._flows[spec.name] = entry
@@ -122,6 +123,7 @@ class FlowManager:
             raise ValueError(f"flow {name} is already running")
         # After a failure one of the two may still run.
         self.stop(name)
+        self.spark.streams.addListener(entry.flow.observer.listener(name))
         rows = entry.flow.output if entry.table is not None else sink_rows(entry.flow)
         entry.query = start_sink(rows, entry.write, entry.checkpoint, name, interval)
         if entry.write_errors is not None:
@@ -167,6 +169,13 @@ class FlowManager:
             rows, "name string, description string, status string, events bigint"
         )
 
+    def metrics(self, name: str) -> DataFrame:
+        """The counters of the running flow so far (see ``flow_metrics``), from its
+        own micro-batches: nothing is read again."""
+        entry = self._get(name)
+        entry.flow.observer.follow(entry.query.recentProgress if entry.query else [])
+        return counter_row(self.spark, entry.flow.observer.totals())
+
     def progress(self, name: str) -> DataFrame:
         query = self._get(name).query
         return progress_frame(self.spark, query.recentProgress if query else [])

@@ -17,6 +17,7 @@ from millrace.functions.keys import variant_key
 from millrace.operators import dedup, match
 from millrace.operators.filters import filter_rows
 from millrace.operators.transforms import Draft, apply_rules, flow_stamps, join_stamps
+from millrace.plans.counters import Observer
 from millrace.plans.spec import FlowSpec
 from millrace.sources import ingest
 from millrace.streaming import stateful
@@ -38,26 +39,37 @@ class Flow:
     errors: DataFrame
     judged: DataFrame | None = None
     ledger: DataFrame | None = None
+    observer: Observer | None = None
 
 
-def compile_flow(spec: FlowSpec, topics: Mapping[str, DataFrame]) -> Flow:
-    """``topics`` maps topic names to topic-shaped frames."""
+def compile_flow(
+    spec: FlowSpec, topics: Mapping[str, DataFrame], observer: Observer | None = None
+) -> Flow:
+    """``topics`` maps topic names to topic-shaped frames. An ``observer`` counts
+    what passes while the flow runs (see ``counters``)."""
     if spec.source == "kafka":
-        return _topic_flow(spec, topics[spec.topic])
-    return _join_flow(spec, topics[spec.join.left_topic], topics[spec.join.right_topic])
+        return _topic_flow(spec, topics[spec.topic], observer)
+    return _join_flow(spec, topics[spec.join.left_topic], topics[spec.join.right_topic], observer)
 
 
-def _decoded(spec: FlowSpec, raw: DataFrame, key: str | None) -> tuple[DataFrame, DataFrame]:
+def _watch(observer: Observer | None, df: DataFrame, part: str, **tests) -> DataFrame:
+    return observer.watch(df, part, **tests) if observer is not None else df
+
+
+def _decoded(
+    spec: FlowSpec, raw: DataFrame, key: str | None, observer: Observer | None, part: str
+) -> tuple[DataFrame, DataFrame]:
     rows = ingest.json_decode(raw.select(*_RECORD))
     if key:
         rows = ingest.require_key(rows, key)
+    rows = _watch(observer, rows, part, error_count=F.col("error_reason").isNotNull())
     return ingest.split_errors(rows)
 
 
-def _topic_flow(spec: FlowSpec, raw: DataFrame) -> Flow:
+def _topic_flow(spec: FlowSpec, raw: DataFrame, observer: Observer | None) -> Flow:
     key = spec.dedup.key if spec.dedup else None
-    good, bad = _decoded(spec, raw, key)
-    good = filter_rows(good, spec.filters)
+    good, bad = _decoded(spec, raw, key, observer, "decoded")
+    good = _watch(observer, filter_rows(good, spec.filters), "accepted", events_in=F.lit(True))
     judged = None
     if spec.dedup:
         # Only the raw record goes through the scan; it is decoded again after,
@@ -85,12 +97,15 @@ def _topic_flow(spec: FlowSpec, raw: DataFrame) -> Flow:
                 window, order,
             )
             kept = judged.filter(~F.col("is_duplicate"))
+        kept = _watch(observer, kept, "kept", events_sunk=F.lit(True))
         good = ingest.json_decode(kept.select(*_RECORD)).drop("error_reason")
+    else:
+        good = _watch(observer, good, "kept", events_sunk=F.lit(True))
     draft = Draft()
     draft.put(ingest.metadata_columns())
     draft.put(flow_stamps(spec.name))
     out = apply_rules(good, spec.transforms, draft=draft)
-    return Flow(spec, out.select("data"), bad, judged=judged)
+    return Flow(spec, out.select("data"), bad, judged=judged, observer=observer)
 
 
 def _side(good: DataFrame) -> DataFrame:
@@ -130,11 +145,16 @@ def joined_key(data, field: str):
     return variant_key(F.coalesce(own, left, right))
 
 
-def _join_flow(spec: FlowSpec, left_raw: DataFrame, right_raw: DataFrame) -> Flow:
+def _join_flow(
+    spec: FlowSpec, left_raw: DataFrame, right_raw: DataFrame, observer: Observer | None
+) -> Flow:
     join = spec.join
-    left_good, left_bad = _decoded(spec, left_raw, join.join_key)
-    right_good, right_bad = _decoded(spec, right_raw, join.join_key)
-    left, right = (_side(filter_rows(g, spec.filters)) for g in (left_good, right_good))
+    left_good, left_bad = _decoded(spec, left_raw, join.join_key, observer, "left-decoded")
+    right_good, right_bad = _decoded(spec, right_raw, join.join_key, observer, "right-decoded")
+    left, right = (
+        _side(_watch(observer, filter_rows(g, spec.filters), f"{side}-accepted", events_in=F.lit(True)))
+        for side, g in (("left", left_good), ("right", right_good))
+    )
     streaming = left_raw.isStreaming or right_raw.isStreaming
     ledger = None
     if join.join_type == "inner":
@@ -160,11 +180,13 @@ def _join_flow(spec: FlowSpec, left_raw: DataFrame, right_raw: DataFrame) -> Flo
         joined = match.joined_projection(
             match.pairs(ledger), left, right, "event_time", "event_id", "key_value"
         )
+    joined = _watch(observer, joined, "joined", events_joined=F.lit(True))
     out = _joined_data(joined, spec.name)
     errors = left_bad.unionByName(right_bad)
     judged = None
     if spec.dedup:
         keyed = once(out, dedup_key=joined_key(F.col("data"), spec.dedup.key))
+        keyed = _watch(observer, keyed, "keyed", error_count=F.col("dedup_key").isNull())
         missing = keyed.filter(F.col("dedup_key").isNull())
         errors = errors.unionByName(
             missing.select(F.to_json("data").alias("value"), F.lit("missing_key").alias("error_reason")),
@@ -183,10 +205,11 @@ def _join_flow(spec: FlowSpec, left_raw: DataFrame, right_raw: DataFrame) -> Flo
             kept = judged.filter(~F.col("is_duplicate"))
         body = F.try_variant_get(F.try_parse_json("body"), "$", "map<string,variant>")
         out = kept.select(body.alias("data"))
+    out = _watch(observer, out, "kept", events_sunk=F.lit(True))
     draft = Draft()
     draft.put(join_stamps(spec.name))
     out = apply_rules(out.select("data"), spec.transforms, draft=draft)
-    return Flow(spec, out.select("data"), errors, judged=judged, ledger=ledger)
+    return Flow(spec, out.select("data"), errors, judged=judged, ledger=ledger, observer=observer)
 
 
 def sink_rows(flow: Flow) -> DataFrame:

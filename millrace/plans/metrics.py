@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.plans.flows import Flow
+from millrace.plans.counters import counter_row
+from millrace.plans.flows import Flow, sink_rows
 
 
 def _tally(df: DataFrame, **tests) -> DataFrame:
@@ -49,6 +52,18 @@ def flow_metrics(flow: Flow, seconds: float | None = None) -> DataFrame:
     return out
 
 
+def run_observed(flow: Flow, write: Callable[[DataFrame], object], timed: bool = False) -> DataFrame:
+    """Run a batch flow compiled with an observer into ``write``, and return the
+    row of ``flow_metrics`` as counted by that one run. ``timed`` adds the events
+    per second of the run."""
+    if flow.observer is None:
+        raise ValueError("compile the flow with an observer")
+    began = time.monotonic()
+    write(sink_rows(flow))
+    seconds = time.monotonic() - began if timed else None
+    return counter_row(flow.output.sparkSession, flow.observer.totals(), seconds)
+
+
 def stage_metrics(rows: DataFrame, at: str, by: str) -> DataFrame:
     """Events, failures and per-second rate of each group over its own span."""
     span = F.unix_micros(F.max(at).cast("timestamp")) - F.unix_micros(F.min(at).cast("timestamp"))

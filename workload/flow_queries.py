@@ -5,21 +5,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import routing
-from millrace.plans import control, flows, metrics, spec
+from millrace.plans import control, counters, flows, metrics, spec
 from millrace.session import shared_dir
 from millrace.streaming.sinks import folder_writer
 from workload.common import (
+    ORACLES,
     MESSAGES, anchor_cte, as_topic, drained, event_stream, event_topic, events,
     match_cte, ntz, query, table,
 )
 
 HANDLED = ["purchase", "signup"]
-# The order saga's steps (name, command, compensation), as the queries expect them.
+# What filling an order takes (name, command, compensation).
 ORDER_STEPS = (
-    ("step1", "reserve_inventory", "release_inventory"),
-    ("step2", "charge_payment", "refund_payment"),
-    ("step3", "create_shipment", "cancel_shipment"),
-    ("step4", "send_notification", "send_cancellation"),
+    ("credit", "hold_credit", "free_credit"),
+    ("lines", "pick_lines", "restock_lines"),
+    ("freight", "book_freight", "unbook_freight"),
+    ("invoice", "issue_invoice", "void_invoice"),
 )
 
 
@@ -116,7 +117,7 @@ def route_counts(spark, sf):
 def _sagas(spark, sf):
     orders = table(spark, sf, "orders")
     return routing.saga_start(
-        orders, F.lit("order-processing"), ["o_custkey", "o_totalprice"], ORDER_STEPS,
+        orders, F.lit("order-filling"), ["o_custkey", "o_totalprice"], ORDER_STEPS,
         saga_id=F.concat(F.lit("saga-"), F.col("o_orderkey").cast("string")),
         at=F.col("o_orderdate"),
     )
@@ -125,7 +126,7 @@ def _sagas(spark, sf):
 @query(
     "saga_start",
     """SELECT 'saga-' || o_orderkey AS saga_id, 'saga.started' AS type, 'saga-orchestrator' AS source,
-              'saga-' || o_orderkey AS subject, 'order-processing' AS saga_type, 4 AS steps,
+              'saga-' || o_orderkey AS subject, 'order-filling' AS saga_type, 4 AS steps,
               o_orderdate AS timestamp
        FROM orders""",
 )
@@ -137,10 +138,10 @@ def saga_start(spark, sf):
 
 @query(
     "saga_steps",
-    """SELECT 'saga-' || o_orderkey AS saga_id, 'order-processing' AS saga_type, n AS step_no,
-              'step' || (n + 1) AS name,
-              ['reserve_inventory','charge_payment','create_shipment','send_notification'][n + 1] AS command,
-              ['release_inventory','refund_payment','cancel_shipment','send_cancellation'][n + 1]
+    """SELECT 'saga-' || o_orderkey AS saga_id, 'order-filling' AS saga_type, n AS step_no,
+              ['credit', 'lines', 'freight', 'invoice'][n + 1] AS name,
+              ['hold_credit', 'pick_lines', 'book_freight', 'issue_invoice'][n + 1] AS command,
+              ['free_credit', 'restock_lines', 'unbook_freight', 'void_invoice'][n + 1]
                 AS compensate_with, 'pending' AS status
        FROM orders, (SELECT unnest([0, 1, 2, 3]) AS n)""",
 )
@@ -322,6 +323,37 @@ def flow_metrics_join(spark, sf):
     return metrics.flow_metrics(_join_flow(spark, sf))
 
 
+@query("flow_metrics_observed", ORACLES["flow_metrics"])
+def flow_metrics_observed(spark, sf):
+    """The counters of a flow as the one run that writes its output sees them."""
+    watched = flows.compile_flow(
+        spec.parse(TOPIC_FLOW), {"events": event_topic(spark, sf)}, counters.Observer()
+    )
+    return metrics.run_observed(watched, lambda out: out.write.parquet(shared_dir(spark, "observed")))
+
+
+@query("flow_metrics_join_observed", ORACLES["flow_metrics_join"])
+def flow_metrics_join_observed(spark, sf):
+    rows = events(spark, sf)
+    topics = {
+        name: as_topic(rows.filter(F.col("event_type") == name), name)
+        for name in ("purchase", "click")
+    }
+    watched = flows.compile_flow(spec.parse(JOIN_FLOW), topics, counters.Observer())
+    return metrics.run_observed(watched, lambda out: out.write.parquet(shared_dir(spark, "observed")))
+
+
+@query("flow_metrics_stream", ORACLES["flow_metrics"])
+def flow_metrics_stream(spark, sf):
+    """The counters of a running flow, gathered from its micro-batches."""
+    root = shared_dir(spark, "flow-metrics")
+    manager = control.FlowManager(spark, root)
+    topics = {"events": as_topic(event_stream(spark, sf))}
+    manager.create(spec.parse(TOPIC_FLOW), topics, folder_writer(f"{root}/out"), interval=None)
+    manager.wait(TOPIC_FLOW["name"])
+    return manager.metrics(TOPIC_FLOW["name"])
+
+
 @query(
     "throughput",
     """SELECT event_type, count(*) AS events, epoch_us(max(ts)) - epoch_us(min(ts)) AS span_micros,

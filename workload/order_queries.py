@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.keys import canonical_key
 from millrace.operators import dedup, match
+from millrace.plans import counters
 from millrace.session import shared_dir
 from millrace.sources import ingest
 from millrace.streaming import stateful
@@ -178,6 +179,28 @@ def dedup_metrics(spark, sf):
     return dedup.dedup_metrics(judged, bad)
 
 
+@query(
+    "dedup_metrics_observed",
+    f"""WITH RECURSIVE {_TOPIC_WALK}
+        SELECT count(*) AS events_processed, count(*) FILTER (NOT keep) AS events_deduped,
+               count(*) FILTER (NOT keep) AS duplicates_blocked, count(*) FILTER (NOT keep) AS cache_hits,
+               count(*) FILTER (keep) AS cache_misses, 0 AS error_count
+        FROM verdicts""",
+)
+def dedup_metrics_observed(spark, sf):
+    """Counters of the events judged, taken while the kept ones are written."""
+    rows = ingest.require_key(ingest.json_decode(event_topic(spark, sf)), "user_id")
+    good, _ = ingest.split_errors(rows)
+    judged = dedup.dedup_annotate(
+        good.select("key_value", "timestamp", "offset").withColumnRenamed("key_value", "k"),
+        "k", "timestamp", "24h", ["offset"],
+    )
+    path = shared_dir(spark, "kept")
+    return counters.observed(
+        judged, lambda df: df.filter(~F.col("is_duplicate")).write.parquet(path), dedup.dedup_counters()
+    )
+
+
 @query(
     "dedup_joined",
     f"""WITH RECURSIVE {PURCHASE_CLICK}, {match_cte("sides", SIX_HOURS)},
@@ -433,6 +456,18 @@ def join_metrics(spark, sf):
     return _metrics(spark, sf)
 
 
+@query(
+    "join_metrics_observed",
+    f"{_LEDGER}, m AS ({_METRICS}) SELECT * REPLACE (0 AS late_arrivals) FROM m",
+)
+def join_metrics_observed(spark, sf):
+    """The same counters, taken while the ledger is written."""
+    return counters.observed(
+        _ledger(spark, sf), lambda rows: rows.write.parquet(shared_dir(spark, "ledger")),
+        match.join_counters(),
+    )
+
+
 @query(
     "join_stats",
     f"""{_LEDGER}, m AS ({_METRICS})
