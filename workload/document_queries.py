@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import documents as docs
 from millrace.session import shared_dir
-from millrace.sources import collections
+from millrace.sources import collections, merging
 from workload.common import events, query, table
 
 _C = "c_custkey, c_name, c_acctbal, c_mktsegment"
@@ -382,3 +382,82 @@ def collection_round_trip(spark, sf):
     kind = F.try_variant_get("doc", "$.type", "string").alias("type")
     k = F.try_variant_get("doc", "$.k", "bigint")
     return store.read().groupBy(kind).agg(F.count("*").alias("documents"), F.sum(k).alias("k"))
+
+
+# ------------------------------------------------------------ merge on read
+
+_ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+
+
+def _merged(spark, sf):
+    """The orders as a collection, one write; then each change writes its rows only."""
+    return merging.stored(table(spark, sf, "orders").select(*_ORDERS), "o_orderkey")
+
+
+@query(
+    "merged_update_many",
+    f"""SELECT {", ".join(_ORDERS)}, CASE WHEN o_custkey < 100 THEN 'watched' END AS note
+        FROM orders""",
+)
+def merged_update_many(spark, sf):
+    store = _merged(spark, sf)
+    store.update({"o_custkey": {"$lt": 100}}, {"$set": {"note": "watched"}}, many=True)
+    return store.read()
+
+
+@query(
+    "merged_update_counts",
+    """SELECT 'many' AS change, count(*) AS matched_count, count(*) FILTER (o_orderstatus <> 'F') AS modified_count,
+              0 AS upserted_count FROM orders WHERE o_custkey < 100
+       UNION ALL SELECT 'one', 1, 1, 0 UNION ALL SELECT 'upsert', 0, 0, 1""",
+)
+def merged_update_counts(spark, sf):
+    """What each update reports; the changes pile up."""
+    store = _merged(spark, sf)
+    done = {
+        "many": store.update({"o_custkey": {"$lt": 100}}, {"$set": {"o_orderstatus": "F"}}, many=True),
+        "one": store.update({"o_custkey": {"$gte": 100}}, {"$set": {"o_orderstatus": "one"}}),
+        "upsert": store.update({"o_orderkey": -1}, {"$set": {"o_orderstatus": "new"}}, upsert=True),
+    }
+    rows = [(name, *counts.values()) for name, counts in done.items()]
+    return spark.createDataFrame(rows, "change string, matched_count bigint, modified_count bigint, upserted_count bigint")
+
+
+_MERGED_LEFT = f"""SELECT {", ".join(n if n != "o_totalprice" else "CASE WHEN o_custkey % 2 = 1 AND o_custkey < 500 THEN 0 ELSE o_totalprice END AS o_totalprice" for n in _ORDERS)}
+    FROM orders WHERE NOT o_totalprice < 50000"""
+
+
+def _changed_orders(spark, sf):
+    store = _merged(spark, sf)
+    store.delete({"o_totalprice": {"$lt": 50000}}, many=True)
+    store.update(
+        {"o_custkey": {"$lt": 500, "$mod": [2, 1]}}, {"$set": {"o_totalprice": 0.0}}, many=True
+    )
+    return store
+
+
+@query("merged_delete_update", _MERGED_LEFT)
+def merged_delete_update(spark, sf):
+    return _changed_orders(spark, sf).read()
+
+
+@query("merged_compacted", _MERGED_LEFT)
+def merged_compacted(spark, sf):
+    """The same rows once the worn parts are rewritten and the old files are gone."""
+    store = _changed_orders(spark, sf)
+    store.compact(0.0)
+    store.vacuum()
+    return store.read()
+
+
+@query(
+    "merged_insert",
+    f"""SELECT {", ".join(_ORDERS)} FROM orders
+        UNION ALL SELECT -o_orderkey, {", ".join(_ORDERS[1:])} FROM orders WHERE o_custkey < 50""",
+)
+def merged_insert(spark, sf):
+    """New ids are compared with those of the buckets they fall in."""
+    store = _merged(spark, sf)
+    more = table(spark, sf, "orders").select(*_ORDERS).filter("o_custkey < 50")
+    store.insert(more.withColumn("o_orderkey", -F.col("o_orderkey")))
+    return store.read()
