@@ -16,6 +16,7 @@ Matching takes rows late enough to meet any event that may still wait.
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import pandas as pd
@@ -27,7 +28,6 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from millrace.functions.durations import micros, window_micros
 from millrace.functions.keys import canonical_key
 from millrace.operators.dedup import _micros
-from millrace.operators.match import WaitingRoom
 from millrace.session import ROCKSDB
 
 # Fixed value: extra time a waiting event stays after its window.
@@ -160,6 +160,97 @@ def _judge(window: int, anchor: int | None, rows: list[tuple]) -> tuple[int | No
     return anchor, out
 
 
+# A key with no more waiting events than this keeps them in one value.
+SMALL = 256
+
+
+class Room:
+    """Waiting events of one key during one micro-batch.
+
+    A small room is one value of state, read and written whole. A larger one lies
+    in two maps: ``lines`` holds the events of a side and a stretch of time one
+    window wide, in (time, id) order, ``places`` the time of each waiting id,
+    unless ids are known not to repeat. There a stretch is read when an arrival
+    can reach it and written if it changed, so what a batch moves does not grow
+    with what else waits.
+    """
+
+    def __init__(self, lines, places, window: int, whole: list[tuple] | None = None):
+        self.lines, self.places, self.window = lines, places, window
+        self.width = max(window, 1)
+        self.whole = whole is not None
+        self.loaded: dict[tuple[int, int], list[tuple]] = {}
+        # Of the ids met in this batch, or of all in a small room: time or None.
+        self.known: dict[tuple[int, str], int | None] = {}
+        self.moved: set[tuple[int, str]] = set()
+        self.changed: set[tuple[int, int]] = set()
+        for side, at, event, body in whole or ():
+            self.loaded.setdefault((side, at // self.width), []).append((at, event, body))
+            self.known[side, event] = at
+        for line in self.loaded.values():
+            line.sort()
+
+    def _line(self, side: int, stretch: int) -> list[tuple]:
+        at = (side, stretch)
+        if at not in self.loaded:
+            held = None if self.whole else self.lines.getValue(at)
+            self.loaded[at] = [tuple(r) for r in held[0]] if held is not None else []
+        return self.loaded[at]
+
+    def _place(self, side: int, event: str) -> int | None:
+        if (side, event) not in self.known:
+            held = None if self.whole else self.places.getValue((side, event))
+            self.known[side, event] = held[0] if held is not None else None
+        return self.known[side, event]
+
+    def _put(self, side: int, event: str, at: int | None) -> None:
+        if self.places is not None:
+            self.known[side, event] = at
+            self.moved.add((side, event))
+
+    def arrive(self, side: int, event: str, at: int, body: str) -> tuple | None:
+        """The (time, id, body) taken from the other side: the oldest at most a
+        window away. None if the event now waits, in place of one with its id."""
+        low, high = at - self.window, at + self.window
+        for stretch in range(low // self.width, high // self.width + 1):
+            line = self._line(1 - side, stretch)
+            k = bisect_left(line, (low,))
+            if k < len(line) and line[k][0] <= high:
+                self.changed.add((1 - side, stretch))
+                took = line.pop(k)
+                self._put(1 - side, took[1], None)
+                return took
+        before = self._place(side, event) if self.places is not None else None
+        if before is not None:
+            line = self._line(side, before // self.width)
+            del line[bisect_left(line, (before, event))]
+            self.changed.add((side, before // self.width))
+        insort(self._line(side, at // self.width), (at, event, body))
+        self.changed.add((side, at // self.width))
+        self._put(side, event, at)
+        return None
+
+    def waiting(self) -> list[tuple]:
+        """What a small room holds."""
+        return [(side, *event) for (side, _), line in self.loaded.items() for event in line]
+
+    def save(self) -> set[int]:
+        """Write to the maps what changed, or all of a room that was small; the
+        stretches written that hold something."""
+        places = self.known if self.whole else self.moved
+        for at in self.loaded if self.whole else self.changed:
+            if self.loaded[at]:
+                self.lines.updateValue(at, (self.loaded[at],))
+            elif not self.whole:
+                self.lines.removeKey(at)
+        for name in places if self.places is not None else ():
+            if self.known[name] is not None:
+                self.places.updateValue(name, (self.known[name],))
+            elif not self.whole:
+                self.places.removeKey(name)
+        return {stretch for (side, stretch), line in self.loaded.items() if line}
+
+
 class MatchProcessor(_Ordered):
     """Waiting events of both sides; one-to-one, oldest first."""
 
@@ -169,57 +260,78 @@ class MatchProcessor(_Ordered):
         "left_body string, right_body string, made_at timestamp"
     )
 
-    def __init__(self, window: int, hold: bool, life: int):
+    def __init__(self, window: int, hold: bool, life: int, unique_ids: bool = False, small: int = SMALL):
         super().__init__(window, hold)
         # How far the watermark may pass an event that waits.
-        self.life = life
+        self.life, self.unique_ids, self.small = life, unique_ids, small
 
     def open_state(self, handle) -> None:
-        entry = "event string, at bigint, body string"
-        self.waiting = (handle.getListState("left", entry), handle.getListState("right", entry))
-
-    def _load(self) -> tuple[WaitingRoom, dict]:
-        room, bodies = WaitingRoom(self.window, ordered=False), {}
-        for side, state in enumerate(self.waiting):
-            if state.exists():
-                for event, at, body in state.get():
-                    room.add(side, event, at)
-                    bodies[(side, event)] = body
-        return room, bodies
+        event = "at: bigint, event: string, body: string"
+        self.room = handle.getValueState("room", f"spilled boolean, waiting array<struct<side: int, {event}>>")
+        self.lines = handle.getMapState("lines", "side int, stretch bigint", f"waiting array<struct<{event}>>")
+        self.places = None
+        if not self.unique_ids:
+            self.places = handle.getMapState("places", "side int, event string", "at bigint")
+
+    def _over(self, stretch: int) -> int:
+        """When the last event of a stretch has waited long enough."""
+        return (stretch + 1) * max(self.window, 1) + self.life
+
+    def _opened(self) -> Room:
+        held = self.room.get()
+        spilled = held is not None and held[0]
+        whole = None if spilled else [tuple(r) for r in held[1]] if held is not None else []
+        return Room(self.lines, self.places, self.window, whole)
+
+    def _keep(self, waiting: list[tuple]) -> None:
+        if waiting:
+            self.room.update((False, waiting))
+        else:
+            self.room.clear()
 
     def take(self, key, rows):
-        room, bodies = self._load()
-        out, latest = [], 0
+        room, out, latest = self._opened(), [], None
         for at, event, side, body in rows:
-            took = room.arrive(side, event, at)
+            took = room.arrive(side, event or "", at, body)
             if took is None:
-                bodies[(side, event)] = body
-                latest = max(latest, at)
+                latest = at if latest is None else max(latest, at)
                 continue
-            mine, other = (event, at, body), (took[0], took[1], bodies[(1 - side, took[0])])
+            mine, other = (event, at, body), (took[1], took[0], took[2])
             left, right = (mine, other) if side == 0 else (other, mine)
             made_at = pd.Timestamp(max(left[1], right[1]), unit="us", tz="UTC")
             out.append((left[0], right[0], left[1], right[1], left[2], right[2], made_at))
-        for side, state in enumerate(self.waiting):
-            kept = [(e, v[0], bodies[(side, e)]) for e, v in room.sides[side].items()]
-            if kept:
-                state.put(kept)
-            else:
-                state.clear()
-        if latest:
-            self.handle.registerTimer(_timer(latest + self.life))
+        waiting = room.waiting() if room.whole else []
+        if room.whole and len(waiting) <= self.small:
+            self._keep(waiting)
+            if latest is not None:
+                self.handle.registerTimer(_timer(latest + self.life))
+        else:
+            if room.whole:
+                self.room.update((True, []))
+            for stretch in room.save():
+                self.handle.registerTimer(_timer(self._over(stretch)))
         return out
 
     def expire(self, watermark: int) -> None:
-        for state in self.waiting:
-            if not state.exists():
+        held = self.room.get()
+        if held is None:
+            return
+        if not held[0]:
+            kept = [tuple(r) for r in held[1] if r[1] + self.life >= watermark]
+            if len(kept) < len(held[1]):
+                self._keep(kept)
+            return
+        left = 0
+        for side, stretch in [tuple(k) for k in self.lines.keys()]:
+            if self._over(stretch) >= watermark:
+                left += 1
                 continue
-            held = list(state.get())
-            kept = [r for r in held if r[1] + self.life >= watermark]
-            if kept and len(kept) < len(held):
-                state.put(kept)
-            elif not kept:
-                state.clear()
+            if self.places is not None:
+                for _, event, _ in self.lines.getValue((side, stretch))[0]:
+                    self.places.removeKey((side, event))
+            self.lines.removeKey((side, stretch))
+        if not left:
+            self.room.clear()
 
 
 def _packed(df: DataFrame, key: str, ts: str, event_id: str | None, side: int, delay: str):
@@ -282,6 +394,7 @@ def match_stream(
     delay: str | None = None,
     emit: str = "eager",
     retention=RETENTION,
+    unique_ids: bool = False,
 ) -> DataFrame:
     """One-to-one matches of two streams as joined events (see
     ``match.joined_projection``), with ``made_at``, the later of the two times,
@@ -291,7 +404,9 @@ def match_stream(
     The default ``delay`` of an eager match is two windows and ``retention``, so
     any row that the engine drops is too late for every event that waits; held
     rows (``on_watermark``) are held for 5 minutes. With a ``delay`` of the
-    caller's, the watermark has to be that far ahead instead.
+    caller's, the watermark has to be that far ahead instead. Events lapse by
+    stretches of one window, so some wait up to a window longer. A repeated id
+    replaces the waiting one; ``unique_ids`` says there are none and saves looking.
     """
     size, hold = window_micros(window), _check_emit(emit)
     life = size + micros(retention)
@@ -302,7 +417,7 @@ def match_stream(
     both = _packed(left, key, ts, event_id, 0, delay).unionByName(
         _packed(right, key, ts, event_id, 1, delay)
     )
-    processor = MatchProcessor(size, hold, life)
+    processor = MatchProcessor(size, hold, life, unique_ids)
     out = both.groupBy("key_value").transformWithStateInPandas(
         processor, MatchProcessor.schema, "append", "EventTime", eventTimeColumnName="made_at"
     )

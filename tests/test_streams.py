@@ -75,8 +75,10 @@ def test_held_dedup_equals_batch_on_shuffled_input(spark, events, tmp_path):
     assert query.recentProgress[-1].stateOperators[0].numRowsTotal <= 4
 
 
-@pytest.mark.parametrize("parts", [1, 5])
-def test_match_equals_batch(spark, events, tmp_path, parts):
+@pytest.mark.parametrize("parts, small", [(1, 256), (5, 256), (5, 1)])
+def test_match_equals_batch(spark, events, tmp_path, monkeypatch, parts, small):
+    # A room of one event at most spills to the maps.
+    monkeypatch.setattr(stateful.MatchProcessor.__init__, "__defaults__", (False, small))
     source = slices(events, f"{tmp_path}/in", parts)
     stream = ingest.file_stream(spark, source, events.schema, files_per_trigger=1)
     sides = [(df.filter("event_type = 'purchase'"), df.filter("event_type = 'click'"))
