@@ -183,6 +183,10 @@ def sort_columns(df: DataFrame, sort: str | Mapping | None) -> list[Column]:
     return [c for name, way in spec.items() for c in fields.sort_keys(name, way > 0)]
 
 
+# Pages that end within so many rows are taken from the sort directly.
+PAGE = 10_000
+
+
 def find(
     df: DataFrame,
     query: str | Mapping | None = None,
@@ -194,9 +198,10 @@ def find(
     """Filter, then sort, skip and limit (0 means no limit).
 
     Paging needs a total order, so ``id_column`` is appended to the sort; rows
-    with equal ids are told apart by place. A skip without a limit numbers the
-    sorted rows by partition and cuts by number, however deep it is; a plain
-    offset would send every row through one task.
+    with equal ids are told apart by place. A skip without a limit, or one that
+    goes more than ``PAGE`` rows deep, numbers the sorted rows by partition and
+    cuts by number, however deep it is; a plain offset would keep all rows up to
+    the page's end in every task and merge them in one.
     """
     out = matching(df, query)
     order = sort_columns(df, sort)
@@ -206,8 +211,9 @@ def find(
         id_column = _id_of(df, None)
     if id_column and (order or skip > 0 or limit > 0):
         order.append(F.col(id_column).asc())
-    if skip > 0 and limit <= 0:
-        return _without_first(out.orderBy(*order), skip)
+    if skip > 0 and (limit <= 0 or skip + limit > PAGE):
+        rest = _without_first(out.orderBy(*order), skip)
+        return rest.limit(limit) if limit > 0 else rest
     if order:
         out = out.orderBy(*order)
     if skip > 0:

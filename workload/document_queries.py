@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import documents as docs
+from millrace.operators import text_search
 from millrace.session import shared_dir
 from millrace.sources import collections, merging
 from workload.common import events, query, table
@@ -461,3 +462,67 @@ def merged_insert(spark, sf):
     more = table(spark, sf, "orders").select(*_ORDERS).filter("o_custkey < 50")
     store.insert(more.withColumn("o_orderkey", -F.col("o_orderkey")))
     return store.read()
+
+
+# -------------------------------------------------------------- text search
+
+_TERMS_SQL = r"""words AS (
+  SELECT doc_id AS id, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM documents),
+postings AS (SELECT term, id, count(*) AS times FROM words GROUP BY ALL),
+lengths AS (SELECT id, sum(times) AS length FROM postings GROUP BY id),
+totals AS (SELECT (SELECT count(DISTINCT doc_id) FROM documents WHERE text IS NOT NULL) AS n,
+  (SELECT sum(times) FROM postings) AS w),
+terms AS (SELECT term, count(*) AS d FROM postings GROUP BY term),
+scored AS (
+  SELECT id, sum(ln(1 + (n - d + 0.5) / (d + 0.5)) * times * 2.2 / (times + 1.2 * (0.25 + 0.75 * length / (w / n)))) AS score
+  FROM postings JOIN terms USING (term) JOIN lengths USING (id), totals
+  WHERE term IN ({terms}) GROUP BY id)"""
+
+
+def _text_sql(terms: list[str], test: str = "true") -> str:
+    named = ", ".join(f"'{t}'" for t in terms)
+    return f"""WITH {_TERMS_SQL.replace("{terms}", named)}
+        SELECT doc_id, lang, round(score, 4) AS score FROM scored JOIN documents ON doc_id = id WHERE {test}"""
+
+
+def _searched(spark, sf, query):
+    rows = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    index = text_search.TextIndex.build(rows, "doc_id", "text")
+    return index.find(rows, query).select("doc_id", "lang", F.round("score", 4).alias("score"))
+
+
+@query("text_search", _text_sql(["erhe", "haor", "thing", "der"]))
+def text_search_any(spark, sf):
+    """All documents with any of four terms, one of them frequent."""
+    return _searched(spark, sf, {"$text": {"$search": "Erhe haor THING der"}})
+
+
+@query(
+    "text_search_without",
+    _text_sql(["thand", "with"], """lang = 'en' AND doc_id NOT IN
+        (SELECT id FROM postings WHERE term IN ('thing', 'haor'))"""),
+)
+def text_search_without(spark, sf):
+    """Excluded terms and a plain filter beside the search."""
+    return _searched(spark, sf, {"lang": "en", "$text": {"$search": "thand with -thing -haor"}})
+
+
+@query(
+    "text_search_phrase",
+    _text_sql(["of", "the", "erhe"], r"""' ' || array_to_string(list_transform(regexp_extract_all(text,
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz')), ' ') || ' ' LIKE '% of the %'"""),
+)
+def text_search_phrase(spark, sf):
+    return _searched(spark, sf, {"$text": {"$search": 'erhe "Of the"'}})
+
+
+@query(
+    "page_deep",
+    """SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 500 OFFSET 12000""",
+)
+def page_deep(spark, sf):
+    """A page far into a sorted result: cut by number, no task keeps what is skipped."""
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return docs.find(rows, sort={"o_totalprice": -1}, skip=12000, limit=500, id_column="o_orderkey")

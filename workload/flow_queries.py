@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import routing
-from millrace.plans import control, counters, flows, metrics, spec
+from millrace.plans import control, counters, flows, metrics, rollups, spec
 from millrace.session import shared_dir
 from millrace.streaming.sinks import folder_writer
 from workload.common import (
@@ -398,3 +398,24 @@ def windowed_analytics_stream(spark, sf):
 )
 def session_analytics(spark, sf):
     return metrics.session_analytics(events(spark, sf), "ts", "user_id", "1 hour")
+
+
+@query(
+    "rollup_days",
+    """SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_type AS "group", count(*) AS events,
+              CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS total_value FROM events GROUP BY ALL""",
+)
+def rollup_days(spark, sf):
+    """Days put together from stored hours; the events are read once."""
+    path = shared_dir(spark, "hours")
+    rollups.rolled_up(events(spark, sf), "ts", "event_type", "user_id", "value", "1 hour").write.parquet(path)
+    days = rollups.merged(spark.read.parquet(path), "1 day")
+    return rollups.readings(days, [0.5, 0.99]).select("window_start", "group", "events", "total_value")
+
+
+@query("rollup_distinct_users")
+def rollup_distinct_users(spark, sf):
+    """Distinct users and quantiles of days made of hours; estimates, so tests
+    hold them against exact counts instead of SQL."""
+    hours = rollups.rolled_up(events(spark, sf), "ts", "event_type", "user_id", "value", "1 hour")
+    return rollups.readings(rollups.merged(hours, "1 day"), [0.1, 0.5, 0.9, 0.99])
