@@ -111,8 +111,21 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 5) -> Lan
     draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / (1 << 30)
     sample = rows.filter(draw < share[F.col("lang")]).select("doc_id", "lang", "text")
     counts = sample.mapInArrow(_count_batches, "doc_id long, lang string, buckets array<int>, counts array<long>")
-    got = sorted(counts.collect(), key=lambda r: (r.doc_id, r.lang, r.buckets, r.counts))
-    return _train([r.lang for r in got], [(r.buckets, r.counts) for r in got], seed)
+    got = counts.toArrow().combine_chunks()
+    names = got["lang"].to_pylist()
+    ids = got["doc_id"].to_pylist()
+    # As arrays: lists of Python numbers would be several times as large.
+    rows = list(zip(*(_slices(got[c].combine_chunks()) for c in ("buckets", "counts"))))
+    order = sorted(range(len(ids)), key=lambda i: (ids[i], names[i], rows[i][0].tobytes(), rows[i][1].tobytes()))
+    return _train([names[i] for i in order], [rows[i] for i in order], seed)
+
+
+def _slices(lists: pa.ListArray) -> list[np.ndarray]:
+    """The values of each list."""
+    if isinstance(lists, pa.ChunkedArray):
+        lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], lists.type)
+    ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+    return [values[low:high] for low, high in zip(ends[:-1], ends[1:])]
 
 
 def _dense(rows) -> np.ndarray:
