@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontam, langid, mixing, sharding, simhash
+from millrace.llm import decontam, langid, mixing, near_copies, sharding
 from millrace.llm.staging import staged
 
 SHARDS = 8
@@ -20,8 +20,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies."""
-    return simhash.keep_one_of_each(docs)
+    """Keeps one document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    return near_copies.keep_one_of_each(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
