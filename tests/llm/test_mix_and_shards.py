@@ -8,7 +8,7 @@ import pytest
 import corpus_pipeline
 from millrace.llm import draws, langid, mixing, queries, sharding
 from tests.llm.overlap import brute
-from tests.llm.test_simhash import groups
+from tests.llm.test_near_copies import kept_ids
 
 
 def test_hypergeometric_draws():
@@ -114,7 +114,7 @@ def test_pipeline_against_brute_force(spark, sf_dir):
     model = langid.fit(docs)
     rejected = {r.doc_id for r in langid.languages(docs, model).collect() if r.rejected}
     rows = [(r.doc_id, r.text, r.source) for r in docs.collect() if r.doc_id not in rejected]
-    kept = {int(d) for d, _, c in groups([r[:2] for r in rows]) if d == c}
+    kept = kept_ids([r[:2] for r in rows])
     rows = [r for r in rows if r[0] in kept]
     items = [r.text for r in queries.table(spark, sf_dir, "benchmark").collect()]
     dirty = {r[0] for r in rows if any(t in r[1] for t in items)}
