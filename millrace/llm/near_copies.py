@@ -1,19 +1,20 @@
 """Near copies at a similarity of shingles, by wide SimHash and Golay-code fuzzy hashing.
 
-A text has a fingerprint of 16 words of 64 bits, and one more word for checks. Each
-word is cut into three segments, 48 in all. The perfect Golay code gives a segment the
+A text has a fingerprint of 16 words of 64 bits, and two more of its shingles for checks.
+Each word is cut into three segments, 48 in all. The perfect Golay code gives a segment the
 index of the codeword nearest to it, and two nearby segments' indices together are a
 key: 144 keys for a text. Errors spread over 48 segments leave, by pigeonhole, some
 pair of segments that decode alike, although few single ones do. With a five-word
 Jaccard similarity of 0.8 a bit differs with probability 0.117 where single words
 are changed (0.151 where a passage is added or left out), a segment decodes alike with
 0.21 (0.14), and one of the 144 keys is shared with 0.97 (0.86); at 0.85 both are above 0.95.
-Two unlike texts share one with 1e-5, and the word for checks lets 2 in 1000 of those pass.
+Two unlike texts share one with 1e-5, and the words for checks let 5e-8 of those pass.
 
 Every pair that is met is verified on the sets of its shingles, so nothing is
 linked below the similarity. Pairs within a group are not made: each text is first
-compared with the smallest node it meets under any key; then only texts of
-different components that share a key are compared.
+compared with the one that meets most others among those it meets (the original of a
+group of copies), then three times with the likest of its neighbours in its keys'
+order. Only then are the texts of different components that share a key compared, all of them.
 """
 
 from __future__ import annotations
@@ -36,9 +37,11 @@ WORDS, SIMILARITY = 5, 0.8
 # Words of a fingerprint's features; shorter than a shingle, as one changed word then changes fewer bits.
 FEATURE = 3
 WIDE, STEPS = 16, (1, 2, 3)
-# Bits of the word for checks that may differ: 3e-4 of the pairs at 0.151 a bit differ in more.
-CHECKED = 20
+# Bits of the two words for checks that may differ: 3e-4 of the pairs at 0.151 a bit differ in more.
+CHECKS, CHECKED = 2, 34
 SLICE = 1 << 23
+# Linear turns before the last comparison, and the most nodes sent to all tasks (about 10 MB).
+TURNS, BROADCAST = 3, 100_000
 
 
 # ------------------------------------------------------------ fingerprints
@@ -73,12 +76,12 @@ def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def _wide_bits(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints (rows x 17 words) and the number of features of each text."""
-    ones = np.zeros((len(texts), WIDE + 1, 64), dtype=np.int32)
+def _wide_bits(texts: pa.Array, words: int, wide: int) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints (rows x ``wide``) of runs of ``words`` words, and the number of runs of each text."""
+    ones = np.zeros((len(texts), wide, 64), dtype=np.int32)
     count = np.zeros(len(texts), dtype=np.int64)
     lanes = np.uint64(0x0101010101010101)
-    for rows, hashes in _shingles(texts, FEATURE):
+    for rows, hashes in _shingles(texts, words):
         for low in range(0, len(rows), 1 << 14):
             owner, some = rows[low:low + (1 << 14)], hashes[low:low + (1 << 14)]
             first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
@@ -87,7 +90,7 @@ def _wide_bits(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             # A byte counts up to 255, so longer runs are cut.
             cuts = np.unique(np.concatenate([first, *[first[sizes > k] + k for k in range(255, int(sizes.max()), 255)]]))
             to = owner[cuts]
-            for word in range(WIDE + 1):
+            for word in range(wide):
                 mixed = _mixed(some, word)
                 sums = np.stack([np.add.reduceat(mixed >> np.uint64(s) & lanes, cuts) for s in range(8)], axis=1)
                 # Byte j of lane s counts bit 8j + s.
@@ -97,12 +100,15 @@ def _wide_bits(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.packbits(major, axis=2, bitorder="little").view("<u8")[:, :, 0], count
 
 
-def _print_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in _sliced(batch, 1):
-            bits, count = _wide_bits(part.column(1))
-            prints = pa.array([row.tobytes() if n else None for row, n in zip(bits, count)], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column(0), prints], ["at", "prints"])
+def _print_batches(words: int):
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            for part in _sliced(batch, 1):
+                bits, count = _wide_bits(part.column(1), FEATURE, WIDE)
+                bits = np.concatenate([bits, _wide_bits(part.column(1), words, CHECKS)[0]], axis=1)
+                prints = pa.array([row.tobytes() if n else None for row, n in zip(bits, count)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), prints], ["at", "prints"])
+    return batches
 
 
 def _sliced(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
@@ -140,17 +146,22 @@ def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low in range(0, batch.num_rows, 1024):
             some = batch.slice(low, 1024)
-            prints = np.frombuffer(b"".join(some.column(1).to_pylist()), dtype="<u8").reshape(some.num_rows, WIDE + 1)
+            prints = np.frombuffer(b"".join(some.column(1).to_pylist()), dtype="<u8").reshape(some.num_rows, WIDE + CHECKS)
             keys = _pair_keys(table, prints)
             node = some.column(0).to_numpy(zero_copy_only=False)
             each = keys.shape[1]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.ravel()), pa.array(np.repeat(node, each)),
-                 pa.array(np.repeat(prints[:, WIDE].view(np.int64), each))], ["key", "node", "check"])
+                 *[pa.array(np.repeat(prints[:, WIDE + k].view(np.int64), each)) for k in range(CHECKS)]],
+                ["key", "node", *CHECK])
+
 
+CHECK = [f"check{k}" for k in range(CHECKS)]
 
-def _near(a: str, b: str) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= CHECKED
+
+def _apart(other: str) -> Column:
+    """Differing bits of the words for checks of a row and another, named by a prefix."""
+    return sum(F.bit_count(F.col(c).bitwiseXOR(F.col(other + c))) for c in CHECK)
 
 
 # ------------------------------------------------------------ verification
@@ -172,25 +183,41 @@ def _set_batches(words: int):
     return batches
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, words: int, least: float) -> DataFrame:
-    """Those of ``pairs(a, b)`` whose sets of shingles have at least this Jaccard similarity."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = nodes.join(ends, "node", "left_semi").select("digest", "node")
-    # One text for each digest; equal digests are equal texts.
-    some = texts.join(wanted, "digest").select("node", "text").dropDuplicates(["node"])
-    sets, _ = staged(some.mapInArrow(_set_batches(words), "node long, shingles array<long>"), "copy-shingles")
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("t"))
-    shared = F.size(F.array_intersect("s", "t"))
-    both = F.size("s") + F.size("t") - shared
-    return pairs.join(left, "a").join(right, "b").filter(shared >= both * F.lit(least)).select("a", "b")
+class _Verifier:
+    """Compares pairs of nodes; the sets of a node's shingles are made once."""
+
+    def __init__(self, texts: DataFrame, nodes: DataFrame, words: int, least: float):
+        self.texts, self.nodes, self.words, self.least = texts, nodes, words, least
+        self.sets = None
+
+    def fill(self, ends: DataFrame) -> None:
+        """Makes the sets of these nodes that are not there yet."""
+        if self.sets is not None:
+            ends = ends.join(self.sets.select("node"), "node", "left_anti")
+        wanted, _ = staged(self.nodes.join(ends, "node", "left_semi").select("digest", "node"), "copy-wanted")
+        small = wanted.count() <= BROADCAST
+        # One text for each digest; equal digests are equal texts.
+        some = self.texts.join(F.broadcast(wanted) if small else wanted, "digest").select("node", "text")
+        sets = some.dropDuplicates(["node"]).mapInArrow(_set_batches(self.words), "node long, shingles array<long>")
+        sets, _ = staged(sets, "copy-shingles")
+        self.sets = sets if self.sets is None else self.sets.union(sets)
+
+    def similar(self, pairs: DataFrame) -> DataFrame:
+        """Those of the staged ``pairs(a, b)`` whose sets have at least the Jaccard similarity, staged."""
+        self.fill(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        left = self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("s"))
+        right = self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("t"))
+        shared = F.size(F.array_intersect("s", "t"))
+        both = F.size("s") + F.size("t") - shared
+        found = pairs.join(left, "a").join(right, "b").filter(shared >= both * F.lit(self.least))
+        return staged(found.select("a", "b"), "copy-edges")[0]
 
 
 # ------------------------------------------------------------------ groups
 
-def _nodes(texts: DataFrame) -> DataFrame:
+def _nodes(texts: DataFrame, words: int) -> DataFrame:
     """(node, digest, first, prints) of the different texts, staged so that the numbers hold."""
-    prints = texts.select("digest", "text").mapInArrow(_print_batches, "at string, prints binary")
+    prints = texts.select("digest", "text").mapInArrow(_print_batches(words), "at string, prints binary")
     first = texts.groupBy("digest").agg(F.min("doc_id").alias("first"))
     # The text is hashed where it lies; only digests and fingerprints are shuffled.
     prints = prints.groupBy(F.col("at").alias("digest")).agg(F.first("prints").alias("prints"))
@@ -198,32 +225,99 @@ def _nodes(texts: DataFrame) -> DataFrame:
     return staged(nodes.select(F.monotonically_increasing_id().alias("node"), "digest", "first", "prints"), "copy-nodes")[0]
 
 
+def _turned(check: str, bits: int) -> Column:
+    return F.shiftleft(check, bits).bitwiseOR(F.shiftrightunsigned(check, 64 - bits)) if bits else F.col(check)
+
+
+def _grouped(met: DataFrame, edges: DataFrame) -> DataFrame:
+    """The rows of ``met`` with their component so far."""
+    group, _ = staged(components(edges), "copy-groups")
+    return met.join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.greatest(a, b).alias("a"), F.least(a, b).alias("b")]
+
+
+def _stars(met: DataFrame) -> DataFrame:
+    """Each node with the node that meets most others among those it meets."""
+    best = F.max(F.struct("meets", "node", *CHECK)).over(Window.partitionBy("key"))
+    stars = met.select("node", *CHECK, best.alias("best"))
+    stars = stars.filter((F.col("node") != F.col("best.node")) & (_apart("best.") <= CHECKED))
+    stars = stars.groupBy("node").agg(F.max("best").alias("best")).select(F.col("best.node").alias("other"), "node")
+    return stars.select(*_pair("node", "other")).distinct()
+
+
+def _neighbours(rows: DataFrame, turn: int) -> DataFrame:
+    """Each node with the likest of its neighbours in the order of its buckets' words for checks."""
+    order = Window.partitionBy("key").orderBy(_turned("check0", 16 * turn), "node")
+    one = F.struct("node", *CHECK, "component")
+    rows = rows.select("node", *CHECK, "component", F.lag(one).over(order).alias("o"))
+    rows = rows.filter((F.col("component") != F.col("o.component")) & (_apart("o.") <= CHECKED))
+    ways = F.array(F.struct(F.col("node").alias("a"), F.col("o.node").alias("b")),
+                   F.struct(F.col("o.node").alias("a"), F.col("node").alias("b")))
+    both = rows.select(_apart("o.").alias("apart"), F.explode(ways).alias("p")).select("apart", "p.*")
+    best = both.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best")).select(F.col("a").alias("node"), F.col("best.b").alias("other"))
+    return best.select(*_pair("node", "other")).distinct()
+
+
+def _shared(nodes: DataFrame, verifier: _Verifier) -> DataFrame:
+    """(node, size, shared): how many of a node's shingles another of ``nodes`` has too."""
+    verifier.fill(nodes)
+    sets = verifier.sets.join(nodes, "node", "left_semi")
+    each, _ = staged(sets.select("node", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle")), "copy-each")
+    twice = each.groupBy("shingle").count().filter("count > 1").select("shingle")
+    return each.join(twice, "shingle", "left_semi").groupBy("node", "size").agg(F.count("*").alias("shared"))
+
+
+def _crossing(rows: DataFrame, verifier: _Verifier) -> DataFrame:
+    """All pairs of different components that share a key and may be alike: under each key all
+    but the most frequent component's rows meet all rows.
+
+    A pair has no more shingles in common than either text shares with any text that could be its
+    partner, so a text of many shingles of its own is left out, whatever it shares with the rest of its group.
+    """
+    counts = rows.groupBy("key", "component").count()
+    mixed = counts.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("most"), F.count("*").alias("n"))
+    rows, _ = staged(rows.join(mixed.filter("n > 1").drop("n"), "key"), "copy-mixed")
+
+    def few(frame: DataFrame) -> DataFrame:
+        few = frame.filter("component <> most").drop("most")
+        return few.select("key", *[F.col(c).alias(f"few_{c}") for c in few.columns if c != "key"])
+
+    def near(left: DataFrame, right: DataFrame, a: str, b: str) -> Column:
+        same = sum(F.bit_count(left[a + c].bitwiseXOR(right[b + c])) for c in CHECK) <= CHECKED
+        return (left["key"] == right["key"]) & (left[a + "component"] != right[b + "component"]) & same
+
+    some = few(rows)
+    met = rows.join(some, near(rows, some, "", "few_"), "left_semi").select("node")
+    met = met.union(some.join(rows, near(some, rows, "few_", ""), "left_semi").select("few_node"))
+    shared, _ = staged(_shared(staged(met.distinct(), "copy-nodes-met")[0], verifier), "copy-shared")
+    able, _ = staged(rows.join(shared.filter(F.col("shared") >= F.col("size") * verifier.least - 1e-6), "node"), "copy-able")
+    cross = few(able).join(able, "key")
+    cross = cross.filter("component <> few_component AND (component = most OR node > few_node)")
+    enough = F.least("shared", "few_shared") * (1 + verifier.least) >= (F.col("size") + F.col("few_size")) * verifier.least - 1e-6
+    return cross.filter(enough & (_apart("few_") <= CHECKED)).select(*_pair("node", "few_node")).distinct()
+
+
 def _links(texts: DataFrame, nodes: DataFrame, words: int, least: float) -> DataFrame:
     """(node, component) of the nodes that have links."""
     able = nodes.filter("prints IS NOT NULL").select("node", "prints")
-    keys = able.mapInArrow(_key_batches, "key long, node long, check long")
-    by_key = Window.partitionBy("key")
-    lowest = F.min(F.struct("node", "check")).over(by_key)
-    met = keys.select("key", "node", "check", lowest.alias("low"), F.count("*").over(by_key).alias("n"))
-    met = met.filter("n > 1").select("key", "node", "check", F.col("low.node").alias("low"), F.col("low.check").alias("low_check"))
+    keys = able.mapInArrow(_key_batches, "key long, node long, " + ", ".join(f"{c} long" for c in CHECK))
+    met = keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1")
     met, _ = staged(met, "copy-met")
-    stars = met.filter((F.col("node") != F.col("low")) & _near("check", "low_check"))
-    stars = stars.groupBy(F.col("node").alias("a")).agg(F.min("low").alias("b"))
-    edges, _ = staged(_similar(staged(stars, "copy-stars")[0], texts, nodes, words, least), "copy-edges")
-    group, _ = staged(components(edges), "copy-groups")
-    # Keys under which several components meet: all but the most frequent one's rows meet all rows.
-    rows = met.select("key", "node", "check").join(group, "node", "left")
-    rows = rows.withColumn("component", F.coalesce("component", "node"))
-    counts = rows.groupBy("key", "component").count()
-    mixed = counts.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("most"), F.count("*").alias("n"))
-    rows = rows.join(mixed.filter("n > 1").drop("n"), "key")
-    rows, _ = staged(rows, "copy-mixed")
-    few = rows.filter("component <> most").select("key", *[F.col(c).alias(f"few_{c}") for c in ("node", "check", "component")])
-    cross = few.join(rows, "key").filter("component <> few_component AND (component = most OR node > few_node)")
-    cross = cross.filter(_near("check", "few_check"))
-    pairs = cross.select(F.greatest("node", "few_node").alias("a"), F.least("node", "few_node").alias("b")).distinct()
-    pairs, _ = staged(pairs.join(edges, ["a", "b"], "left_anti"), "copy-pairs")
-    return components(edges.union(_similar(pairs, texts, nodes, words, least)))
+    meets = met.groupBy("node").agg(F.sum("n").alias("meets"))
+    verifier = _Verifier(texts, nodes, words, least)
+    tested, _ = staged(_stars(met.join(meets, "node")), "copy-pairs")
+    edges = verifier.similar(tested)
+    met = met.select("key", "node", *CHECK)
+    # Linear turns join most of a group, so that few of its pairs are left for the last.
+    for turn in range(TURNS + 1):
+        rows = _grouped(met, edges)
+        pairs = _neighbours(rows, turn) if turn < TURNS else _crossing(rows, verifier)
+        pairs, _ = staged(pairs.join(tested, ["a", "b"], "left_anti"), "copy-pairs")
+        edges, tested = edges.union(verifier.similar(pairs)), tested.union(pairs)
+    return components(edges)
 
 
 def _with_digest(docs: DataFrame) -> DataFrame:
@@ -246,7 +340,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, least: float = SIMILARITY)
 
 
 def _near_copies(texts: DataFrame, words: int, least: float) -> DataFrame:
-    nodes = _nodes(texts)
+    nodes = _nodes(texts, words)
     found = _links(texts, nodes, words, least)
     member = nodes.join(found, "node", "left").select("digest", "first", F.coalesce("component", "node").alias("label"))
     rank = F.struct(F.col("first").isNull(), "first", "digest")

@@ -41,12 +41,12 @@ def test_wide_fingerprints(monkeypatch, limit):
     monkeypatch.setattr(tokens, "PIECE", limit)
     monkeypatch.setattr(tokens.pieces, "__defaults__", (limit, True))
     texts = [None, "", " \t", "One", "one two", "a b c d", "é ü ß x " * 9, " ".join(str(i % 400) for i in range(1500)), "w " * 700]
-    bits, count = near_copies._wide_bits(pa.array(texts))
+    bits, count = near_copies._wide_bits(pa.array(texts), 3, 5)
     for text, got, n in zip(texts, bits, count):
         words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
         runs = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
         assert n == len(runs)
-        for word in range(near_copies.WIDE + 1):
+        for word in range(5):
             hashes = []
             for s in runs:
                 z = (xxhash.xxh64_intdigest(s, seed=42) + (word + 1) * 0x9E3779B97F4A7C15) % (1 << 64)
