@@ -13,7 +13,7 @@ Two unlike texts share one with 1e-5, and the words for checks let 5e-8 of those
 Every pair that is met is verified on the sets of its shingles, so nothing is
 linked below the similarity. Pairs within a group are not made: each text is first
 compared with the one that meets most others among those it meets (the original of a
-group of copies), then three times with the likest of its neighbours in its keys'
+group of copies), then with the likest of its neighbours in its keys'
 order. Only then are the texts of different components that share a key compared, all of them.
 """
 
@@ -40,8 +40,8 @@ WIDE, STEPS = 16, (1, 2, 3)
 # Bits of the two words for checks that may differ: 3e-4 of the pairs at 0.151 a bit differ in more.
 CHECKS, CHECKED = 2, 34
 SLICE = 1 << 23
-# Linear turns before the last comparison, and the most nodes sent to all tasks (about 10 MB).
-TURNS, BROADCAST = 3, 100_000
+# Linear turns before the last comparison (a second and third joined one text each of some 5000), and the most nodes sent to all tasks (about 10 MB).
+TURNS, BROADCAST = 1, 100_000
 
 
 # ------------------------------------------------------------ fingerprints
