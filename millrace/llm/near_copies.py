@@ -7,7 +7,7 @@ key: 144 keys for a text. Errors spread over 48 segments leave, by pigeonhole, s
 pair of segments that decode alike, although few single ones do. With a five-word
 Jaccard similarity of 0.8 a bit differs with probability 0.117 where single words
 are changed (0.151 where a passage is added or left out), a segment decodes alike with
-0.21 (0.14), and one of the 144 keys is shared with 0.97 (0.86); at 0.85 both are above 0.95.
+0.21 (0.14), and one of the 144 keys is shared with 0.97 (0.86), as simulated.
 Two unlike texts share one with 1e-5, and the words for checks let 5e-8 of those pass.
 
 Every pair that is met is verified on the sets of its shingles, so nothing is
