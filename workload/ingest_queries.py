@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from millrace.functions.keys import canonical_key, variant_key
 from millrace.operators import filters, transforms
 from millrace.plans.flows import columns_of
-from millrace.sources import ingest
+from millrace.session import shared_dir
+from millrace.sources import ingest, topic_log
+from millrace.streaming import sinks
 from workload.common import (
     MESSAGES, as_topic, drained, event_stream, event_topic, events, message,
     ntz, query, table,
@@ -40,6 +42,86 @@ def join_source(spark, sf):
     return ntz(out[0].unionByName(out[1]), "timestamp")
 
 
+def _purchases_first(spark, sf):
+    """The events as records of three partitions, in two appends."""
+    root = shared_dir(spark, "topic-log")
+    rows = as_topic(events(spark, sf), "events", "event_id", "event_type").drop("topic", "offset")
+    order, at = ["timestamp", "event_id"], F.col("partition")
+    parts = rows.filter("event_type = 'purchase'"), rows.filter("event_type <> 'purchase'")
+    return root, [
+        lambda part=part: topic_log.append(part, root, "events", 3, at, order) for part in parts
+    ]
+
+
+_LOG_SQL = """SELECT CAST(user_id AS VARCHAR) AS key, CAST(user_id % 3 AS INT) AS "partition",
+                     row_number() OVER (PARTITION BY user_id % 3 ORDER BY (event_type <> 'purchase'), ts,
+                                        event_id) - 1 AS "offset", ts AS timestamp
+              FROM events"""
+
+
+@query("topic_log_stream", _LOG_SQL)
+def topic_log_stream(spark, sf):
+    """A topic with offsets read as a stream in bounded micro-batches, stopped
+    between two appends and started again from its checkpoint."""
+    root, appends = _purchases_first(spark, sf)
+    schema = None
+    for write in appends:
+        write()
+        stream = topic_log.log_stream(spark, root, "events", "earliest", max_offsets=2_000_000)
+        rows = stream.select("key", "partition", "offset", "timestamp")
+        schema = rows.schema
+        sink = sinks.folder_writer(f"{root}/out")
+        run = sinks.start_sink(rows, sink, f"{root}/checkpoint", interval="0 seconds")
+        run.processAllAvailable()
+        run.stop()
+    return ntz(sinks.read_folder(spark, f"{root}/out", schema), "timestamp")
+
+
+@query(
+    "topic_log_replay",
+    f"""WITH log AS ({_LOG_SQL}),
+             cut AS (SELECT date_trunc('day', max(ts)) - INTERVAL 10 DAY AS t FROM events),
+             begin AS (SELECT "partition" AS p, min("offset") AS o FROM log, cut WHERE timestamp >= t GROUP BY 1)
+        SELECT key, "partition", "offset", timestamp FROM log JOIN begin ON p = "partition" AND "offset" >= o""",
+)
+def topic_log_replay(spark, sf):
+    """All records from the first one of each partition that is at a time or after it."""
+    root, appends = _purchases_first(spark, sf)
+    for write in appends:
+        write()
+    late = F.date_trunc("day", F.max("ts")) - F.expr("INTERVAL 10 DAY")
+    cut = events(spark, sf).agg(F.date_format(late, "yyyy-MM-dd'T'HH:mm:ss").alias("cut")).first()["cut"]
+    rows = topic_log.read_log(spark, root, "events", startingTimestamp=cut)
+    return ntz(rows.select("key", "partition", "offset", "timestamp"), "timestamp")
+
+
+@query(
+    "topic_log_sink",
+    """SELECT CAST(user_id % 3 AS INT) AS "partition", count(*) AS records, 0 AS first_offset,
+              count(*) AS next_offset, count(*) AS offsets, count(DISTINCT user_id) AS keys,
+              min(ts) AS earliest, max(ts) AS latest
+       FROM events GROUP BY 1""",
+)
+def topic_log_sink(spark, sf):
+    """A stream written into a topic, twice from the same checkpoint, and read back."""
+    root = shared_dir(spark, "topic-log-sink")
+    source = as_topic(event_stream(spark, sf)).drop("topic", "offset")
+    for _ in range(2):
+        topic_log.start_log_sink(
+            source, root, "clean-events", f"{root}/checkpoint", "sink", 3, F.col("partition"), None
+        ).awaitTermination()
+    rows = topic_log.read_log(spark, root, "clean-events").groupBy("partition").agg(
+        F.count("*").alias("records"),
+        F.min("offset").alias("first_offset"),
+        (F.max("offset") + 1).alias("next_offset"),
+        F.countDistinct("offset").alias("offsets"),
+        F.countDistinct("key").alias("keys"),
+        F.min("timestamp").alias("earliest"),
+        F.max("timestamp").alias("latest"),
+    )
+    return ntz(rows, "earliest", "latest")
+
+
 @query(
     "json_decode",
     f"""WITH {MESSAGES}
