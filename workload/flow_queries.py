@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import routing
+from millrace.operators import routing, sagas
 from millrace.plans import control, counters, flows, metrics, rollups, spec
 from millrace.session import shared_dir
+from millrace.streaming.saga_state import saga_stream
 from millrace.streaming.sinks import folder_writer
 from workload.common import (
     ORACLES,
     MESSAGES, anchor_cte, as_topic, drained, event_stream, event_topic, events,
-    match_cte, ntz, query, table,
+    match_cte, ntz, query, stream, table,
 )
 
 HANDLED = ["purchase", "signup"]
@@ -114,10 +115,10 @@ def route_counts(spark, sf):
     return routing.route_counts(_published(spark, sf), HANDLED)
 
 
-def _sagas(spark, sf):
-    orders = table(spark, sf, "orders")
+def _sagas(spark, sf, orders=None):
     return routing.saga_start(
-        orders, F.lit("order-filling"), ["o_custkey", "o_totalprice"], ORDER_STEPS,
+        orders if orders is not None else table(spark, sf, "orders"),
+        F.lit("order-filling"), ["o_custkey", "o_totalprice"], ORDER_STEPS,
         saga_id=F.concat(F.lit("saga-"), F.col("o_orderkey").cast("string")),
         at=F.col("o_orderdate"),
     )
@@ -149,6 +150,90 @@ def saga_steps(spark, sf):
     return routing.saga_steps(_sagas(spark, sf))
 
 
+# What the steps of an order answer: some fail, some have not answered, some answer
+# before their turn, and some answer twice, the second time the other way round.
+_STEP_OK, _STEP_THERE = "(k + 5 * n) % 11 <> 0", "(k + 3 * n) % 13 <> 0"
+_UNDO_OK, _UNDO_THERE = "(k + n) % 17 <> 0", "(k + n) % 7 <> 0"
+_STEP_HOURS = "CASE WHEN k % 5 = 0 THEN 5 - n ELSE n + 1 END"
+
+
+def _answers(orders):
+    rows = orders.select(
+        F.col("o_orderkey").alias("k"), F.col("o_orderdate").cast("timestamp").alias("d"),
+        F.explode(F.sequence(F.lit(0), F.lit(3))).alias("n"),
+    )
+    each = F.inline(F.expr(f"""filter(array(
+        named_struct('kind', 'step', 'ok', {_STEP_OK}, 'hours', {_STEP_HOURS}, 'there', {_STEP_THERE}),
+        named_struct('kind', 'step', 'ok', NOT ({_STEP_OK}), 'hours', 9, 'there', k % 3 = 0 AND {_STEP_THERE}),
+        named_struct('kind', 'undo', 'ok', {_UNDO_OK}, 'hours', 20 - n, 'there', {_UNDO_THERE})), x -> x.there)"""))
+    return rows.select("k", "d", "n", each).selectExpr(
+        "concat('saga-', k) AS saga_id", "n AS step_no", "kind", "ok",
+        "d + make_dt_interval(0, hours) AS at", "concat_ws('-', k, n, kind, hours) AS event_id",
+    )
+
+
+_SAGA_CTE = f"""n4 AS (SELECT unnest([0, 1, 2, 3]) AS n),
+  f AS (SELECT o_orderkey AS k, n, o_orderdate AS d,
+               CASE WHEN {_STEP_THERE} THEN {_STEP_OK} END AS ok,
+               o_orderdate + INTERVAL 1 HOUR * ({_STEP_HOURS}) AS "at"
+        FROM (SELECT *, o_orderkey AS k FROM orders), n4),
+  ahead AS (SELECT *, coalesce(bool_and(coalesce(ok, false)) OVER w, true) AS due,
+                   greatest(d, coalesce(max("at") OVER w, d)) AS due_at
+            FROM f WINDOW w AS (PARTITION BY k ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+  broke AS (SELECT k, n AS b, d, greatest(due_at, "at") AS t FROM ahead WHERE due AND NOT ok),
+  u AS (SELECT k, n, b, t, CASE WHEN {_UNDO_THERE} THEN {_UNDO_OK} END AS ok,
+               d + INTERVAL 1 HOUR * (20 - n) AS "at"
+        FROM broke JOIN n4 ON n < b),
+  back AS (SELECT *, coalesce(bool_and(coalesce(ok, false)) OVER w, true) AS due,
+                  greatest(t, coalesce(max("at") OVER w, t)) AS due_at
+           FROM u WINDOW w AS (PARTITION BY k ORDER BY n DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+  given AS (SELECT k, n AS seq, n AS step_no, 'step' AS kind, due_at AS "at", ok,
+                   ['hold_credit', 'pick_lines', 'book_freight', 'issue_invoice'][n + 1] AS command
+            FROM ahead WHERE due
+            UNION ALL
+            SELECT k, 2 * b - n, n, 'undo', due_at, ok,
+                   ['free_credit', 'restock_lines', 'unbook_freight', 'void_invoice'][n + 1]
+            FROM back WHERE due)"""
+_COMMANDS_SQL = f"""WITH {_SAGA_CTE}
+    SELECT 'saga-' || k AS saga_id, seq, step_no, kind, command, "at" FROM given"""
+
+
+@query(
+    "saga_progress",
+    f"""WITH {_SAGA_CTE},
+          last AS (SELECT k, arg_max(kind, seq) AS kind, arg_max(coalesce(ok::VARCHAR, '-'), seq) AS ok,
+                          arg_max(step_no, seq) AS step_no, max(seq) FILTER (kind = 'step') AS top
+                   FROM given GROUP BY k),
+          ends AS (SELECT k, max(CASE WHEN ok IS NULL THEN g."at" ELSE greatest(g."at", coalesce(f."at", g."at")) END) AS "at"
+                   FROM given g LEFT JOIN (SELECT k, n, 'step' AS kind, "at" FROM f
+                                           UNION ALL SELECT k, n, 'undo', "at" FROM u) f
+                     USING (k, kind) WHERE f.n = g.step_no GROUP BY k)
+        SELECT 'saga-' || k AS id,
+               CASE WHEN kind = 'step' AND ok = '-' THEN 'running'
+                    WHEN kind = 'step' AND ok = 'true' THEN 'completed'
+                    WHEN kind = 'undo' AND ok = '-' THEN 'compensating' ELSE 'failed' END AS status,
+               CASE WHEN kind = 'step' AND ok = 'true' THEN 4 ELSE top END AS current_step, ends."at" AS last_updated
+        FROM last JOIN ends USING (k)""",
+)
+def saga_progress(spark, sf):
+    done = sagas.saga_progress(_sagas(spark, sf), _answers(table(spark, sf, "orders")))
+    return ntz(done.select("id", "status", "current_step", "last_updated"), "last_updated")
+
+
+@query("saga_commands", _COMMANDS_SQL)
+def saga_commands(spark, sf):
+    done = sagas.saga_progress(_sagas(spark, sf), _answers(table(spark, sf, "orders")))
+    return ntz(sagas.saga_commands(done), "at")
+
+
+@query("saga_commands_stream", _COMMANDS_SQL)
+def saga_commands_stream(spark, sf):
+    """Starts and answers as streams; commands as they become due."""
+    starts, orders = _sagas(spark, sf, stream(spark, sf, "orders")), stream(spark, sf, "orders")
+    out = saga_stream(starts, _answers(orders)).drop("status")
+    return ntz(drained(out, "sagas"), "at")
+
+
 # ---------------------------------------------------------------- whole flows
 
 TOPIC_FLOW = {
