@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import routing, sagas
+from millrace.operators import routing, sagas, task_queue
 from millrace.plans import control, counters, flows, metrics, rollups, spec
 from millrace.session import shared_dir
 from millrace.streaming.saga_state import saga_stream
 from millrace.streaming.sinks import folder_writer
+from millrace.streaming.task_state import released_tasks
 from workload.common import (
     ORACLES,
     MESSAGES, anchor_cte, as_topic, drained, event_stream, event_topic, events,
@@ -78,6 +79,61 @@ def task_route(spark, sf):
     return done.select("id", "handled_by", "charged", "retries")
 
 
+# Purchases of uneven value ask for their hour; a signup of value v fails v % 6 times.
+def _queue_handlers():
+    return {
+        "purchase": {"charged": F.col("payload.value") * 2},
+        "signup": {"error": F.when(F.col("retries") < F.floor("payload.value") % 6, "not ready")},
+    }
+
+
+_ATTEMPTS_SQL = """SELECT * FROM (
+    SELECT 'task-' || event_id AS id, n AS retries, priority, ts,
+           CASE WHEN event_type = 'purchase' THEN value * 2 END AS charged,
+           CASE WHEN n < fails THEN 'not ready' END AS error,
+           greatest(ts, scheduled_at) + INTERVAL 30 SECOND * (2 ** n - 1)::INT AS due,
+           CASE WHEN n >= fails THEN 'done' WHEN n < 3 THEN 'retry' ELSE 'dead' END AS outcome
+    FROM (SELECT *, CASE WHEN event_type = 'signup' THEN floor(value)::BIGINT % 6 ELSE 0 END AS fails,
+                 event_id % 5 AS priority,
+                 CASE WHEN event_id % 3 = 0 THEN ts + INTERVAL 1 MINUTE * (event_id % 600 - 100) END AS scheduled_at
+          FROM events WHERE event_type IN ('purchase', 'signup')), (SELECT unnest([0, 1, 2, 3]) AS n)
+    WHERE n <= fails)"""
+
+
+def _queued(rows):
+    tasks = routing.task_envelope(
+        rows, F.col("event_type"), ["user_id", "value", "event_id"],
+        task_id=F.concat(F.lit("task-"), F.col("event_id").cast("string")), at=F.col("ts"),
+    ).drop("key", "value", "headers")
+    n = F.col("payload.event_id")
+    return tasks.withColumns({
+        "priority": (n % 5).cast("int"),
+        "scheduled_at": F.when(n % 3 == 0, F.col("timestamp") + F.make_dt_interval(mins=(n % 600 - 100).cast("int"))),
+    })
+
+
+@query("task_attempts", f"SELECT id, retries, charged, error, due, outcome FROM ({_ATTEMPTS_SQL})")
+def task_attempts(spark, sf):
+    """Schedules, and retries with growing waits."""
+    done = task_queue.task_attempts(_queued(events(spark, sf)), _queue_handlers())
+    return ntz(done.select("id", "retries", "charged", "error", "due", "outcome"), "due")
+
+
+@query(
+    "task_queue_stream",
+    f"""SELECT id, retries, priority, outcome, due FROM ({_ATTEMPTS_SQL})
+        WHERE date_trunc('minute', due) + INTERVAL 1 MINUTE
+              <= (SELECT date_trunc('millisecond', max(ts)) FROM events WHERE event_type IN ('purchase', 'signup'))
+                 - INTERVAL 10 MINUTE""",
+)
+def task_queue_stream(spark, sf):
+    """What a delay queue has released when its stream has run dry."""
+    tasks = _queued(event_stream(spark, sf)).filter(F.col("type").isin(*HANDLED))
+    out = released_tasks(tasks, _queue_handlers())
+    done = drained(out, "task-queue").select("id", "retries", "priority", "outcome", "due")
+    return ntz(done, "due")
+
+
 @query(
     "event_envelope",
     """SELECT 'ev-' || event_id AS id, event_type AS type, 'shop' AS source,
