@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.fields import once
+
 RESULT_KINDS = ("step", "undo")
 COMMANDS = "array<struct<seq:int,step_no:int,kind:string,command:string,at:timestamp>>"
 
@@ -84,14 +86,14 @@ def saga_progress(sagas: DataFrame, results: DataFrame) -> DataFrame:
     rows = sagas.join(first_results(results, sagas).withColumnRenamed("saga_id", "id"), "id", "left")
     steps, none = F.size("steps"), F.expr("CAST(array() AS array<int>)")
     forward = F.when(steps > 0, F.sequence(F.lit(0), steps - 1)).otherwise(none)
-    rows = rows.withColumn("__ahead", _walk(forward, F.col("__step"), F.col("start_time").cast("timestamp")))
+    # Each walk is read in many places below and made once.
+    rows = once(rows, __ahead=_walk(forward, F.col("__step"), F.col("start_time").cast("timestamp")))
     taken = F.size("__ahead.times") - 1
     broke = F.col("__ahead.state") == "failed"
     rows = rows.withColumn("__at", taken - broke.cast("int"))
     back = F.when(broke & (F.col("__at") > 0), F.sequence(F.col("__at") - 1, F.lit(0), F.lit(-1)))
-    rows = rows.withColumn(
-        "__back",
-        _walk(F.coalesce(back, none), F.col("__undo"), F.element_at("__ahead.times", -1)),
+    rows = once(
+        rows, __back=_walk(F.coalesce(back, none), F.col("__undo"), F.element_at("__ahead.times", -1))
     )
     stuck = F.col("__back.state") == "failed"
     undone = F.size("__back.times") - 1 - stuck.cast("int")
@@ -143,11 +145,11 @@ def saga_progress(sagas: DataFrame, results: DataFrame) -> DataFrame:
         "current_step": at,
         "steps": F.transform("steps", own_status),
         "last_updated": F.element_at("__back.times", -1),
-        "commands": commands.cast(COMMANDS),
     }
+    rows = once(rows, __commands=commands.cast(COMMANDS))
     kept = [c for c in sagas.columns if c != "commands"]
     return rows.select(
-        *[changed.get(c, F.col(c)).alias(c) for c in kept], changed["commands"].alias("commands")
+        *[changed.get(c, F.col(c)).alias(c) for c in kept], F.col("__commands").alias("commands")
     )
 
 

@@ -21,6 +21,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from millrace.functions.durations import micros
 from millrace.operators.sagas import RESULT_KINDS
+from millrace.session import ROCKSDB
 
 COLUMNS = ["saga_id", "seq", "step_no", "kind", "command", "at", "status"]
 SCHEMA = "saga_id string, seq int, step_no int, kind string, command string, at bigint, status string"
@@ -115,6 +116,7 @@ def saga_stream(
     are never too late: ``delay`` only sets the watermark by which ended sagas
     are forgotten.
     """
+    sagas.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     plan = F.transform("steps", lambda s: F.array(s["command"], s["compensate_with"]))
     nothing = F.lit(None)
     starts = sagas.select(

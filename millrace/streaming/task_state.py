@@ -22,6 +22,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from millrace.functions.durations import micros
 from millrace.operators.routing import TASK_MAX_RETRIES, Handler
 from millrace.operators.task_queue import BACKOFF, rank_text, task_attempts
+from millrace.session import ROCKSDB
 from millrace.streaming.stateful import _JSON
 
 SCHEMA = "lane int, seq bigint, body string"
@@ -82,6 +83,7 @@ def released_tasks(
     """The attempts of ``task_attempts`` with ``lane`` and ``seq``, as they become
     due. The watermark is ``delay`` behind the ``timestamp`` of the tasks that have a
     handler (others may be filtered before it is taken); tasks are never too late. Tasks without a time are left out."""
+    tasks.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     timed = tasks.withColumn("__time", F.col("timestamp").cast("timestamp"))
     timed = timed.filter("__time IS NOT NULL").withWatermark("__time", delay)
     # The engine drops late rows by the watermarked column, so it stays behind.
