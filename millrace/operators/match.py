@@ -664,9 +664,11 @@ def joined_projection(
     left_key, right_key = (["join_key", f"{side}_id", f"{side}_time"] for side in ("left", "right"))
     if not unique_ids:
         l, r = l.dropDuplicates(left_key), r.dropDuplicates(right_key)
+    # Sizes are estimated from compressed files, where payloads look small enough
+    # to be broadcast; merging sends no side through the driver.
     return (
-        matched.join(l, left_key)
-        .join(r, right_key)
+        matched.join(l.hint("merge"), left_key)
+        .join(r.hint("merge"), right_key)
         .select(
             F.concat_ws("_", F.lit("joined"), "left_id", "right_id").alias("joined_id"),
             "join_key",

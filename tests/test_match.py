@@ -217,3 +217,16 @@ def test_payloads_come_from_their_own_key(spark):
     out = match.joined_projection(pairs, left, right, "ts", "id", "k").collect()
     assert len(out) == 2
     assert all(r["left_data"]["k"] == r["join_key"] == r["right_data"]["k"] for r in out)
+
+
+def test_a_projection_broadcasts_no_side(spark, tmp_path):
+    """Whatever the files seem to hold."""
+    rows = [("a", at, at, at % 2) for at in range(100)]
+    for name, frame in zip(("left", "right"), frames(spark, rows)):
+        frame.write.parquet(f"{tmp_path}/{name}")
+    left, right = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("left", "right"))
+    pairs = match.temporal_match(left, right, "k", "ts", "id", 10_000, unique_ids=True)
+    for unique in (False, True):
+        out = match.joined_projection(pairs, left, right, "ts", "id", "k", unique_ids=unique)
+        assert out.count() == len(loop(rows, 10))
+        assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
