@@ -454,13 +454,21 @@ def _roomer(window: int, id_type: pa.DataType):
 _LEDGER = "key string, n bigint, side int, event {id}, at bigint, mate {id}, mate_at bigint, waited boolean"
 
 
+def _by_key(events: DataFrame) -> DataFrame:
+    """Rows of a key in one partition, in a shuffle of their own. By the key alone
+    that shuffle is left out above a join by the key; should the join then turn
+    into a broadcast one while it runs, rows stay where they were written. The
+    number makes it differ from the join's."""
+    return events.repartition(KEY, F.lit(0))
+
+
 def _room_ledger(events: DataFrame, window: int) -> DataFrame:
     id_type = events.schema[EVENT].dataType
     arrow_type = pa.int64() if isinstance(id_type, T.LongType) else pa.string()
     if not isinstance(id_type, (T.LongType, T.StringType)):
         events = events.withColumn(EVENT, F.col(EVENT).cast("string"))
     rows = (
-        events.repartition(KEY)
+        _by_key(events)
         .sortWithinPartitions(KEY, AT, EVENT, SIDE)
         .mapInArrow(
             _roomer(window, arrow_type),
@@ -512,7 +520,7 @@ def _rank_ledger(events: DataFrame, window: int, hot_rows: int | None) -> DataFr
     ranked = (
         sliced.filter(F.col(SLICE) == 0)
         .select(KEY, AT, SIDE, EVENT)
-        .repartition(KEY)
+        .transform(_by_key)
         .sortWithinPartitions(KEY, AT, EVENT, SIDE)
         .mapInArrow(_window_ranker(window), schema)
     )

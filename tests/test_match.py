@@ -219,6 +219,34 @@ def test_payloads_come_from_their_own_key(spark):
     assert all(r["left_data"]["k"] == r["join_key"] == r["right_data"]["k"] for r in out)
 
 
+def test_repeated_ids_stay_with_their_key_when_a_join_changes_while_it_runs(spark):
+    """The split of keys with repeats begins as a merge join and is broadcast once
+    its size is known, which leaves rows where they were written."""
+    rows = random_rows(4000, [f"k{i}" for i in range(40)], 400_000, 11, ids=3)
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
+        "spark.sql.files.maxPartitionBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in changed}
+    left, right = frames(spark, rows)
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        got = found(match.match_ledger(left, right, "k", "ts", "id", 10_000_000))
+        plain = [(k, at, i, side) for i, (k, at, _, side) in enumerate(rows)]
+        # One key repeats an id, so the others go through the same split.
+        mixed = [*plain, *[("twice", at, 7, at % 2) for at in range(0, 100_000, 500)]]
+        left, right = frames(spark, mixed)
+        got_mixed = found(match.match_ledger(left, right, "k", "ts", "id", 10_000_000))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+    assert got == loop(rows, 10_000, replace=True)
+    assert got_mixed == loop(mixed, 10_000, replace=True)
+
+
 def test_a_projection_broadcasts_no_side(spark, tmp_path):
     """Whatever the files seem to hold."""
     rows = [("a", at, at, at % 2) for at in range(100)]
