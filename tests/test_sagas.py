@@ -1,8 +1,10 @@
 """Sagas that advance, against a loop over their results."""
 
+import json
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,3 +213,75 @@ def test_ended_sagas_are_forgotten(spark, tmp_path):
     found = sinks.read_folder(spark, f"{tmp_path}/out", out.schema).collect()
     given = sorted(r.saga_id for r in found)
     assert given == ["a", "a", "b", "far", "late"]
+
+
+class State(dict):
+    """State of a lane, as a map and as a value, that counts the calls."""
+
+    calls = 0
+
+    def exists(self):
+        self.calls += 1
+        return bool(self)
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self[key]
+
+
+class Wake:
+    held, timers = None, ()
+
+    def get(self):
+        return self.held
+
+    def update(self, value):
+        self.held = value
+
+    def clear(self):
+        self.held = None
+
+    def registerTimer(self, ms):
+        self.timers = (*self.timers, ms)
+
+
+class Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+    getExpiryTimeInMs = getCurrentWatermarkInMs
+
+
+def test_state_is_called_by_part_and_not_by_saga():
+    lane = saga_state.SagaProcessor(keep=1_000_000)
+    lane.parts, lane.wake = State(), Wake()
+    lane.handle = lane.wake
+    plan = '[["a", "b"]]'
+    begun = [(n % 4, f"s{n}", 10, None, "start", None, None, plan) for n in range(2000)]
+    done = [(n % 4, f"s{n}", 20, "e", "step", 0, True, None) for n in range(1000)]
+    names = ["part", "saga_id", "at", "event_id", "kind", "step_no", "ok", "plan"]
+
+    def feed(rows):
+        frames = [pd.DataFrame(rows[k::3], columns=names) for k in range(3)]
+        return [tuple(r) for f in lane.handleInputRows((0,), iter(frames), Clock(0)) for r in f.values]
+
+    assert len(feed(begun)) == 2000 and feed(done) == []
+    assert lane.parts.calls <= 2 * (1 + 2 * 4) and lane.wake.timers == (1001,)
+    # The ended ones are forgotten by the one timer; those under way stay.
+    lane.parts.keys = lambda: list(dict.keys(lane.parts))
+    list(lane.handleExpiredTimer((0,), None, Clock(999)))
+    assert sum(len(json.loads(v)) for v, in lane.parts.values()) == 2000
+    list(lane.handleExpiredTimer((0,), Clock(5000), Clock(1001)))
+    assert sum(len(json.loads(v)) for v, in lane.parts.values()) == 1000
+    assert lane.wake.held is None
