@@ -30,6 +30,9 @@ KEY, SLICE, AT = "__key", "__slice", "__at"
 MINUTE = 60_000_000
 # Most summary steps kept on the driver over all slices of all hot keys.
 STEP_BUDGET = 2_000_000
+# Chains meet within a few windows, so a slice of some windows has a short summary;
+# one of less than a window has a step for each of its rows.
+WINDOWS_PER_SLICE = 8
 
 
 # ---------------------------------------------------------------- the scan
@@ -322,7 +325,7 @@ def _run(
     size = window_micros(window)
     key_text = canonical_key(df, key) if isinstance(key, str) else key
     keyed = df.withColumn(KEY, key_text).withColumn(AT, _micros(df, ts))
-    grid = hotkeys.find_hot_keys(keyed, KEY, AT, hot_rows)
+    grid = hotkeys.find_hot_keys(keyed, KEY, AT, hot_rows).coarser(WINDOWS_PER_SLICE * size)
     sliced = grid.slice_column(keyed, KEY, F.col(AT), SLICE)
     seeds = None
     if grid:

@@ -25,6 +25,7 @@ class HotKeys:
     numbers of rows apart: one number for each slice."""
 
     grid: dict[str, tuple[int, ...]]
+    hot_rows: int = HOT_ROWS
 
     def __bool__(self) -> bool:
         return bool(self.grid)
@@ -32,6 +33,19 @@ class HotKeys:
     def slices(self) -> int:
         return sum(len(cuts) + 1 for cuts in self.grid.values())
 
+    def coarser(self, apart: int) -> HotKeys:
+        """The same keys with cuts at least ``apart`` microseconds from each other,
+        where that leaves no slice above about a quarter of ``HOT_ROWS``."""
+        most = max(1, HOT_ROWS // self.hot_rows)
+        grid = {}
+        for key, cuts in self.grid.items():
+            kept = [0]
+            for i, cut in enumerate(cuts):
+                if cut - cuts[kept[-1]] >= apart or i - kept[-1] >= most:
+                    kept.append(i)
+            grid[key] = tuple(cuts[i] for i in kept)
+        return HotKeys(grid, self.hot_rows)
+
     def frame(self, spark) -> DataFrame:
         return spark.createDataFrame(
             [(k, list(cuts)) for k, cuts in self.grid.items()], "__hk string, __cuts array<bigint>"
@@ -106,4 +120,4 @@ def find_hot_keys(
         picked = [row["cuts"][i * most // wanted - 1] for i in range(1, wanted)]
         if cuts := sorted(set(picked)):
             grid[row[key]] = tuple(cuts)
-    return HotKeys(grid)
+    return HotKeys(grid, hot_rows)

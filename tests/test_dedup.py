@@ -157,3 +157,14 @@ def test_slices_do_not_cost_a_job_each(spark):
         assert len(tracker.getJobIdsForGroup(group)) < 30
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_slices_span_some_windows_and_no_more_rows_than_a_task_takes(monkeypatch):
+    """Slices far below a window would be asked one after another, a job for each."""
+    cuts = tuple(range(0, 100_000, 10))
+    grid = hotkeys.HotKeys({"a": cuts, "b": (5,)}, hot_rows=1000)
+    wide = grid.coarser(8_000)
+    assert wide.grid == {"a": tuple(range(0, 100_000, 8_000)), "b": (5,)}
+    monkeypatch.setattr(hotkeys, "HOT_ROWS", 50_000)
+    assert grid.coarser(8_000).grid["a"] == cuts[::50]
+    assert hotkeys.HotKeys({"a": cuts}, hot_rows=50_000).coarser(8_000).grid["a"] == cuts
