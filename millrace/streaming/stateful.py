@@ -1,6 +1,6 @@
 """Deduplication and matching on unbounded streams.
 
-One ``transformWithState`` state per key, rows of a micro-batch taken in time
+State per key, kept by lanes of keys, rows of a micro-batch taken in time
 order. Payload columns travel as one JSON text, so any column type works and the
 state schema is fixed.
 
@@ -29,6 +29,7 @@ from millrace.functions.durations import micros, window_micros
 from millrace.functions.keys import canonical_key
 from millrace.operators.dedup import _micros
 from millrace.session import ROCKSDB
+from millrace.streaming.lanes import FRAME, Lane, LaneStore, dealt
 
 # Fixed value: extra time a waiting event stays after its window.
 RETENTION = "5m"
@@ -37,7 +38,6 @@ _JSON = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "ignoreNullFields": "false",
 }
-_PENDING = "at bigint, event string, side int, body string"
 
 
 def _timer(at_micros: int) -> int:
@@ -45,9 +45,19 @@ def _timer(at_micros: int) -> int:
     return at_micros // 1000 + 1
 
 
+class _Timers:
+    """The timers one key asks for; its lane has the engine's."""
+
+    def __init__(self):
+        self.times: list[int] = []
+
+    def registerTimer(self, ms: int) -> None:
+        self.times.append(ms)
+
+
 class _Ordered(StatefulProcessor):
-    """Feeds a key's rows to ``take`` in (time, id, side) order, at once or
-    when the watermark has passed them."""
+    """Feeds each key's rows to ``take`` in (time, id, side) order, at once or when
+    the watermark has passed them. Keys are dealt to lanes (see ``lanes.py``)."""
 
     columns: list[str]
 
@@ -55,12 +65,22 @@ class _Ordered(StatefulProcessor):
         self.window, self.hold = window, hold
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        if self.hold:
-            self.pending = handle.getListState("pending", _PENDING)
+        self.store = LaneStore(handle)
         self.open_state(handle)
 
     def open_state(self, handle) -> None:
+        """State of the lane's keys beside their parts."""
+
+    def bind(self, key: str, entry) -> None:
+        """Turn to a key, of which its part holds ``entry``, or None."""
+        raise NotImplementedError
+
+    def entry(self):
+        """What the part is to hold of the key, or None, and when it is due."""
+        raise NotImplementedError
+
+    def due(self, entry) -> int:
+        """When, in ms, an entry of a part is due."""
         raise NotImplementedError
 
     def take(self, key, rows: list[tuple]) -> list[tuple]:
@@ -69,52 +89,76 @@ class _Ordered(StatefulProcessor):
     def expire(self, watermark: int) -> None:
         raise NotImplementedError
 
-    def _frame(self, key, out: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame([(key[0], *r) for r in out], columns=["key_value", *self.columns])
+    def lapse(self, ms: int) -> None:
+        self.expire(ms * 1000)
+
+    def _turned(self, lane: Lane, number: int, keys, act) -> None:
+        """``act`` on some keys of a part, which is written if that changed it."""
+        part, changed = lane.part(number), False
+        for key in keys(part):
+            before = part.get(key)
+            self.bind(key, before)
+            act(key)
+            after = self.entry()
+            if after != before:
+                changed = True
+                part[key] = after
+                if after is None:
+                    del part[key]
+        if changed:
+            lane.keep(number, part, min(map(self.due, part.values()), default=None))
+
+    def _feed(self, lane: Lane, rows: list, late: int | None) -> Iterator[pd.DataFrame]:
+        """Take rows ``[time, id, side, body, part, key, watermark]``."""
+        parts: dict[int, dict[str, list]] = {}
+        for row in rows:
+            parts.setdefault(row[4], {}).setdefault(row[5], []).append(row)
+        out: list[tuple] = []
+        for number, keys in parts.items():
+
+            def act(key: str) -> None:
+                mine = sorted(keys[key], key=lambda r: (r[0], r[1] or "", r[2]))
+                # Rows that were held came in time, if none that is late came with them.
+                self.watermark = late if any(len(r) > 6 for r in mine) else None
+                out.extend((key, *r) for r in self.take((key,), [tuple(r[:4]) for r in mine]))
+
+            self._turned(lane, number, lambda part: keys, act)
+            if len(out) >= FRAME:
+                yield pd.DataFrame(out, columns=["key_value", *self.columns])
+                out.clear()
+        if out:
+            yield pd.DataFrame(out, columns=["key_value", *self.columns])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        arrived = [
-            (int(at), event, int(side), body)
-            for pdf in rows
-            for at, event, side, body in zip(pdf["at"], pdf["event"], pdf["side"], pdf["body"])
-        ]
-        self.watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        if self.hold:
-            held = [r for r in arrived if r[0] >= self.watermark]
-            if held:
-                self.pending.appendList(held)
-                self.handle.registerTimer(_timer(min(r[0] for r in held)))
-            # What the watermark has passed already is not held; timers fire after
-            # the input, so what they would release goes first.
-            late = [r for r in arrived if r[0] < self.watermark]
-            arrived = late + self._release(self.watermark) if late else []
-        arrived.sort(key=lambda r: (r[0], r[1], r[2]))
-        out = self.take(key, arrived) if arrived else []
-        if out:
-            yield self._frame(key, out)
-
-    def _release(self, watermark: int) -> list[tuple]:
-        """The held rows that the watermark has passed; the others stay."""
-        held = list(self.pending.get()) if self.pending.exists() else []
-        ready = [tuple(r) for r in held if r[0] < watermark]
-        rest = [r for r in held if r[0] >= watermark]
-        if rest and ready:
-            self.pending.put(rest)
-            self.handle.registerTimer(_timer(min(r[0] for r in rest)))
-        elif ready:
-            self.pending.clear()
-        return ready
+        names = ["at", "event", "side", "body", "part", "key_value"]
+        lane, watermark = self.store.open(), timerValues.getCurrentWatermarkInMs() * 1000
+        arrived, held = [], []
+        for pdf in rows:
+            for row in zip(*(pdf[n].tolist() for n in names)):
+                if self.hold and row[0] >= watermark:
+                    held.append([*row])
+                else:
+                    arrived.append([*row, True])
+        if held:
+            lane.hold(held)
+        # What the watermark has passed already is not held; timers fire after
+        # the input, so what they would release goes first.
+        if self.hold and arrived:
+            arrived += lane.release(watermark)
+        yield from self._feed(lane, arrived, watermark)
+        lane.close(_timer)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        # Rows that were held came in time.
-        self.watermark = None
-        ready = self._release(watermark) if self.hold else []
-        ready.sort(key=lambda r: (r[0], r[1], r[2]))
-        out = self.take(key, ready) if ready else []
-        self.expire(watermark)
-        if out:
-            yield self._frame(key, out)
+        lane = self.store.open()
+        if not lane.woken(expiredTimerInfo.getExpiryTimeInMs()):
+            return
+        ms = timerValues.getCurrentWatermarkInMs()
+        if self.hold:
+            yield from self._feed(lane, list(lane.release(ms * 1000)), None)
+        for number in [n for n, due in lane.due.items() if due <= ms]:
+            lapsing = lambda part: [k for k, entry in part.items() if self.due(entry) <= ms]
+            self._turned(lane, number, lapsing, lambda key: self.lapse(ms))
+        lane.close(_timer)
 
     def close(self) -> None:
         pass
@@ -131,21 +175,26 @@ class AnchorProcessor(_Ordered):
         super().__init__(window, hold)
         self.annotate = annotate
 
-    def open_state(self, handle) -> None:
-        self.anchor = handle.getValueState("anchor", "at bigint, until bigint")
+    def bind(self, key, entry):
+        self.anchor = entry
+
+    def entry(self):
+        return self.anchor
+
+    def due(self, entry):
+        return _timer(entry[1])
 
     def take(self, key, rows):
-        before = self.anchor.get()[0] if self.anchor.exists() else None
+        before = self.anchor[0] if self.anchor else None
         anchor, out = _judge(self.window, before, rows)
         if anchor != before:
             until = max(anchor, anchor if self.watermark is None else self.watermark) + self.window
-            self.anchor.update((anchor, until))
-            self.handle.registerTimer(_timer(until))
+            self.anchor = [anchor, until]
         return out if self.annotate else [r for r in out if not r[1]]
 
     def expire(self, watermark: int) -> None:
-        if self.anchor.exists() and self.anchor.get()[1] < watermark:
-            self.anchor.clear()
+        if self.anchor and self.anchor[1] < watermark:
+            self.anchor = None
 
 
 def _judge(window: int, anchor: int | None, rows: list[tuple]) -> tuple[int | None, list[tuple]]:
@@ -251,6 +300,52 @@ class Room:
         return {stretch for (side, stretch), line in self.loaded.items() if line}
 
 
+class _KeyValue:
+    """The value of one key in a lane's map, read once."""
+
+    def __init__(self, values, key: str, known: bool):
+        self.values, self.key = values, (key,)
+        self.held = values.getValue(self.key) if known else None
+
+    def get(self):
+        return self.held
+
+    def update(self, value: tuple) -> None:
+        self.held = value
+        self.values.updateValue(self.key, value)
+
+    def clear(self) -> None:
+        if self.held is not None:
+            self.values.removeKey(self.key)
+        self.held = None
+
+
+class _KeyMap:
+    """One key's part of a lane's map, with the places that are taken, if listed."""
+
+    def __init__(self, values, key: str, known: list[list] | None):
+        self.values, self.key = values, key
+        self.known = None if known is None else [list(k) for k in known]
+
+    def getValue(self, at: tuple):
+        if self.known is not None and [*at] not in self.known:
+            return None
+        return self.values.getValue((self.key, *at))
+
+    def updateValue(self, at: tuple, value: tuple) -> None:
+        if self.known is not None and [*at] not in self.known:
+            self.known.append([*at])
+        self.values.updateValue((self.key, *at), value)
+
+    def removeKey(self, at: tuple) -> None:
+        if self.known is not None and [*at] in self.known:
+            self.known.remove([*at])
+        self.values.removeKey((self.key, *at))
+
+    def keys(self) -> list[tuple]:
+        return [tuple(k) for k in self.known]
+
+
 class MatchProcessor(_Ordered):
     """Waiting events of both sides; one-to-one, oldest first."""
 
@@ -267,11 +362,38 @@ class MatchProcessor(_Ordered):
 
     def open_state(self, handle) -> None:
         event = "at: bigint, event: string, body: string"
-        self.room = handle.getValueState("room", f"spilled boolean, waiting array<struct<side: int, {event}>>")
-        self.lines = handle.getMapState("lines", "side int, stretch bigint", f"waiting array<struct<{event}>>")
-        self.places = None
+        self.all_rooms = handle.getMapState(
+            "rooms", "key string", f"spilled boolean, waiting array<struct<side: int, {event}>>"
+        )
+        self.all_lines = handle.getMapState(
+            "lines", "key string, side int, stretch bigint", f"waiting array<struct<{event}>>"
+        )
+        self.all_places = None
         if not self.unique_ids:
-            self.places = handle.getMapState("places", "side int, event string", "at bigint")
+            self.all_places = handle.getMapState("places", "key string, side int, event string", "at bigint")
+
+    def bind(self, key, entry):
+        # Of a key its part holds the times it is due and the stretches that are in the map.
+        self.times, lines = entry or ([], [])
+        self.handle = _Timers()
+        self.room = _KeyValue(self.all_rooms, key, entry is not None)
+        self.lines = _KeyMap(self.all_lines, key, lines)
+        self.places = _KeyMap(self.all_places, key, None) if self.all_places is not None else None
+
+    def entry(self):
+        if self.room.held is None:
+            return None
+        # Rounded up to quarters of a window, so that they stay few.
+        step = max(self.window // 4000, 1)
+        new = {-(-ms // step) * step for ms in self.handle.times}
+        return [sorted({*self.times, *new}), self.lines.known]
+
+    def due(self, entry):
+        return entry[0][0]
+
+    def lapse(self, ms):
+        self.times = [t for t in self.times if t > ms]
+        super().lapse(ms)
 
     def _over(self, stretch: int) -> int:
         """When the last event of a stretch has waited long enough."""
@@ -373,7 +495,8 @@ def dedup_stream(
     watermark; rows later than it are judged by the anchor that is there, or
     kept if there is none."""
     size, hold = window_micros(window), _check_emit(emit)
-    keyed = _packed(df, key, ts, event_id, 0, delay).drop("__time").groupBy("key_value")
+    keyed = _packed(df, key, ts, event_id, 0, delay).drop("__time")
+    keyed = keyed.withColumns(dealt("key_value")).groupBy("lane")
     out = keyed.transformWithStateInPandas(
         AnchorProcessor(size, hold, annotate), AnchorProcessor.schema, "append", "EventTime"
     )
@@ -418,7 +541,7 @@ def match_stream(
         _packed(right, key, ts, event_id, 1, delay)
     )
     processor = MatchProcessor(size, hold, life, unique_ids)
-    out = both.groupBy("key_value").transformWithStateInPandas(
+    out = both.withColumns(dealt("key_value")).groupBy("lane").transformWithStateInPandas(
         processor, MatchProcessor.schema, "append", "EventTime", eventTimeColumnName="made_at"
     )
     return out.select(
@@ -440,7 +563,7 @@ def dedup_joined_stream(df: DataFrame, key: str, body: str, window) -> DataFrame
         F.col(key).alias("key_value"), _micros(df, "made_at").alias("at"),
         F.col("joined_id").alias("event"), F.lit(0).alias("side"), F.col(body).alias("body"),
     )
-    judged = keyed.groupBy("key_value").transformWithStateInPandas(
+    judged = keyed.withColumns(dealt("key_value")).groupBy("lane").transformWithStateInPandas(
         AnchorProcessor(window_micros(window), False), AnchorProcessor.schema, "append", "EventTime"
     )
     return judged.select("body")
