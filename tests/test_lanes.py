@@ -5,8 +5,10 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.streaming import lanes, stateful
+from workload import QUERIES
 
 
 class Calls:
@@ -112,3 +114,13 @@ def test_state_calls_do_not_grow_with_keys(hold):
         assert not any(calls.states.values())
         counts.append(calls.count)
     assert counts[1] <= counts[0] + 2
+
+
+def test_four_batches_however_many_files(spark, tmp_path):
+    """An input of several files is judged in four micro-batches still."""
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(6).write.parquet(f"{tmp_path}/events.parquet")
+    out = QUERIES["dedup_stream_batches"](spark, str(tmp_path))
+    batch = F.regexp_extract(F.input_file_name(), r"batch_id=(\d+)", 1)
+    assert out.count() == events.count()
+    assert out.select(batch.alias("batch")).distinct().count() == 4

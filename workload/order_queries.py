@@ -125,7 +125,10 @@ def dedup_stream_batches(spark, sf):
     path = shared_dir(spark, "batches")
     part = F.pmod(F.xxhash64("event_id"), F.lit(4)).alias("part")
     rows.select("*", part).write.partitionBy("part").parquet(path)
-    late = ingest.file_stream(spark, path, spark.read.parquet(path).schema, files_per_trigger=1)
+    # However many tasks wrote it, a quarter of the files at a time.
+    written = spark.read.parquet(path)
+    each = max(1, -(-len(written.inputFiles()) // 4))
+    late = ingest.file_stream(spark, path, written.schema, files_per_trigger=each)
     out = stateful.dedup_stream(late, "user_id", "ts", "24h", "event_id", annotate=True)
     return drained(out.select("event_id", "key_value"), "dedup-batches")
 
