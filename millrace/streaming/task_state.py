@@ -1,9 +1,9 @@
 """A delay queue: attempts at tasks wait on a stream until they are due.
 
-Tasks are dealt to lanes by their id. A lane keeps its waiting attempts in a map
-by stretch of due time, with one timer a stretch, so a micro-batch reads and
-writes the stretches its arrivals fall into and those that have ended, not all
-that waits. A stretch is released when the watermark has passed its end, in the
+Tasks are dealt to lanes by their id. A lane keeps its waiting attempts in sorted
+segments with one timer, for the earliest (see ``lanes.py``), so a micro-batch
+writes its arrivals and reads the segments that the watermark has entered, and the
+calls of the state do not grow with the stretches of due time. A stretch is released when the watermark has passed its end, in the
 order of ``operators/task_queue.py``, so an attempt leaves at most one stretch (and
 the watermark's delay) after it is due. Attempts that arrive when their stretch is
 over leave at once, in order among themselves. ``seq`` counts a lane's releases.
@@ -11,8 +11,8 @@ over leave at once, in order among themselves. ``seq`` counts a lane's releases.
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -23,49 +23,65 @@ from millrace.functions.durations import micros
 from millrace.operators.routing import TASK_MAX_RETRIES, Handler
 from millrace.operators.task_queue import BACKOFF, rank_text, task_attempts
 from millrace.session import ROCKSDB
+from millrace.streaming.lanes import FRAME, LaneStore
 from millrace.streaming.stateful import _JSON
 
 SCHEMA = "lane int, seq bigint, body string"
 
 
+# Fixed value: arrivals of a lane that are in memory at a time.
+ARRIVALS = 100_000
+
+
 class DelayProcessor(StatefulProcessor):
     def __init__(self, stretch: int):
         self.stretch = stretch  # milliseconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getMapState("waiting", "ends bigint", "rows string")
+        self.store = LaneStore(handle)
         self.count = handle.getValueState("count", "n bigint")
 
-    def _out(self, key, rows: list[list]) -> pd.DataFrame:
-        rows.sort()
-        n = self.count.get()[0] if self.count.exists() else 0
-        self.count.update((n + len(rows),))
+    def _out(self, key, rows: Iterable[list]) -> Iterator[pd.DataFrame]:
+        """Frames of rows ``[end of the stretch, due, rank, body]`` that come by their ends."""
+        n = first = self.count.get()[0] if self.count.exists() else 0
+        ready: list[list] = []
+        for _, stretch in groupby(rows, key=lambda r: r[0]):
+            ready += sorted(stretch)
+            if len(ready) >= FRAME:
+                yield self._frame(key, n, ready)
+                n, ready = n + len(ready), []
+        if ready:
+            yield self._frame(key, n, ready)
+            n += len(ready)
+        if n > first:
+            self.count.update((n,))
+
+    def _frame(self, key, n: int, rows: list[list]) -> pd.DataFrame:
         return pd.DataFrame(
-            {"lane": key[0], "seq": range(n, n + len(rows)), "body": [r[2] for r in rows]}
+            {"lane": key[0], "seq": range(n, n + len(rows)), "body": [r[3] for r in rows]}
         )
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        watermark = timerValues.getCurrentWatermarkInMs()
-        late, stretches = [], {}
+        lane, watermark = self.store.open(), timerValues.getCurrentWatermarkInMs()
+        late, held = [], []
         for pdf in rows:
             for due, rank, body in zip(pdf["due_at"].tolist(), pdf["rank"], pdf["body"]):
                 ends = (due // 1000 // self.stretch + 1) * self.stretch
-                (late if ends <= watermark else stretches.setdefault(ends, [])).append([due, rank, body])
-        for ends, new in stretches.items():
-            held = json.loads(self.waiting.getValue((ends,))[0]) if self.waiting.containsKey((ends,)) else []
-            if not held:
-                self.handle.registerTimer(ends)
-            self.waiting.updateValue((ends,), (json.dumps(held + new),))
-        if late:
-            yield self._out(key, late)
+                (late if ends <= watermark else held).append([ends, due, rank, body])
+            if len(held) >= ARRIVALS:
+                lane.hold(held)
+                held = []
+        if held:
+            lane.hold(held)
+        yield from self._out(key, sorted(late))
+        lane.close(lambda ends: ends)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        ends = (expiredTimerInfo.getExpiryTimeInMs(),)
-        if self.waiting.containsKey(ends):
-            rows = json.loads(self.waiting.getValue(ends)[0])
-            self.waiting.removeKey(ends)
-            yield self._out(key, rows)
+        lane = self.store.open()
+        if not lane.woken(expiredTimerInfo.getExpiryTimeInMs()):
+            return
+        yield from self._out(key, lane.release(timerValues.getCurrentWatermarkInMs() + 1))
+        lane.close(lambda ends: ends)
 
     def close(self) -> None:
         pass

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.streaming import lanes, stateful
+from millrace.streaming import lanes, stateful, task_state
 from workload import QUERIES
 
 
@@ -51,6 +51,9 @@ class Value(Map):
     def get(self):
         return self.getValue(())
 
+    def exists(self):
+        return self.get() is not None
+
     def update(self, value):
         self.updateValue((), value)
 
@@ -116,6 +119,24 @@ def test_state_calls_do_not_grow_with_keys(hold):
     assert counts[1] <= counts[0] + 2
 
 
+def test_state_calls_do_not_grow_with_stretches_of_due_time():
+    """Four hundred minutes with a task each, in one lane."""
+    counts = []
+    for minutes in (100, 400):
+        calls, processor = Calls(), task_state.DelayProcessor(60_000)
+        processor.init(calls)
+        rows = [(n * 60_000_000, f"{n:04}", f"task{n}") for n in reversed(range(minutes))]
+        arrived = iter([pd.DataFrame(rows, columns=["due_at", "rank", "body"])])
+        assert not list(processor.handleInputRows((0,), arrived, Times(-1)))
+        (wake,) = calls.timers
+        end = 50 * 60_000
+        (out,) = processor.handleExpiredTimer((0,), Times(end), Times(wake))
+        assert out["body"].tolist() == [f"task{n}" for n in range(50)]
+        assert out["seq"].tolist() == list(range(50)) and calls.timers - {wake} == {end + 60_000}
+        counts.append(calls.count)
+    assert counts[0] == counts[1] < 12
+
+
 def test_four_batches_however_many_files(spark, tmp_path):
     """An input of several files is judged in four micro-batches still."""
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
