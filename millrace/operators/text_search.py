@@ -20,6 +20,9 @@ from millrace.operators import documents
 from millrace.session import shared_dir
 
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# What lies between terms. Texts are split at it: the engine's extraction of all
+# matches copies the text for each, so its time grows with the square of a text.
+GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 # The usual weights of BM25: saturation of repeats, and of length.
 K1, B = 1.2, 0.75
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -29,6 +32,18 @@ def lowered(text: Column) -> Column:
     return F.translate(text, _UPPER, _UPPER.lower())
 
 
+def words(text: Column) -> Column:
+    """The terms of a text, in order."""
+    return F.filter(F.split(lowered(text), f"{GAP}+"), lambda term: term != "")
+
+
+def phrase_test(phrase: tuple[str, ...]) -> str:
+    """A pattern that finds a phrase's terms, whole and one after the other."""
+    cased = lambda c: f"[{c}{c.upper()}]" if "a" <= c <= "z" else c
+    terms = f"{GAP}++".join("".join(map(cased, term)) for term in phrase)
+    return f"(?:^|{GAP}){terms}(?:{GAP}|\\z)"
+
+
 def _terms(text: str) -> list[str]:
     """The terms of a search text, in order."""
     return [t.translate(str.maketrans(_UPPER, _UPPER.lower())) for t in re.findall(TERM, text)]
@@ -68,9 +83,8 @@ class TextIndex:
     def build(cls, df: DataFrame, id_column: str, text: str, path: str | None = None) -> TextIndex:
         spark = df.sparkSession
         index = cls(spark, path or shared_dir(spark, "text-index"), id_column, text)
-        words = F.explode(F.regexp_extract_all(lowered(F.col(text)), F.lit(TERM), F.lit(0)))
         rows = df.filter(F.col(id_column).isNotNull() & F.col(text).isNotNull())
-        counted = rows.select(F.col(id_column).alias("id"), words.alias("term"))
+        counted = rows.select(F.col(id_column).alias("id"), F.explode(words(F.col(text))).alias("term"))
         counted = counted.groupBy("term", "id").agg(F.count("*").alias("times"))
         # A frequent term may fill several ranges: the id breaks it up.
         counted = counted.repartitionByRange("term", "id").sortWithinPartitions("term", "id")
@@ -125,7 +139,5 @@ class TextIndex:
             raise ValueError("the rows have a column named score already")
         found = rows.join(self.scores(text).withColumnRenamed("id", self.id_column), self.id_column)
         for phrase in parsed(text).phrases:
-            words = F.regexp_extract_all(lowered(F.col(self.text)), F.lit(TERM), F.lit(0))
-            line = F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
-            found = found.filter(F.contains(line, F.lit(f" {' '.join(phrase)} ")))
+            found = found.filter(F.rlike(F.col(self.text), F.lit(phrase_test(phrase))))
         return found.select(*df.columns, "score")

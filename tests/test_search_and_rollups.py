@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -84,3 +85,24 @@ def test_deep_pages(spark, monkeypatch, skip, limit):
     want = [r.k for r in docs.find(rows, sort={"v": 1}, skip=skip, limit=limit, id_column="k").collect()]
     monkeypatch.setattr(docs, "PAGE", 1)
     assert [r.k for r in docs.find(rows, sort={"v": 1}, skip=skip, limit=limit, id_column="k").collect()] == want
+
+
+def test_a_long_text_is_read_in_linear_time(spark):
+    """A text of 300,000 words; extracting its matches one by one took minutes."""
+    rows = spark.range(1).select("id", F.concat(F.repeat(F.lit("sea, "), 300_000), F.lit("Old  Town")).alias("t"))
+    start = time.perf_counter()
+    index = text_search.TextIndex.build(rows, "id", "t")
+    assert index.find(rows, {"$text": {"$search": '"sea old town"'}}).count() == 1
+    assert index.find(rows, {"$text": {"$search": '"sea town"'}}).count() == 0
+    assert time.perf_counter() - start < 40
+
+
+@pytest.mark.parametrize("phrase", ["ab cd", "ab", "é ab", "cd.ab"])
+def test_phrases_against_the_terms(spark, phrase):
+    texts = ["ab cd", "AB--cd!", "xab cd", "ab cdx", "ab ab cd", "cd ab", "é,ab", "éab", "x é ab\ncd", "", "ab\ncd\n", "Écd"]
+    (wanted,) = text_search.parsed(f'"{phrase}"').phrases
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    test = F.rlike("t", F.lit(text_search.phrase_test(wanted)))
+    held = lambda t: f" {' '.join(wanted)} " in f" {' '.join(text_search._terms(t))} "
+    assert {r.t for r in rows.filter(test).collect()} == {t for t in texts if held(t)}
+    assert all(r.w == text_search._terms(r.t) for r in rows.select("t", text_search.words(F.col("t")).alias("w")).collect())
