@@ -15,11 +15,16 @@ linked below the similarity. Pairs within a group are not made: each text is fir
 compared with the one that meets most others among those it meets (the original of a
 group of copies), then with the likest of its neighbours in its keys'
 order. Only then are the texts of different components that share a key compared, all of them.
+
+Keys are 24 bits wide, so rows that share one by chance grow with the square of the texts. In a
+key of few rows, as chance makes them, all are compared by their words for checks at once, and those
+like no other leave.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +45,8 @@ WIDE, STEPS = 16, (1, 2, 3)
 # Bits of the two words for checks that may differ: 3e-4 of the pairs at 0.151 a bit differ in more.
 CHECKS, CHECKED = 2, 34
 SLICE = 1 << 23
+# Rows of a key up to which each is held against all others of the key.
+FEW = 8
 # Linear turns before the last comparison (a second and third joined one text each of some 5000), and the most nodes sent to all tasks (about 10 MB).
 TURNS, BROADCAST = 1, 100_000
 
@@ -142,6 +149,7 @@ def _pair_keys(table: np.ndarray, prints: np.ndarray) -> np.ndarray:
 
 
 def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (node, prints, ...) under each of their keys, without the prints."""
     table = golay_indices()
     for batch in batches:
         for low in range(0, batch.num_rows, 1024):
@@ -150,15 +158,23 @@ def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = _pair_keys(table, prints)
             node = some.column(0).to_numpy(zero_copy_only=False)
             each = keys.shape[1]
+            more = range(2, batch.num_columns)
+            owner = pa.array(np.repeat(np.arange(some.num_rows), each)) if more else None
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.ravel()), pa.array(np.repeat(node, each)),
-                 *[pa.array(np.repeat(prints[:, WIDE + k].view(np.int64), each)) for k in range(CHECKS)]],
-                ["key", "node", *CHECK])
+                 *[pa.array(np.repeat(prints[:, WIDE + k].view(np.int64), each)) for k in range(CHECKS)],
+                 *[some.column(k).take(owner) for k in more]],
+                ["key", "node", *CHECK, *[batch.schema.names[k] for k in more]])
 
 
 CHECK = [f"check{k}" for k in range(CHECKS)]
 
 
+def _under_keys(nodes: DataFrame, more: str = "") -> DataFrame:
+    """Each of ``nodes(node, prints, ...)`` under its keys; ``more`` tells the types of the other columns."""
+    return nodes.mapInArrow(_key_batches, "key long, node long, " + ", ".join(f"{c} long" for c in CHECK) + more)
+
+
 def _apart(other: str) -> Column:
     """Differing bits of the words for checks of a row and another, named by a prefix."""
     return sum(F.bit_count(F.col(c).bitwiseXOR(F.col(other + c))) for c in CHECK)
@@ -239,6 +255,21 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.greatest(a, b).alias("a"), F.least(a, b).alias("b")]
 
 
+def _alike(rows: DataFrame, *differ: str) -> DataFrame:
+    """``rows`` without those that are like no other row of their key, of another value in
+    ``differ``. Only keys of at most ``FEW`` rows, by the column ``n``, are looked through, the rest stay whole."""
+    order = Window.partitionBy("key").orderBy("node")
+    one = F.struct(*CHECK, *differ)
+    others = {f"other{far % (2 * FEW)}": F.lag(one, far).over(order) for k in range(1, FEW) for far in (k, -k)}
+
+    def like(other: str) -> Column:
+        near = F.coalesce(_apart(other + ".") <= CHECKED, F.lit(False))
+        return reduce(lambda met, c: met & (F.col(c) != F.col(f"{other}.{c}")), differ, near)
+
+    near = reduce(lambda met, other: met | like(other), others, F.col("n") > FEW)
+    return rows.withColumns(others).filter(near).drop(*others)
+
+
 def _stars(met: DataFrame) -> DataFrame:
     """Each node with the node that meets most others among those it meets."""
     best = F.max(F.struct("meets", "node", *CHECK)).over(Window.partitionBy("key"))
@@ -270,6 +301,13 @@ def _shared(nodes: DataFrame, verifier: _Verifier) -> DataFrame:
     return each.join(twice, "shingle", "left_semi").groupBy("node", "size").agg(F.count("*").alias("shared"))
 
 
+def _between(rows: DataFrame) -> DataFrame:
+    """Rows of the keys of more than one component, with the key's number ``n`` of rows, that may be alike."""
+    key = Window.partitionBy("key")
+    rows = rows.withColumns({"n": F.count("*").over(key), "low": F.min("component").over(key), "high": F.max("component").over(key)})
+    return _alike(rows.filter("low <> high").drop("low", "high"), "component")
+
+
 def _crossing(rows: DataFrame, verifier: _Verifier) -> DataFrame:
     """All pairs of different components that share a key and may be alike: under each key all
     but the most frequent component's rows meet all rows.
@@ -277,24 +315,20 @@ def _crossing(rows: DataFrame, verifier: _Verifier) -> DataFrame:
     A pair has no more shingles in common than either text shares with any text that could be its
     partner, so a text of many shingles of its own is left out, whatever it shares with the rest of its group.
     """
-    counts = rows.groupBy("key", "component").count()
-    mixed = counts.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("most"), F.count("*").alias("n"))
-    rows, _ = staged(rows.join(mixed.filter("n > 1").drop("n"), "key"), "copy-mixed")
+    mixed, _ = staged(_between(rows).select("node", "component").distinct(), "copy-mixed")
+    shared, _ = staged(_shared(mixed.select("node"), verifier), "copy-shared")
+    able = shared.filter(F.col("shared") >= F.col("size") * verifier.least - 1e-6)
+    able = verifier.nodes.select("node", "prints").join(mixed.join(able, "node"), "node")
+    able = _between(_under_keys(able, ", component long, size int, shared long"))
+    rows = able.withColumn("count", F.count("*").over(Window.partitionBy("key", "component")))
+    most = F.max(F.struct("count", "component")).over(Window.partitionBy("key"))
+    rows, _ = staged(rows.withColumn("most", most["component"]).drop("n", "count"), "copy-able")
 
     def few(frame: DataFrame) -> DataFrame:
         few = frame.filter("component <> most").drop("most")
         return few.select("key", *[F.col(c).alias(f"few_{c}") for c in few.columns if c != "key"])
 
-    def near(left: DataFrame, right: DataFrame, a: str, b: str) -> Column:
-        same = sum(F.bit_count(left[a + c].bitwiseXOR(right[b + c])) for c in CHECK) <= CHECKED
-        return (left["key"] == right["key"]) & (left[a + "component"] != right[b + "component"]) & same
-
-    some = few(rows)
-    met = rows.join(some, near(rows, some, "", "few_"), "left_semi").select("node")
-    met = met.union(some.join(rows, near(some, rows, "few_", ""), "left_semi").select("few_node"))
-    shared, _ = staged(_shared(staged(met.distinct(), "copy-nodes-met")[0], verifier), "copy-shared")
-    able, _ = staged(rows.join(shared.filter(F.col("shared") >= F.col("size") * verifier.least - 1e-6), "node"), "copy-able")
-    cross = few(able).join(able, "key")
+    cross = few(rows).join(rows, "key")
     cross = cross.filter("component <> few_component AND (component = most OR node > few_node)")
     enough = F.least("shared", "few_shared") * (1 + verifier.least) >= (F.col("size") + F.col("few_size")) * verifier.least - 1e-6
     return cross.filter(enough & (_apart("few_") <= CHECKED)).select(*_pair("node", "few_node")).distinct()
@@ -303,9 +337,8 @@ def _crossing(rows: DataFrame, verifier: _Verifier) -> DataFrame:
 def _links(texts: DataFrame, nodes: DataFrame, words: int, least: float) -> DataFrame:
     """(node, component) of the nodes that have links."""
     able = nodes.filter("prints IS NOT NULL").select("node", "prints")
-    keys = able.mapInArrow(_key_batches, "key long, node long, " + ", ".join(f"{c} long" for c in CHECK))
-    met = keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1")
-    met, _ = staged(met, "copy-met")
+    met = _under_keys(able).withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1")
+    met, _ = staged(_alike(met), "copy-met")
     meets = met.groupBy("node").agg(F.sum("n").alias("meets"))
     verifier = _Verifier(texts, nodes, words, least)
     tested, _ = staged(_stars(met.join(meets, "node")), "copy-pairs")

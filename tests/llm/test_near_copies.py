@@ -121,3 +121,51 @@ def test_odd_rows(spark):
     empty = frame.limit(0)
     assert near_copies.keep_one_of_each(empty).count() == 0 and near_copies.near_copies(empty).count() == 0
     assert near_copies.keep_one_of_each(frame.filter("text is null")).count() == 1
+
+
+def bits_apart(a, b):
+    return sum(((a[c] ^ b[c]) & (1 << 64) - 1).bit_count() for c in ("check0", "check1"))
+
+
+def test_chance_meetings_leave(spark, sf_dir, monkeypatch):
+    """What is kept of a key of few rows is like another row of it, so that it does not grow with the square of the texts."""
+    seen, real = {}, near_copies.staged
+
+    def watched(frame, label):
+        seen[label] = real(frame, label)
+        return seen[label]
+
+    monkeypatch.setattr(near_copies, "staged", watched)
+    near_copies.keep_one_of_each(queries.table(spark, sf_dir, "documents")).count()
+    for label, other in ("copy-met", None), ("copy-able", "component"):
+        keys = {}
+        for row in seen[label][0].collect():
+            keys.setdefault(row.key, []).append(row)
+        assert keys
+        for rows in keys.values():
+            assert len(rows) > 1
+            for a in rows if len(rows) <= 8 else ():
+                near = [b for b in rows if b.node != a.node and bits_apart(a, b) <= near_copies.CHECKED]
+                assert any(other is None or a[other] != b[other] for b in near)
+
+
+def test_rows_of_a_key_against_all_pairs(spark):
+    rng = random.Random(7)
+    rows, node = [], 0
+    for key in range(60):
+        size = rng.choice([1, 2, 3, 8, 9, 30])
+        base = [rng.getrandbits(64) for _ in range(2)]
+        for _ in range(size):
+            flips = [sum(1 << b for b in rng.sample(range(64), rng.choice([4, 9, 17]))) for _ in range(2)]
+            words = [w ^ f for w, f in zip(base, flips)] if rng.random() < 0.4 else [rng.getrandbits(64) for _ in range(2)]
+            words = [w - (1 << 64) if w >> 63 else w for w in words]
+            rows.append((key, node, *words, rng.randrange(2), size))
+            node += 1
+    frame = spark.createDataFrame(rows, "key long, node long, check0 long, check1 long, component long, n long")
+    plain = [dict(zip(frame.columns, r)) for r in rows]
+    for differ in (), ("component",):
+        got = {r.node for r in near_copies._alike(frame, *differ).collect()}
+        expected = {a["node"] for a in plain if a["n"] > near_copies.FEW or any(
+            a["node"] != b["node"] and bits_apart(a, b) <= near_copies.CHECKED and (not differ or a["component"] != b["component"])
+            for b in plain if b["key"] == a["key"])}
+        assert got == expected and 0 < len(got) < len(rows)
