@@ -58,8 +58,7 @@ def _walk(numbers: Column, found: Column, start: Column) -> Column:
     """
     first = F.struct(F.array(start).alias("times"), F.lit("open").alias("state"))
 
-    def take(acc: Column, n: Column) -> Column:
-        result = F.try_element_at(found, n)
+    def take(acc: Column, result: Column) -> Column:
         last = F.element_at(acc["times"], -1)
         longer = F.concat(acc["times"], F.array(F.greatest(last, result["at"])))
         moved = F.when(
@@ -72,7 +71,8 @@ def _walk(numbers: Column, found: Column, start: Column) -> Column:
         )
         return F.when(acc["state"] == "open", moved).otherwise(acc)
 
-    return F.aggregate(numbers, first, take)
+    # The results are looked up before the walk, which reads each in several places.
+    return F.aggregate(F.transform(numbers, lambda n: F.try_element_at(found, n)), first, take)
 
 
 def saga_progress(sagas: DataFrame, results: DataFrame) -> DataFrame:
@@ -146,14 +146,15 @@ def saga_progress(sagas: DataFrame, results: DataFrame) -> DataFrame:
         "steps": F.transform("steps", own_status),
         "last_updated": F.element_at("__back.times", -1),
     }
-    rows = once(rows, __commands=commands.cast(COMMANDS))
     kept = [c for c in sagas.columns if c != "commands"]
     return rows.select(
-        *[changed.get(c, F.col(c)).alias(c) for c in kept], F.col("__commands").alias("commands")
+        *[changed.get(c, F.col(c)).alias(c) for c in kept], commands.cast(COMMANDS).alias("commands")
     )
 
 
 def saga_commands(progress: DataFrame) -> DataFrame:
     """One row per command given, in the order of ``seq`` within a saga."""
-    rows = progress.select(F.col("id").alias("saga_id"), F.inline("commands"))
+    # A generator's filter would make the lists a second time.
+    rows = once(progress.select(F.col("id").alias("saga_id"), "commands"), __commands=F.col("commands"))
+    rows = rows.select("saga_id", F.inline("__commands"))
     return rows.select("saga_id", "seq", "step_no", "kind", "command", "at")

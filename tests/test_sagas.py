@@ -285,3 +285,14 @@ def test_state_is_called_by_part_and_not_by_saga():
     list(lane.handleExpiredTimer((0,), Clock(5000), Clock(1001)))
     assert sum(len(json.loads(v)) for v, in lane.parts.values()) == 1000
     assert lane.wake.held is None
+
+
+def test_commands_are_made_where_they_are_read_and_once(spark):
+    rows = spark.createDataFrame([saga("a", 3)], SAGA)
+    done = sagas.saga_progress(rows, spark.createDataFrame([], RESULT))
+
+    def plan(frame):
+        return frame._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "concat(transform(" not in plan(done.select("id", "status", "last_updated"))
+    assert plan(sagas.saga_commands(done)).count("concat(transform(") == 1
