@@ -80,8 +80,8 @@ def _count_batches(batches):
                 for k, n in zip(*np.unique(buckets[low:high], return_counts=True)):
                     seen[int(k)] = seen.get(int(k), 0) + int(n)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array([list(f) for f in found], pa.list_(pa.int32())),
-             pa.array([list(f.values()) for f in found], pa.list_(pa.int64()))],
+            [batch.column(0), batch.column(1), pa.array([list(f) for f in found], pa.list_(pa.int16())),
+             pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))],
             ["doc_id", "lang", "buckets", "counts"])
 
 
@@ -110,20 +110,18 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 5) -> Lan
     share = F.create_map(*[F.lit(x) for lang, n in size.items() for x in (lang, most / n)])
     draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / (1 << 30)
     sample = rows.filter(draw < share[F.col("lang")]).select("doc_id", "lang", "text")
-    counts = sample.mapInArrow(_count_batches, "doc_id long, lang string, buckets array<int>, counts array<long>")
-    got = counts.toArrow().combine_chunks()
+    counts = sample.mapInArrow(_count_batches, "doc_id long, lang string, buckets array<short>, counts array<int>")
+    got = counts.toArrow()
     names = got["lang"].to_pylist()
     ids = got["doc_id"].to_pylist()
     # As arrays: lists of Python numbers would be several times as large.
-    rows = list(zip(*(_slices(got[c].combine_chunks()) for c in ("buckets", "counts"))))
+    rows = list(zip(*([x for chunk in got[c].chunks for x in _slices(chunk)] for c in ("buckets", "counts"))))
     order = sorted(range(len(ids)), key=lambda i: (ids[i], names[i], rows[i][0].tobytes(), rows[i][1].tobytes()))
     return _train([names[i] for i in order], [rows[i] for i in order], seed)
 
 
 def _slices(lists: pa.ListArray) -> list[np.ndarray]:
     """The values of each list."""
-    if isinstance(lists, pa.ChunkedArray):
-        lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], lists.type)
     ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
     return [values[low:high] for low, high in zip(ends[:-1], ends[1:])]
 

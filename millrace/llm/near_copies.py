@@ -45,6 +45,8 @@ WIDE, STEPS = 16, (1, 2, 3)
 # Bits of the two words for checks that may differ: 3e-4 of the pairs at 0.151 a bit differ in more.
 CHECKS, CHECKED = 2, 34
 SLICE = 1 << 23
+# Words of the bitmap of a text's shingles that others have too.
+MARKS = 8
 # Rows of a key up to which each is held against all others of the key.
 FEW = 8
 # Linear turns before the last comparison (a second and third joined one text each of some 5000), and the most nodes sent to all tasks (about 10 MB).
@@ -168,6 +170,7 @@ def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 CHECK = [f"check{k}" for k in range(CHECKS)]
+MARK = [f"mark{k}" for k in range(MARKS)]
 
 
 def _under_keys(nodes: DataFrame, more: str = "") -> DataFrame:
@@ -218,9 +221,11 @@ class _Verifier:
         sets, _ = staged(sets, "copy-shingles")
         self.sets = sets if self.sets is None else self.sets.union(sets)
 
-    def similar(self, pairs: DataFrame) -> DataFrame:
-        """Those of the staged ``pairs(a, b)`` whose sets have at least the Jaccard similarity, staged."""
-        self.fill(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    def similar(self, pairs: DataFrame, filled: bool = False) -> DataFrame:
+        """Those of the staged ``pairs(a, b)`` whose sets have at least the Jaccard similarity, staged.
+        ``filled`` tells that their sets are there."""
+        if not filled:
+            self.fill(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         left = self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("s"))
         right = self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("t"))
         shared = F.size(F.array_intersect("s", "t"))
@@ -245,9 +250,8 @@ def _turned(check: str, bits: int) -> Column:
     return F.shiftleft(check, bits).bitwiseOR(F.shiftrightunsigned(check, 64 - bits)) if bits else F.col(check)
 
 
-def _grouped(met: DataFrame, edges: DataFrame) -> DataFrame:
+def _grouped(met: DataFrame, group: DataFrame) -> DataFrame:
     """The rows of ``met`` with their component so far."""
-    group, _ = staged(components(edges), "copy-groups")
     return met.join(group, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
@@ -283,22 +287,33 @@ def _neighbours(rows: DataFrame, turn: int) -> DataFrame:
     """Each node with the likest of its neighbours in the order of its buckets' words for checks."""
     order = Window.partitionBy("key").orderBy(_turned("check0", 16 * turn), "node")
     one = F.struct("node", *CHECK, "component")
-    rows = rows.select("node", *CHECK, "component", F.lag(one).over(order).alias("o"))
-    rows = rows.filter((F.col("component") != F.col("o.component")) & (_apart("o.") <= CHECKED))
-    ways = F.array(F.struct(F.col("node").alias("a"), F.col("o.node").alias("b")),
-                   F.struct(F.col("o.node").alias("a"), F.col("node").alias("b")))
-    both = rows.select(_apart("o.").alias("apart"), F.explode(ways).alias("p")).select("apart", "p.*")
-    best = both.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best")).select(F.col("a").alias("node"), F.col("best.b").alias("other"))
+    rows = rows.select("node", *CHECK, "component", F.lag(one).over(order).alias("o"), F.lead(one).over(order).alias("p"))
+
+    def near(other: str) -> Column:
+        differ = F.col("component") != F.col(other + ".component")
+        return F.when(differ & (_apart(other + ".") <= CHECKED), F.struct(_apart(other + ".").alias("apart"), F.col(other + ".node")))
+
+    best = rows.select("node", F.least(near("o"), near("p")).alias("best")).filter("best IS NOT NULL")
+    best = best.groupBy("node").agg(F.min("best").alias("best")).select("node", F.col("best.node").alias("other"))
     return best.select(*_pair("node", "other")).distinct()
 
 
 def _shared(nodes: DataFrame, verifier: _Verifier) -> DataFrame:
-    """(node, size, shared): how many of a node's shingles another of ``nodes`` has too."""
+    """(node, size, shared, marks): how many of a node's shingles another of ``nodes`` has too, and a bitmap of those."""
     verifier.fill(nodes)
     sets = verifier.sets.join(nodes, "node", "left_semi")
     each, _ = staged(sets.select("node", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle")), "copy-each")
     twice = each.groupBy("shingle").count().filter("count > 1").select("shingle")
-    return each.join(twice, "shingle", "left_semi").groupBy("node", "size").agg(F.count("*").alias("shared"))
+    word, bit = F.pmod(F.shiftright("shingle", 6), F.lit(MARKS)), F.expr("shiftleft(1L, CAST(shingle & 63 AS int))")
+    marks = [F.coalesce(F.bit_or(F.when(word == k, bit)), F.lit(0)).cast("long").alias(c) for k, c in enumerate(MARK)]
+    return each.join(twice, "shingle", "left_semi").groupBy("node", "size").agg(F.count("*").alias("shared"), *marks)
+
+
+def _in_common(one: str, other: str) -> Column:
+    """The most shingles that a row, named by a prefix, can have in common with another: each bit that the
+    other's bitmap lacks stands for a shared shingle at least that the other lacks."""
+    lacks = [F.bit_count(F.col(one + c).bitwiseAND(F.bitwise_not(F.col(other + c)))) for c in MARK]
+    return F.col(one + "shared") - sum(lacks)
 
 
 def _between(rows: DataFrame) -> DataFrame:
@@ -313,13 +328,14 @@ def _crossing(rows: DataFrame, verifier: _Verifier) -> DataFrame:
     but the most frequent component's rows meet all rows.
 
     A pair has no more shingles in common than either text shares with any text that could be its
-    partner, so a text of many shingles of its own is left out, whatever it shares with the rest of its group.
+    partner, so a text of many shingles of its own is left out, whatever it shares with the rest of its group. A pair's
+    bitmaps of those shared shingles bound what it has in common closer; what they leave out is below the similarity for certain.
     """
     mixed, _ = staged(_between(rows).select("node", "component").distinct(), "copy-mixed")
     shared, _ = staged(_shared(mixed.select("node"), verifier), "copy-shared")
     able = shared.filter(F.col("shared") >= F.col("size") * verifier.least - 1e-6)
     able = verifier.nodes.select("node", "prints").join(mixed.join(able, "node"), "node")
-    able = _between(_under_keys(able, ", component long, size int, shared long"))
+    able = _between(_under_keys(able, ", component long, size int, shared long, " + ", ".join(f"{c} long" for c in MARK)))
     rows = able.withColumn("count", F.count("*").over(Window.partitionBy("key", "component")))
     most = F.max(F.struct("count", "component")).over(Window.partitionBy("key"))
     rows, _ = staged(rows.withColumn("most", most["component"]).drop("n", "count"), "copy-able")
@@ -330,7 +346,7 @@ def _crossing(rows: DataFrame, verifier: _Verifier) -> DataFrame:
 
     cross = few(rows).join(rows, "key")
     cross = cross.filter("component <> few_component AND (component = most OR node > few_node)")
-    enough = F.least("shared", "few_shared") * (1 + verifier.least) >= (F.col("size") + F.col("few_size")) * verifier.least - 1e-6
+    enough = F.least(_in_common("", "few_"), _in_common("few_", "")) * (1 + verifier.least) >= (F.col("size") + F.col("few_size")) * verifier.least - 1e-6
     return cross.filter(enough & (_apart("few_") <= CHECKED)).select(*_pair("node", "few_node")).distinct()
 
 
@@ -346,10 +362,13 @@ def _links(texts: DataFrame, nodes: DataFrame, words: int, least: float) -> Data
     met = met.select("key", "node", *CHECK)
     # Linear turns join most of a group, so that few of its pairs are left for the last.
     for turn in range(TURNS + 1):
-        rows = _grouped(met, edges)
-        pairs = _neighbours(rows, turn) if turn < TURNS else _crossing(rows, verifier)
+        last, group = turn == TURNS, components(edges)
+        rows = _grouped(met, group)
+        pairs = _crossing(rows, verifier) if last else _neighbours(rows, turn)
         pairs, _ = staged(pairs.join(tested, ["a", "b"], "left_anti"), "copy-pairs")
-        edges, tested = edges.union(verifier.similar(pairs)), tested.union(pairs)
+        # Groups so far stand for the edges that made them.
+        edges = group.toDF("a", "b").union(verifier.similar(pairs, filled=last))
+        tested = tested.union(pairs)
     return components(edges)
 
 

@@ -1,3 +1,4 @@
+import re
 import zlib
 
 import numpy as np
@@ -55,3 +56,15 @@ def test_odd_rows(spark, model):
     empty = langid.fit(frame.limit(0))
     assert empty.languages == [] and langid.languages(frame, empty).filter("lang_pred <> 'und' OR score <> 0").count() == 0
     assert langid.languages(frame.limit(0), model).count() == 0
+
+
+def test_sample_is_small_on_the_driver(spark):
+    """Six bytes for each bucket of a sampled document, not twice that, and the same counts."""
+    texts = [f"word{k} and others {k * k} " * 50 for k in range(40)]
+    ids, langs = pa.array(range(40), pa.int64()), pa.array(["en"] * 40)
+    (batch,) = langid._count_batches(iter([pa.RecordBatch.from_arrays([ids, langs, pa.array(texts)], ["doc_id", "lang", "text"])]))
+    entries = sum(len(b) for b in batch.column(2).to_pylist())
+    assert sum(batch.column(c).values.nbytes for c in (2, 3)) == 6 * entries
+    # Words and a blank each, T bytes in all, have T runs of a byte, T - 1 of two and so on, to four.
+    sizes = [4 * sum(len(w) + 1 for w in re.findall("[a-z]+", t)) - 6 for t in texts]
+    assert [sum(c) for c in batch.column(3).to_pylist()] == sizes

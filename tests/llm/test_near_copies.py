@@ -169,3 +169,49 @@ def test_rows_of_a_key_against_all_pairs(spark):
             a["node"] != b["node"] and bits_apart(a, b) <= near_copies.CHECKED and (not differ or a["component"] != b["component"])
             for b in plain if b["key"] == a["key"])}
         assert got == expected and 0 < len(got) < len(rows)
+
+
+def test_group_without_links(spark, monkeypatch):
+    """Texts that are alike but below the similarity are told apart before their sets are compared, whatever they share with others."""
+    rng = random.Random(9)
+    base = [f"v{i}" for i in range(150)]
+    rows = []
+    for k in range(150):
+        words = list(base)
+        for at in rng.sample(range(3, 150, 6), 3):
+            words[at] = f"new{at}"
+        rows.append((k, " ".join(words)))
+    pairs, real = [], near_copies.staged
+
+    def watched(frame, label):
+        found = real(frame, label)
+        if label == "copy-pairs":
+            pairs.append(found[0].count())
+        return found
+
+    monkeypatch.setattr(near_copies, "staged", watched)
+    kept = near_copies.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(kept_ids(rows))
+    sets = [shingle_set(t) for _, t in rows]
+    nearly = sum(len(a & b) >= 0.7 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    assert pairs[-1] < nearly < len(rows) ** 2 / 5
+
+
+def test_bound_of_what_is_in_common(spark):
+    """No pair has more in common than the bitmaps say, and they say little more."""
+    rng = random.Random(11)
+    sets = [rng.sample(range(400), rng.choice([3, 90, 300])) for _ in range(30)]
+    scattered = [rng.getrandbits(64) - (1 << 63) for _ in range(400)]
+    rows = [(k, [scattered[i] for i in s]) for k, s in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "node long, shingles array<long>")
+    verifier = near_copies._Verifier(None, None, 5, 0.8)
+    verifier.sets, verifier.fill = frame, lambda nodes: None
+    shared = near_copies._shared(frame.select("node"), verifier)
+    other = shared.select(*[near_copies.F.col(c).alias("few_" + c) for c in shared.columns])
+    bound = near_copies.F.least(near_copies._in_common("", "few_"), near_copies._in_common("few_", ""))
+    got = shared.crossJoin(other).select("node", "few_node", bound.alias("bound")).collect()
+    assert len(got) == len(sets) ** 2
+    for r in got:
+        common = len(set(sets[r.node]) & set(sets[r.few_node]))
+        assert common <= r.bound <= min(len(sets[r.node]), len(sets[r.few_node]))
+    assert sum(r.bound for r in got) < 1.5 * sum(len(set(sets[r.node]) & set(sets[r.few_node])) for r in got)

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 
-from millrace.llm import queries, simhash, tokens
+from millrace.llm import graph, queries, simhash, tokens
 from millrace.llm.graph import components
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -112,3 +112,13 @@ def test_nulls_repeats_and_clashing_columns(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "5", "None", "None"]
     empty = frame.limit(0)
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one_of_each(empty).count() == 0
+
+
+@pytest.mark.parametrize("pairs, tables, expected", [
+    ([(1, 0), (2, 0), (5, 4)], 1, {1: 0, 2: 0, 5: 4}), ([(1, 0), (2, 1), (4, 3)], 3, {1: 0, 2: 0, 4: 3})])
+def test_components_end_at_stars(spark, monkeypatch, pairs, tables, expected):
+    """No round is run once only stars are left: its plans would stay with the driver."""
+    labels, real = [], graph.staged
+    monkeypatch.setattr(graph, "staged", lambda frame, label: labels.append(label) or real(frame, label))
+    got = {r.node: r.component for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == expected and len(labels) == tables
