@@ -16,6 +16,7 @@ of the kept-back documents that were predicted right.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -116,10 +117,15 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 5) -> Lan
     ids = got["doc_id"].to_pylist()
     # As arrays: lists of Python numbers would be several times as large.
     rows = list(zip(*([x for chunk in got[c].chunks for x in _slices(chunk)] for c in ("buckets", "counts"))))
-    order = sorted(range(len(ids)), key=lambda i: (ids[i], names[i], rows[i][0].tobytes(), rows[i][1].tobytes()))
+    order = _order(ids, names, rows)
     return _train([names[i] for i in order], [rows[i] for i in order], seed)
 
 
+def _order(ids: list, names: list, rows: list[tuple]) -> list[int]:
+    """The sample in one order, however it came. Digests stand for the rows, whose copies would be as large as the sample."""
+    return sorted(range(len(ids)), key=lambda i: (ids[i], names[i], sha256(b"".join(x.tobytes() for x in rows[i])).digest()))
+
+
 def _slices(lists: pa.ListArray) -> list[np.ndarray]:
     """The values of each list."""
     ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()

@@ -1,4 +1,5 @@
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -68,3 +69,17 @@ def test_sample_is_small_on_the_driver(spark):
     # Words and a blank each, T bytes in all, have T runs of a byte, T - 1 of two and so on, to four.
     sizes = [4 * sum(len(w) + 1 for w in re.findall("[a-z]+", t)) - 6 for t in texts]
     assert [sum(c) for c in batch.column(3).to_pylist()] == sizes
+
+
+def test_order_of_the_sample_takes_no_copy():
+    rng = np.random.default_rng(2)
+    ids, names = [k // 2 for k in range(400)], ["en", "de", "en", "en"] * 100
+    rows = [(rng.integers(0, 4096, 2000, np.int16), rng.integers(1, 99, 2000, np.int32)) for _ in ids]
+    tracemalloc.start()
+    order = langid._order(ids, names, rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < sum(a.nbytes + b.nbytes for a, b in rows) / 4
+    mixed = rng.permutation(len(ids))
+    again = langid._order([ids[i] for i in mixed], [names[i] for i in mixed], [rows[i] for i in mixed])
+    assert [mixed[i] for i in again] == order and [ids[i] for i in order] == sorted(ids)
